@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import canonical
+from corpusmill.llm import canonical, ratings
 from corpusmill.session import table
 
 QUERIES = {}
@@ -20,3 +20,14 @@ def p7_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p7_found": p7_found, "p7_texts": p7_texts}
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return ratings.found(table(spark, d, "fakenewsbr_v6_public"), table(spark, d, "rating_reference"))
+
+
+def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    return ratings.unmatched(table(spark, d, "fakenewsbr_v6_public"), table(spark, d, "rating_reference"))
+
+
+QUERIES |= {"p4_found": p4_found, "p4_unmatched": p4_unmatched}
