@@ -14,12 +14,10 @@ def fold_tables() -> tuple[str, str]:
     """``translate`` arguments that replace every precomposed letter by its base letter and delete combining marks.
 
     Built from the Unicode database by rule: a character whose canonical decomposition is one base character
-    followed by marks maps to the base; marks themselves have no counterpart and are dropped by ``translate``.
+    followed by marks maps to the base (up to U+30FF, the alphabets that have such letters); marks themselves have no counterpart and are dropped by ``translate``.
     """
     src, dst, marks = [], [], []
-    for cp in range(0x80, 0x20000):
-        if 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xDFFF:
-            continue
+    for cp in range(0x80, 0x3100):
         ch = chr(cp)
         if unicodedata.category(ch)[0] == "M":
             marks.append(ch)
