@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import canonical, ratings
-from corpusmill.session import table
+from corpusmill.llm import canonical, fusion, ratings
+from corpusmill.session import table, written
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -31,3 +31,16 @@ def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p4_found": p4_found, "p4_unmatched": p4_unmatched}
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return fusion.found(table(spark, d, "fakenewsbr_v6_public"), table(spark, d, "source_registry"), table(spark, d, "fakenewsbr_v6_provenance"))
+
+
+def p3_fused(spark: SparkSession, d: str) -> DataFrame:
+    """The maximum-posterior value of each field, with its posterior and the number of independent votes."""
+    c = fusion.claims(table(spark, d, "fakenewsbr_v6_public"), table(spark, d, "source_registry"), table(spark, d, "fakenewsbr_v6_provenance"))
+    return fusion.fuse_by_votes(written(c, "p3-claims"))
+
+
+QUERIES |= {"p3_found": p3_found, "p3_fused": p3_fused}
