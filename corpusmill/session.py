@@ -5,10 +5,28 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, for operators that need Python there."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        here = Path(__file__).resolve().parent
+        to = os.path.join(tempfile.mkdtemp(prefix="corpusmill-"), "corpusmill.zip")
+        with zipfile.ZipFile(to, "w") as z:
+            for p in sorted(here.rglob("*.py")):
+                z.write(p, p.relative_to(here.parent))
+        spark.sparkContext.addPyFile(to)
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of a data folder."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
