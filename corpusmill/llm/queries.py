@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import canonical, fusion, ratings
+from corpusmill.llm import bpe, canonical, fusion, ratings
 from corpusmill.session import table, written
 
 QUERIES = {}
@@ -44,3 +44,10 @@ def p3_fused(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p3_found": p3_found, "p3_fused": p3_fused}
+
+
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode(table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES |= {"p8_ids": p8_ids}
