@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import bpe, canonical, fusion, ratings
+from corpusmill.llm import bpe, canonical, fusion, ratings, spans
 from corpusmill.session import table, written
 
 QUERIES = {}
@@ -51,3 +51,14 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p8_ids": p8_ids}
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return spans.found(table(spark, d, "documents"))
+
+
+def p10_shared(spark: SparkSession, d: str) -> DataFrame:
+    return spans.shared_length(table(spark, d, "documents"))
+
+
+QUERIES |= {"p10_found": p10_found, "p10_shared": p10_shared}
