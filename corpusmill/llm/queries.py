@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, canonical, fusion, ratings, spans
+from corpusmill.llm import bpe, canonical, forest, fusion, ratings, spans
 from corpusmill.session import table, written
 
 QUERIES = {}
@@ -62,3 +63,12 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p10_found": p10_found, "p10_shared": p10_shared}
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    history = table(spark, d, "fakenewsbr_v6_public").select("rid", F.col("text_no_url").alias("text"))
+    incoming = table(spark, d, "incoming_rows").select("rid", "batch_no", F.col("text_no_url").alias("text"))
+    return forest.repeats(history, incoming)
+
+
+QUERIES |= {"p1_found": p1_found}
