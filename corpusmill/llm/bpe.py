@@ -95,8 +95,8 @@ def split_words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
-def encode(docs: DataFrame, id_col: str, text_col: str, path: str = RANKS) -> DataFrame:
-    """``(doc_id, ids)``, one row per row of ``docs``."""
+def _encoded_words(docs: DataFrame, id_col: str, text_col: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """The rows as ``(doc_id, tid)`` and, for each distinct text, its words' ids as ``(tid, pos, ids)``."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.md5(F.encode(text_col, "UTF-8")).alias("tid"), F.col(text_col).alias("text"))
     texts = rows.where("text <> ''").groupBy("tid").agg(F.first("text").alias("text")).select("tid", split_words(F.col("text")).alias("words"))
     texts = written(texts, "p8-words")
@@ -108,10 +108,23 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str = RANKS) -> Da
     at = texts.select("tid", F.posexplode("words").alias("pos", "word")).join(F.broadcast(frequent), "word", "left")
     known = at.where(F.col("ids").isNotNull()).select("tid", "pos", "ids")
     rest = at.where(F.col("ids").isNull()).select("tid", "pos", "word").join(others, "word").select("tid", "pos", F.col("more").alias("ids"))
+    return rows.select("doc_id", "tid"), known.unionByName(rest)
+
+
+def encode(docs: DataFrame, id_col: str, text_col: str, path: str = RANKS) -> DataFrame:
+    """``(doc_id, ids)``, one row per row of ``docs``."""
+    rows, at = _encoded_words(docs, id_col, text_col, path)
     # Neighbouring words are gathered before the shuffle, so a text arrives in a few runs.
-    done = known.unionByName(rest).groupBy("tid").agg(F.collect_list(F.struct("pos", "ids")).alias("w"))
+    done = at.groupBy("tid").agg(F.collect_list(F.struct("pos", "ids")).alias("w"))
     done = done.select("tid", F.flatten(F.transform(F.array_sort("w"), lambda x: x["ids"])).alias("ids"))
-    return rows.select("doc_id", "tid").join(done, "tid", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    return rows.join(done, "tid", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+
+
+def count_tokens(docs: DataFrame, id_col: str, text_col: str, path: str = RANKS) -> DataFrame:
+    """``(doc_id, tokens)``, one row per row of ``docs``; 0 for null and empty texts."""
+    rows, at = _encoded_words(docs, id_col, text_col, path)
+    done = at.groupBy("tid").agg(F.sum(F.size("ids")).alias("tokens"))
+    return rows.join(done, "tid", "left").select("doc_id", F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"))
 
 
 def decode(encoded: DataFrame, path: str = RANKS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, canonical, forest, fusion, ratings, spans
+from corpusmill.llm import bpe, canonical, forest, fusion, languages, mixing, ratings, spans
 from corpusmill.session import table, written
 
 QUERIES = {}
@@ -72,3 +72,29 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p1_found": p1_found}
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return languages.found(table(spark, d, "fakenewsbr_v6_public"), table(spark, d, "fakenewsbr_v6_provenance"))
+
+
+def p2_segments(spark: SparkSession, d: str) -> DataFrame:
+    return languages.segments(table(spark, d, "fakenewsbr_v6_public"), table(spark, d, "fakenewsbr_v6_provenance")).withColumnRenamed("id", "rid")
+
+
+QUERIES |= {"p2_found": p2_found, "p2_segments": p2_segments}
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(p9_mix(spark, d), table(spark, d, "mix_targets"))
+
+
+def p9_sequence(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.sequence(p9_mix(spark, d))
+
+
+QUERIES |= {"p9_mix": p9_mix, "p9_shares": p9_shares, "p9_sequence": p9_sequence}

@@ -32,6 +32,9 @@ TOKEN = 24
 #: Least length of a k-mer: a run may lose a part token at its start and up to a token at the end, and must see its end.
 EDGE = RUN - 2 * TOKEN - 2
 
+#: Texts whose k-mers are handed over together: bounds the memory of a Python worker.
+SLICE = 250
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -95,7 +98,7 @@ def _code_points(text: str) -> np.ndarray:
 
 
 def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
+    for b in (batch[i : i + SLICE] for batch in batches for i in range(0, len(batch), SLICE)):
         out = []
         for rep, text in zip(b["rep"], b["text"], strict=True):
             pos, h = _kmers(_code_points(text))
