@@ -6,8 +6,8 @@ its entries by range search: the texts that share the first ``d`` labels of a tr
 ``DEPTH`` and shrinks (the prefixes widen) until two texts of the threshold's similarity meet in some tree with
 probability ``RECALL``; what meets is verified by its exact similarity.
 
-The forest is a folder of written runs, one per accepted batch, each sorted by tree and signature; ``merge_runs`` folds them into one.
-Signatures of accepted texts are never computed again.
+The forest is a folder of written runs, one per accepted batch, holding each entry's keys of all trees; a search shuffles
+keys only, sorted by range. ``merge_runs`` folds the runs into one. Signatures of accepted texts are never computed again.
 
 Texts of one word sequence are one entry, so exact copies cost one row whatever their number. A crowded range (many
 near-copies) is first compared with its earliest entry only; entries this settles leave before the rest meet pairwise.
@@ -95,11 +95,17 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"entry": b["entry"], "ord": b["ord"], "n": size.astype(np.int32), "keys": trees, "set": parts}).loc[size > 0]
 
 
-def entries(rows: DataFrame) -> DataFrame:
-    """``(entry, ord, words)`` of ``(rid, batch_no, text)``: distinct word sequences under their earliest row."""
-    order = F.struct(F.col("batch_no").alias("b"), F.col("rid").alias("r"))
-    e = rows.select(order.alias("ord"), words(F.col("text")).alias("words")).where("words <> ''").groupBy("words").agg(F.min("ord").alias("ord"))
-    return e.select(F.col("ord.r").alias("entry"), F.col("ord.b").alias("ord"), "words")
+def entries(rows: DataFrame, batch: int | None = None) -> DataFrame:
+    """``(entry, ord, words)`` of ``(rid, batch_no, text)``: distinct word sequences under their earliest row.
+
+    ``batch`` names the one batch all rows are of, if they are: the smallest id is the earliest row then, and the grouping
+    needs no sort.
+    """
+    w = rows.select("rid", "batch_no", words(F.col("text")).alias("words")).where("words <> ''")
+    if batch is not None:
+        return w.groupBy("words").agg(F.min("rid").alias("entry")).select("entry", F.lit(batch).alias("ord"), "words")
+    e = w.groupBy("words").agg(F.min(F.struct(F.col("batch_no").alias("b"), F.col("rid").alias("r"))).alias("o"))
+    return e.select(F.col("o.r").alias("entry"), F.col("o.b").alias("ord"), "words")
 
 
 class HashForest:
@@ -111,14 +117,14 @@ class HashForest:
         self.runs: list[str] = []
         self.shift = LABEL_BITS * (DEPTH - search_depth())
 
-    def signed(self, rows: DataFrame) -> DataFrame:
+    def signed(self, rows: DataFrame, batch: int | None = None) -> DataFrame:
         """Signatures of ``(rid, batch_no, text)`` rows: ``(entry, ord, n, keys, set)``."""
-        return entries(rows).mapInPandas(_signatures, "entry bigint, ord int, n int, keys array<bigint>, set array<int>")
+        return entries(rows, batch).mapInPandas(_signatures, "entry bigint, ord int, n int, keys array<bigint>, set array<int>")
 
-    def append(self, rows: DataFrame) -> DataFrame:
+    def append(self, rows: DataFrame, batch: int | None = None) -> DataFrame:
         """Accepts rows as one run and returns the run. Entries keep their signatures; nothing older is read."""
         to = f"{self.path}/run-{len(self.runs):05d}-{uuid.uuid4().hex[:8]}"
-        self.signed(rows).write.parquet(to)
+        self.signed(rows, batch).write.parquet(to)
         self.runs.append(to)
         return self.spark.read.parquet(to)
 
@@ -133,7 +139,7 @@ class HashForest:
         """``(tree, prefix, entry, ord, n)``: a tree's leaves at the search depth. Entries with one prefix are one range."""
         return run.select(F.posexplode("keys").alias("tree", "key"), "entry", "ord", "n").select(((F.shiftright("key", self.shift) * 64) + F.col("tree")).alias("range"), "entry", "ord", "n")
 
-    def similar(self, run: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    def similar(self, run: DataFrame) -> DataFrame:
         """Entries of ``run`` that are similar to an earlier entry of any run: ``(entry)``.
 
         ``run`` is read from the forest itself, so entries of the same batch count as earlier by their id.
@@ -142,6 +148,7 @@ class HashForest:
         new = run.select("entry", "ord", "n", "keys")
         sets = history.select("entry", "set")
         probe = self.leaves(new).withColumnsRenamed({"entry": "a", "ord": "ao", "n": "an"})
+        # Leaves are many more bytes than what they are read from: more partitions than the session's, spread by range.
         leaves = self.leaves(history).withColumnsRenamed({"entry": "b", "ord": "bo", "n": "bn"})
         earlier = (F.col("bo") < F.col("ao")) | ((F.col("bo") == F.col("ao")) & (F.col("b") < F.col("a")))
         near = (F.col("bn") >= THRESHOLD * F.col("an")) & (F.col("an") >= THRESHOLD * F.col("bn"))
@@ -173,24 +180,29 @@ def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
     last = F.lit(2**31 - 1)
     old = history.select("rid", F.lit(-1).alias("batch_no"), "text")
     new = incoming.select("rid", F.coalesce(F.col("batch_no").cast("int"), last).alias("batch_no"), "text")
-    both = old.unionByName(new)
-    # Arm 1: the same but for formatting, or the same words.
-    order = F.struct(F.col("batch_no").alias("b"), F.col("rid").alias("r"))
-    equal = _later(both, new, canonical.canonical(F.col("text")), order).unionByName(_later(both, new, words(F.col("text")), order))
-    # Arm 2: entries similar to an earlier one. Of an entry's rows only the earliest can be its own; the others are in arm 1.
+    # The same but for formatting: as a text of the history, or as an earlier new one.
+    key = canonical.canonical(F.col("text"))
+    old_keys = _keyed(old, key).select("k").distinct()
+    equal = _keyed(new, key).join(old_keys, "k", "left_semi").select("rid").unionByName(_later(new, key))
+    # The same word sequence as an earlier new one; of such rows only the earliest is an entry of the forest.
+    same_words = _later(new, F.when(F.size(F.split(words(F.col("text")), " ")) >= 3, words(F.col("text"))))
     forest = HashForest(spark)
-    forest.append(old)
+    forest.append(old, -1)
     forest.append(new)
-    run = spark.read.parquet(forest.runs[-1])
-    near = forest.similar(run).select(F.col("entry").alias("rid"))
-    return equal.unionByName(near).distinct()
+    near = forest.similar(spark.read.parquet(forest.runs[-1])).select(F.col("entry").alias("rid"))
+    return equal.unionByName(same_words).unionByName(near).distinct()
 
 
-def _later(both: DataFrame, new: DataFrame, key: Column, order: Column) -> DataFrame:
-    """New rows that are not the earliest of all rows with their key. Groups pre-aggregate; rows meet them by digest, salted."""
+def _keyed(rows: DataFrame, key: Column) -> DataFrame:
+    return rows.select("rid", "batch_no", key.alias("__k")).where("__k <> ''").select("rid", "batch_no", F.unhex(F.md5("__k")).alias("k"))
+
+
+def _later(rows: DataFrame, key: Column) -> DataFrame:
+    """Rows that are not the earliest of those with their key. Groups pre-aggregate; rows meet them by digest, salted."""
     salts = canonical.SALTS
-    keyed = both.select("rid", "batch_no", key.alias("__k")).where("__k <> ''").select("rid", "batch_no", F.md5("__k").alias("k"))
-    first = keyed.groupBy("k").agg(F.min(order).alias("first"), F.max(order).alias("final")).where("first < final AND final.b >= 0").select("k", "first")
+    order = F.struct(F.col("batch_no").alias("b"), F.col("rid").alias("r"))
+    keyed = _keyed(rows, key)
+    first = keyed.groupBy("k").agg(F.min(order).alias("first"), F.max(order).alias("final")).where("first < final").select("k", "first")
     first = first.withColumn("salt", F.explode(F.array(*[F.lit(s) for s in range(salts)])))
-    rows = new.select("rid", "batch_no", key.alias("__k")).where("__k <> ''").select("rid", order.alias("o"), F.md5("__k").alias("k"), F.pmod(F.xxhash64("rid"), F.lit(salts)).cast("int").alias("salt"))
-    return rows.join(first, ["k", "salt"]).where("first < o").select("rid")
+    salted = keyed.select("rid", order.alias("o"), "k", F.pmod(F.xxhash64("rid"), F.lit(salts)).cast("int").alias("salt"))
+    return salted.join(first, ["k", "salt"]).where("first < o").select("rid")
