@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, canonical, forest, fusion, languages, mixing, ratings, spans
+from corpusmill.llm import bpe, canonical, forest, fusion, languages, mixing, personal, ratings, spans
 from corpusmill.session import table, written
 
 QUERIES = {}
@@ -98,3 +98,20 @@ def p9_sequence(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p9_mix": p9_mix, "p9_shares": p9_shares, "p9_sequence": p9_sequence}
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return personal.found(table(spark, d, "fakenewsbr_v6_public"))
+
+
+def p5_masked(spark: SparkSession, d: str) -> DataFrame:
+    """Each row's text and claimant with typed placeholders."""
+    main = table(spark, d, "fakenewsbr_v6_public")
+    out = None
+    for field in ("text", "factcheck_claimant"):
+        one = personal.detect(main, "rid", field, mask=True).select(F.col("id").alias("rid"), F.lit(field).alias("field"), "kinds", "masked")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+QUERIES |= {"p5_found": p5_found, "p5_masked": p5_masked}
