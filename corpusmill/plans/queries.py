@@ -7,16 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.operators import timestamps
+from corpusmill.plans import text_queries
 from corpusmill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.found(table(spark, d, "fakenewsbr_v6_public"), table(spark, d, "source_registry"))
 
 
-QUERIES["p6_found"] = p6_found
+QUERIES: dict[str, Query] = {"p6_found": p6_found} | text_queries.QUERIES
+SQL: dict[str, str] = {} | text_queries.SQL
