@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import measures as M
 from corpusmill.functions import text as T
 from corpusmill.functions import vocabulary as V
-from corpusmill.operators import cleaning, evaluation, linkage, nearest, ordering, sampling
+from corpusmill.operators import cleaning, evaluation, linkage, near_duplicates, nearest, ordering, sampling
 from corpusmill.plans import sqlparts as S
 from corpusmill.session import table
 
@@ -382,3 +382,12 @@ def score_calibration(spark, d):
     rows = scored(spark, d).withColumn("p", F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("p")))).select("y", F.log(F.col("p") / (1 - F.col("p"))).alias("z"))
     a, b = evaluation.fit_platt(rows)
     return spark.createDataFrame([(evaluation.fit_temperature(rows), a, b)], "temperature double, a double, b double")
+
+
+# ------------------------------------------------------------- near-duplicates
+
+
+@query()
+def near_duplicate_decisions(spark, d):
+    """For each incoming row whether it is kept, and else why: a copy or near to a known or an earlier kept row."""
+    return near_duplicates.deduplicate(table(spark, d, "incoming_rows"), main(spark, d).select("rid", "text_no_url"))
