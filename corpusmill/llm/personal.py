@@ -402,7 +402,9 @@ def detect(rows: DataFrame, id_col: str, text_col: str, mask: bool = False) -> D
                 got = spans(t, w) if t else []
                 if got or mask:
                     ids.append(i), kinds.append(sorted({k for _, _, k in got})), texts.append(masked(t, got) if t else t)
-            yield pd.DataFrame({"id": pd.Series(ids, dtype="Int64"), "kinds": kinds} | ({"masked": pd.Series(texts, dtype=object)} if mask else {}))
+            if not ids:
+                continue
+            yield pd.DataFrame({"id": pd.Series(ids, dtype="Int64"), "kinds": pd.Series(kinds, dtype=object)} | ({"masked": pd.Series(texts, dtype=object)} if mask else {}))
 
     return rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.lit(mask) | (F.col(text_col) != "")).mapInPandas(run, "id bigint, kinds array<string>" + ", masked string" * mask)
 
