@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,6 +47,11 @@ def blank(c: Column) -> Column:
     return c.isNull() | ~c.rlike(r"(?U)[^\s\p{Cf}]")
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(c)`` with ``c`` worked out once, however often ``f`` uses it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def strip(c: Column) -> Column:
     """Without Unicode white space at either end."""
     return F.regexp_replace(c, f"^{V.SPACE}+|{V.SPACE}+$", "")
@@ -79,9 +85,12 @@ def text_no_url(c: Column) -> Column:
 
 def text_clean(c: Column) -> Column:
     """Without pictographs, one pair of outer quotes, accents and case; white space collapsed."""
-    t = strip(F.regexp_replace(F.coalesce(c, F.lit("")), V.EMOJI, ""))
-    ends = (F.length(t) >= 2) & F.substring(t, 1, 1).isin('"', "'") & (F.substring(t, 1, 1) == F.substring(t, -1, 1))
-    return collapsed(folded_lower(F.when(ends, strip(t.substr(F.lit(2), F.length(t) - 2))).otherwise(t)))
+
+    def unquoted(t: Column) -> Column:
+        ends = (F.length(t) >= 2) & F.substring(t, 1, 1).isin('"', "'") & (F.substring(t, 1, 1) == F.substring(t, -1, 1))
+        return F.when(ends, strip(t.substr(F.lit(2), F.length(t) - 2))).otherwise(t)
+
+    return collapsed(folded_lower(bound(strip(F.regexp_replace(F.coalesce(c, F.lit("")), V.EMOJI, "")), unquoted)))
 
 
 def urls(c: Column) -> Column:
@@ -92,15 +101,16 @@ def urls(c: Column) -> Column:
 def style_counts(text: Column, clean: Column) -> dict[str, Column]:
     """The six metrics: two lengths of the clean text, marks and capitals of the raw one."""
     t = F.coalesce(text, F.lit(""))
-    w = F.filter(F.split(F.regexp_replace(t, r"[^\p{L}\p{N}_]+", " "), " "), lambda x: x.rlike(f"^[{V.LATIN_WORD}]+$"))
-    upper = F.size(F.filter(w, lambda x: (F.length(x) >= 3) & (F.upper(x) == x) & (F.lower(x) != x)))
+    latin = F.filter(F.split(F.regexp_replace(t, r"[^\p{L}\p{N}_]+", " "), " "), lambda x: x.rlike(f"^[{V.LATIN_WORD}]+$"))
+    capitals = lambda w: F.size(F.filter(w, lambda x: (F.length(x) >= 3) & (F.upper(x) == x) & (F.lower(x) != x)))
+    lengths = bound(F.coalesce(clean, F.lit("")), lambda c: F.struct(F.length(c).alias("c"), F.size(words(c)).alias("w")))
     return {
-        "char_len": F.length(F.coalesce(clean, F.lit(""))),
-        "word_len": F.size(words(clean)),
+        "char_len": lengths["c"],
+        "word_len": lengths["w"],
         "num_exclamations": F.regexp_count(t, F.lit("!")),
         "num_questions": F.regexp_count(t, F.lit(r"\?")),
         "num_ellipsis": F.regexp_count(t, F.lit(r"\.{3,}|…")),
-        "uppercase_word_ratio": F.when(F.size(w) > 0, upper / F.size(w)).otherwise(F.lit(0.0)),
+        "uppercase_word_ratio": bound(latin, lambda w: F.when(F.size(w) > 0, capitals(w) / F.size(w)).otherwise(F.lit(0.0))),
     }
 
 
