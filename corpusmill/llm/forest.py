@@ -148,7 +148,6 @@ class HashForest:
         new = run.select("entry", "ord", "n", "keys")
         sets = history.select("entry", "set")
         probe = self.leaves(new).withColumnsRenamed({"entry": "a", "ord": "ao", "n": "an"})
-        # Leaves are many more bytes than what they are read from: more partitions than the session's, spread by range.
         leaves = self.leaves(history).withColumnsRenamed({"entry": "b", "ord": "bo", "n": "bn"})
         earlier = (F.col("bo") < F.col("ao")) | ((F.col("bo") == F.col("ao")) & (F.col("b") < F.col("a")))
         near = (F.col("bn") >= THRESHOLD * F.col("an")) & (F.col("an") >= THRESHOLD * F.col("bn"))
@@ -158,16 +157,19 @@ class HashForest:
             shared = F.size(F.array_intersect("sa", "sb"))
             return p.where(shared >= THRESHOLD * (F.size("sa") + F.size("sb") - shared)).select("a").distinct()
 
-        # Crowded ranges first meet their earliest entry only. Most texts are alone in theirs.
-        first = leaves.groupBy("range").agg(F.min(F.struct("bo", "b", "bn")).alias("f"), F.count(F.lit(1)).alias("k")).where(f"k > {CROWDED}").select("range", "f.*")
+        # Crowded ranges first meet their earliest entry only. Which ranges are crowded is seen on a share of the entries, spread by a
+        # hash: it decides how the work is done, not what is found.
+        share = self.leaves(history.where(F.pmod(F.xxhash64("entry"), F.lit(SHARE)) == 0))
+        crowded = share.groupBy("range").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") * SHARE > CROWDED).select("range")
+        first = leaves.join(written(crowded, "p1-crowded"), "range").groupBy("range").agg(F.min(F.struct("bo", "b", "bn")).alias("f")).select("range", "f.*")
         crowd = written(probe.join(first, "range").where(earlier & near).select("a", "b").distinct(), "p1-crowds")
         settled = written(verified(crowd), "p1-settled")
         rest = probe.join(settled, "a", "left_anti").join(leaves, "range").where(earlier & near).select("a", "b").distinct()
         return settled.unionByName(verified(written(rest, "p1-pairs"))).select(F.col("a").alias("entry"))
 
 
-#: A range of more entries than this is crowded.
-CROWDED = 64
+#: A range of more entries than this is crowded, judged by one in SHARE entries.
+CROWDED, SHARE = 128, 16
 
 
 def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -186,7 +186,7 @@ def test_batches_one_by_one_equal_one_pass(spark):
 
 def test_crowded_ranges_are_settled_exactly(spark):
     base = [f"k{i}" for i in range(60)]
-    old = [(i, " ".join(base[:59] + [f"x{i}"])) for i in range(150)]
+    old = [(i, " ".join(base[:59] + [f"x{i}"])) for i in range(600)]
     new = [(1000 + i, 1, " ".join(base[:58] + [f"y{i}", "z"])) for i in range(30)] + [(2000, 1, " ".join(f"n{i}" for i in range(40)))]
     got = {r["rid"] for r in forest.repeats(spark.createDataFrame(old, "rid bigint, text string"), spark.createDataFrame(new, "rid bigint, batch_no int, text string")).collect()}
     assert got == {r for r, *_ in new[:30]}
