@@ -115,3 +115,37 @@ def p5_masked(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p5_found": p5_found, "p5_masked": p5_masked}
+
+
+# ------------------------------------------------------------- SQL
+
+_FOLD = "strip_accents(lower({}))"
+_FIELDS = "|".join(canonical.CARD_FIELDS)
+_FIELD = rf"(?:^|[|;\r\n])[^\p{{L}}\p{{N}}|;\r\n]*({_FIELDS})[^\p{{L}}\p{{N}}:|;\r\n]*:"
+
+
+def _canon_sql(text: str) -> str:
+    t = _FOLD.format(text)
+    fields = rf"list_filter(list_transform(string_split(regexp_replace({t}, '{_FIELD}', chr(1) || '\1' || chr(2), 'g'), chr(1)), lambda x: regexp_replace(x, '[^\p{{L}}\p{{N}}\x02]+', '', 'g')), lambda x: x <> '')"
+    return rf"CASE WHEN regexp_matches({t}, '(?s){_FIELD}.*{_FIELD}') THEN array_to_string(list_sort({fields}), chr(1)) ELSE regexp_replace({t}, '[^\p{{L}}\p{{N}}]+', '', 'g') END"
+
+
+SQL["p7_found"] = f"""
+WITH c AS (SELECT rid, {_canon_sql('text_no_url')} AS k FROM fakenewsbr_v6_public WHERE text_no_url IS NOT NULL), g AS (SELECT rid, min(rid) OVER (PARTITION BY k) AS rid_first FROM c WHERE k <> '')
+SELECT rid_first, rid AS rid_copy FROM g WHERE rid <> rid_first"""
+SQL["p7_texts"] = f"""
+SELECT rid_first, copies, variants FROM (SELECT k, min(rid) AS rid_first, count(*) AS copies, count(DISTINCT text_clean) AS variants FROM (SELECT rid, text_clean, {_canon_sql('text_clean')} AS k FROM fakenewsbr_v6_public WHERE text_clean IS NOT NULL) WHERE k <> '' GROUP BY k)"""
+SQL["p10_found"] = f"""
+WITH t AS (SELECT text, list(DISTINCT doc_id) AS ids, min(doc_id) AS rep FROM documents WHERE length(text) >= {spans.RUN} GROUP BY text), w AS (SELECT DISTINCT rep, substr(text, unnest(range(1, length(text) - {spans.RUN} + 2)), {spans.RUN}) AS run FROM t),
+s AS (SELECT run FROM w GROUP BY run HAVING count(*) > 1), m AS (SELECT w.rep, w.run FROM w JOIN s USING (run)), p AS (SELECT DISTINCT a.rep AS a, b.rep AS b FROM m a JOIN m b ON a.run = b.run AND a.rep <= b.rep UNION SELECT rep, rep FROM t),
+x AS (SELECT unnest(ta.ids) AS da, tb.ids AS idb FROM p JOIN t ta ON ta.rep = p.a JOIN t tb ON tb.rep = p.b), y AS (SELECT da, unnest(idb) AS db FROM x)
+SELECT DISTINCT least(da, db) AS doc_a, greatest(da, db) AS doc_b FROM y WHERE da <> db"""
+_WORDS = "trim(regexp_replace(strip_accents(lower({})), '[^a-z0-9]+', ' ', 'g'))"
+SQL["p1_found"] = f"""
+WITH r AS (SELECT rid, -1 AS b, text_no_url AS t FROM fakenewsbr_v6_public UNION ALL SELECT rid, batch_no, text_no_url FROM incoming_rows),
+k AS (SELECT rid, b, {_canon_sql('t')} AS k, string_split({_WORDS.format('t')}, ' ') AS w FROM r WHERE t IS NOT NULL),
+e AS (SELECT rid FROM (SELECT rid, b, row_number() OVER (PARTITION BY k ORDER BY b, rid) AS n FROM k WHERE k <> '') WHERE b >= 0 AND n > 1),
+s AS (SELECT rid, b, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM k WHERE len(w) >= 3),
+u AS (SELECT rid, b, len(s) AS n, unnest(s) AS g FROM s),
+q AS (SELECT x.rid, y.rid AS o, any_value(x.n) AS xn, any_value(y.n) AS yn, count(*) AS c FROM u x JOIN u y ON x.g = y.g AND (y.b < x.b OR (y.b = x.b AND y.rid < x.rid)) WHERE x.b >= 0 GROUP BY x.rid, y.rid)
+SELECT rid FROM e UNION SELECT rid FROM q WHERE c >= 0.6 * (xn + yn - c)"""
