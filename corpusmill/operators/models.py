@@ -99,6 +99,7 @@ def text_baseline(rows: DataFrame, text: str, stop: list[str] | None = None, siz
     x = counts.transform(x)
     idf = IDF(inputCol="tf", outputCol="tfidf").fit(x)
     x = Normalizer(inputCol="tfidf", outputCol="features").transform(idf.transform(x))
-    model = LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight", regParam=1e-3).fit(x)
+    # The usual strength of 1: the penalty is that on the sum of losses.
+    model = LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight", regParam=1.0 / max(1, rows.count())).fit(x)
     ranked = sorted(zip(counts.vocabulary, map(float, model.coefficients.toArray()), strict=True), key=lambda t: (-abs(t[1]), t[0]))[:top]
     return model, rows.sparkSession.createDataFrame(ranked, "term string, weight double")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.operators import timestamps
-from corpusmill.plans import stream_queries, table_queries, text_queries
+from corpusmill.plans import pipeline_queries, stream_queries, table_queries, text_queries
 from corpusmill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,5 +17,5 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.found(table(spark, d, "fakenewsbr_v6_public"), table(spark, d, "source_registry"))
 
 
-QUERIES: dict[str, Query] = {"p6_found": p6_found} | text_queries.QUERIES | table_queries.QUERIES | stream_queries.QUERIES
-SQL: dict[str, str] = text_queries.SQL | table_queries.SQL | stream_queries.SQL
+QUERIES: dict[str, Query] = {"p6_found": p6_found} | text_queries.QUERIES | table_queries.QUERIES | stream_queries.QUERIES | pipeline_queries.QUERIES
+SQL: dict[str, str] = text_queries.SQL | table_queries.SQL | stream_queries.SQL | pipeline_queries.SQL
