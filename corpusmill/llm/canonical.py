@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import folded_lower
+from corpusmill.functions.text import bound, folded_lower
 
 # The field names of a card, without accents, in lower case.
 CARD_FIELDS = ["alegacao", "local", "data", "canal", "alcance"]
@@ -30,11 +30,15 @@ SALTS = 8
 
 def canonical(text: Column) -> Column:
     """The canonical form by which two texts are the same; empty for texts without letters and digits, null for null."""
-    t = folded_lower(text)
-    marked = F.split(F.regexp_replace(t, _FIELD, "\u0001$1\u0002"), "\u0001")
-    fields = F.transform(marked, lambda x: F.regexp_replace(x, r"[^\p{L}\p{N}\u0002]+", ""))
-    card = F.array_join(F.array_sort(F.filter(fields, lambda x: x != "")), "\u0001")
-    return F.when(t.rlike(f"(?s){_FIELD}.*{_FIELD}"), card).otherwise(F.regexp_replace(t, _NOISE, ""))
+
+    def of_folded(t: Column) -> Column:
+        marked = F.split(F.regexp_replace(t, _FIELD, "\u0001$1\u0002"), "\u0001")
+        fields = F.transform(marked, lambda x: F.regexp_replace(x, r"[^\p{L}\p{N}\u0002]+", ""))
+        card = F.array_join(F.array_sort(F.filter(fields, lambda x: x != "")), "\u0001")
+        # A card has at least two colons: most texts are told apart without the pattern.
+        return F.when((F.length(t) - F.length(F.replace(t, F.lit(":"), F.lit(""))) > 1) & t.rlike(f"(?s){_FIELD}.*{_FIELD}"), card).otherwise(F.regexp_replace(t, _NOISE, ""))
+
+    return bound(folded_lower(text), of_folded)
 
 
 def survivors(rows: DataFrame, id_col: str, text_col: str, first: Column | None = None) -> DataFrame:
