@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import bpe, canonical, forest, fusion, languages, mixing, personal, ratings, spans
+from corpusmill.plans import queries as core
 from corpusmill.session import table, written
 
 QUERIES = {}
@@ -149,3 +150,15 @@ s AS (SELECT rid, b, list_distinct(list_transform(range(1, len(w) - 1), lambda i
 u AS (SELECT rid, b, len(s) AS n, unnest(s) AS g FROM s),
 q AS (SELECT x.rid, y.rid AS o, any_value(x.n) AS xn, any_value(y.n) AS yn, count(*) AS c FROM u x JOIN u y ON x.g = y.g AND (y.b < x.b OR (y.b = x.b AND y.rid < x.rid)) WHERE x.b >= 0 GROUP BY x.rid, y.rid)
 SELECT rid FROM e UNION SELECT rid FROM q WHERE c >= 0.6 * (xn + yn - c)"""
+
+_STAND_INS = "(" + ", ".join("'" + x + "'" for x in fusion.STAND_INS) + ")"
+_BLANK = r"NOT regexp_matches({}, '[^\s\p{{Z}}\p{{Cf}}]')"
+SQL["p3_found"] = rf"""
+WITH bad AS (SELECT rid FROM ({core.SQL['p6_found']}) WHERE date_utc = 'invalid'),
+c AS (SELECT rid, {_canon_sql('text_no_url')} AS k FROM fakenewsbr_v6_public WHERE text_no_url IS NOT NULL), g AS (SELECT rid, min(rid) OVER w AS grp, count(*) OVER w AS n FROM c WHERE k <> '' WINDOW w AS (PARTITION BY k)),
+m AS (SELECT g.grp, p.*, r.trust_rank, (SELECT max(collected_at) FROM fakenewsbr_v6_provenance v WHERE v.rid = p.rid) AS seen FROM g JOIN fakenewsbr_v6_public p USING (rid) LEFT JOIN source_registry r USING (dataset_name) WHERE g.n > 1),
+f AS (SELECT grp, rid, trust_rank, seen, 'url_review' AS field FROM m WHERE regexp_matches(trim(url_review), '(?i)^https?://[^\s/?#]+\S*$')
+  UNION ALL SELECT grp, rid, trust_rank, seen, 'factcheck_rating' FROM m WHERE factcheck_rating IS NOT NULL AND NOT ({_BLANK.format('factcheck_rating')}) AND regexp_replace(strip_accents(lower(factcheck_rating)), '^[^\p{{L}}\p{{N}}★☆]+|[^\p{{L}}\p{{N}}★☆]+$', '', 'g') NOT IN {_STAND_INS}
+  UNION ALL SELECT grp, rid, trust_rank, seen, 'date_iso' FROM m WHERE date_iso IS NOT NULL AND NOT ({_BLANK.format('date_iso')}) AND rid NOT IN (SELECT rid FROM bad)
+  UNION ALL SELECT grp, rid, trust_rank, seen, 'dataset_name' FROM m WHERE dataset_name IS NOT NULL)
+SELECT grp AS rid_first, field, rid AS rid_from FROM f QUALIFY row_number() OVER (PARTITION BY grp, field ORDER BY coalesce(trust_rank, 2147483647), coalesce(seen, '') DESC, rid) = 1"""
