@@ -132,3 +132,11 @@ def fit_platt(rows: DataFrame, rounds: int = 25) -> tuple[float, float]:
         if abs(da) + abs(db) < 1e-10:
             break
     return a, b
+
+
+def side_by_side(rows: DataFrame, keys: list[str], models: list[str], least: int = 30) -> DataFrame:
+    """``(slice, model, n, mean, acc, low, high)``: several score columns over the same slices."""
+    long = rows.unpivot(["y", *keys], models, "model", "p")
+    got = slices(long.withColumn("__slice", F.concat_ws(" | ", *keys)), ["model", "__slice"], least)
+    at = F.locate(" | ", F.col("slice"))
+    return got.select(F.col("slice").substr(at + 3, F.length("slice")).alias("slice"), F.col("slice").substr(F.lit(1), at - 1).alias("model"), "n", "mean", "acc", "low", "high")

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
 from corpusmill.functions import vocabulary as V
-from corpusmill.operators import evidence, extraction, linkage, models, prompts
+from corpusmill.operators import evaluation, evidence, extraction, linkage, merging, models, near_duplicates, prompts
 from corpusmill.plans import sqlparts as S
-from corpusmill.session import table
+from corpusmill.session import table, written
 from corpusmill.sources import readers
 
 QUERIES: dict = {}
@@ -126,3 +126,64 @@ def logistic_head(spark, d):
     part = F.pmod(F.xxhash64("vec_id"), F.lit(10))
     _, strength, score = models.fit_head(e.where(part < 7), e.where(part >= 7), ["bias"], strengths=(0.1, 1.0), vector="embedding")
     return spark.createDataFrame([(strength, float(score))], "strength double, macro_f1 double")
+
+
+@query()
+def merged_version(spark, d):
+    """The incoming rows merged into the main table; fails if the base changed or an id repeats."""
+    base = table(spark, d, MAIN)
+    t, _, _ = merging.merge(base, table(spark, d, "incoming_rows").drop("batch_no", "arrived_at"), table(spark, d, PROV))
+    t = written(t, "merged")
+    merging.check_merge(t, base)
+    return t.groupBy("part", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+_W = "(greatest(coalesce(word_len, 0), 0) + 1.0)"
+
+
+@query(f"""
+WITH l AS (SELECT rid, min(train_label) FILTER (train_label IN ('fake', 'true')) AS train_label FROM {LABELS} GROUP BY rid), p AS (SELECT rid, min(label_source) AS label_source FROM {PROV} GROUP BY rid),
+x AS (SELECT m.* REPLACE (coalesce(l.train_label, m.label) AS label), p.label_source FROM {MAIN} m LEFT JOIN l USING (rid) LEFT JOIN p USING (rid)), k AS (SELECT *, {S.fold(S.strip("coalesce(factcheck_rating, '')"))} AS k, coalesce(dataset_name, 'nan') AS g FROM x)
+SELECT rid, label, CAST(label = 'fake' AS INT) AS target, g AS "group", {S.channel('g')} AS channel, regexp_matches(coalesce(url_review, '') || ' ' || coalesce(factcheck_url, ''), {S.text(V.PTPT_3)}, 'i') AS is_ptpt,
+  CASE WHEN {S.blank('factcheck_rating')} THEN 'none' WHEN k IN {S.strings(V.MODEL_HARD)} THEN 'hard' WHEN k IN {S.strings(V.MODEL_FALSE)} THEN 'false_pure' WHEN k IN {S.strings(V.MODEL_TRUE)} THEN 'true_rating' ELSE 'other' END AS rating_class,
+  coalesce(label_source, '') AS label_source, round(coalesce(num_exclamations, 0) / {_W}, 9) AS excl_rate, round(ln({_W}), 9) AS log_word_len FROM k WHERE label IN ('fake', 'true') AND NOT {S.blank('text')}""")
+def modelling_table(spark, d):
+    m = merging.modelling_table(table(spark, d, MAIN), table(spark, d, LABELS), table(spark, d, PROV))
+    return m.select("rid", "label", "target", "group", "channel", "is_ptpt", "rating_class", "label_source", F.round("excl_rate", 9).alias("excl_rate"), F.round("log_word_len", 9).alias("log_word_len"))
+
+
+_BANDS = "CASE WHEN word_len <= 10 THEN '1-10' WHEN word_len <= 20 THEN '11-20' WHEN word_len <= 40 THEN '21-40' WHEN word_len <= 80 THEN '41-80' WHEN word_len <= 200 THEN '81-200' WHEN word_len IS NOT NULL THEN '200+' ELSE 'none' END"
+_DAY = "CASE WHEN regexp_matches(substr(date_iso, 1, 10), '^\\d{4}-\\d{2}-\\d{2}$') THEN try_cast(substr(date_iso, 1, 10) AS DATE) END"
+_YEAR = f"CASE WHEN year({_DAY}) <= 2015 THEN 'to 2015' WHEN year({_DAY}) <= 2017 THEN '2016-2017' WHEN year({_DAY}) <= 2019 THEN '2018-2019' WHEN year({_DAY}) <= 2021 THEN '2020-2021' WHEN year({_DAY}) IS NOT NULL THEN '2022 on' ELSE 'none' END"
+_CLOSED = f"CASE WHEN ({_DAY}) IS NULL THEN 'sem_data' WHEN ({_DAY}) <= DATE '2018-01-01' THEN 'ate_2017' WHEN ({_DAY}) <= DATE '2022-12-01' THEN '2018_2022' ELSE 'pos_gpt35' END"
+
+
+@query(f"SELECT {_BANDS} AS length_band, {_YEAR} AS year_band, {_CLOSED} AS closed_era, count(*) AS n, count(*) FILTER (label = 'fake') AS fake FROM {MAIN} GROUP BY 1, 2, 3")
+def banded_counts(spark, d):
+    g = table(spark, d, MAIN).groupBy(merging.length_band(F.col("word_len")).alias("length_band"), merging.year_band(F.col("date_iso")).alias("year_band"), merging.closed_era(F.col("date_iso")).alias("closed_era"))
+    return g.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == "fake").alias("fake"))
+
+
+_S = f"""(SELECT l.rid, CAST(l.label = 'fake' AS INT) AS y, CASE WHEN l.auto_label = 'fake' THEN l.confidence WHEN l.auto_label = 'true' THEN 1 - l.confidence ELSE 0.5 END AS a, CASE WHEN regexp_matches(l.text, '[!?]') THEN 0.7 ELSE 0.3 END AS b,
+  CASE WHEN contains(l.text, '?') THEN 'question' ELSE 'plain' END AS question, coalesce(l.method, '') AS method FROM {LABELS} l WHERE l.confidence IS NOT NULL AND l.label IN ('fake', 'true'))"""
+
+
+@query(f"""
+WITH m AS (SELECT question, method, y, 'a' AS model, a AS p FROM {_S} UNION ALL SELECT question, method, y, 'b', b FROM {_S})
+SELECT question || ' | ' || method AS slice, model, count(*) AS n, round(avg(CAST((p >= 0.5) = (y = 1) AS INT)), 6) AS acc FROM m GROUP BY 1, 2 HAVING count(*) >= 30""")
+def models_side_by_side(spark, d):
+    """Two scores compared on the same slices."""
+    c = F.col("confidence")
+    a = F.when(F.col("auto_label") == "fake", c).when(F.col("auto_label") == "true", 1 - c).otherwise(0.5)
+    rows = table(spark, d, LABELS).where(c.isNotNull() & F.col("label").isin("fake", "true")).select(
+        "rid", (F.col("label") == "fake").cast("int").alias("y"), a.alias("a"), F.when(F.coalesce(F.col("text"), F.lit("")).rlike("[!?]"), 0.7).otherwise(0.3).alias("b"),
+        F.when(F.coalesce(F.col("text"), F.lit("")).contains("?"), "question").otherwise("plain").alias("question"), F.coalesce("method", F.lit("")).alias("method"))
+    return evaluation.side_by_side(rows, ["question", "method"], ["a", "b"]).select("slice", "model", "n", F.round("acc", 6).alias("acc"))
+
+
+@query()
+def near_duplicate_share(spark, d):
+    """The share of each group's incoming rows that are near to known or earlier ones."""
+    new = table(spark, d, "incoming_rows")
+    got = near_duplicates.deduplicate(new, table(spark, d, MAIN).select("rid", "text_no_url"))
+    return new.select("rid", "dataset_name").join(got, "rid").groupBy("dataset_name").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("reason").isNotNull().cast("int")).alias("share"))
