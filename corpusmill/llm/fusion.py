@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.text import blank, folded_lower
 from corpusmill.llm import canonical
 from corpusmill.operators.timestamps import normalise_timestamps
+from corpusmill.session import written
 
 FIELDS = ["url_review", "factcheck_rating", "date_iso", "dataset_name"]
 # What is typed where a value is missing, without accents, in lower case, without outer signs.
@@ -68,7 +69,7 @@ def fuse_by_votes(c: DataFrame, rounds: int = 2) -> DataFrame:
     Claims collapse to one per source first, so a group of any size costs one row per source and value. Pairs are pairs
     of sources that share a value that lost, never pairs of rows.
     """
-    votes = c.groupBy("grp", "field", "value", "source").agg(F.min("trust_rank").alias("trust_rank"), F.min("rid").alias("rid"))
+    votes = written(c.groupBy("grp", "field", "value", "source").agg(F.min("trust_rank").alias("trust_rank"), F.min("rid").alias("rid")), "p3-votes")
     accuracy = votes.groupBy("source").agg(F.greatest(F.lit(0.55), F.lit(0.95) - 0.08 * (F.least(F.min("trust_rank"), F.lit(6)) - 1)).alias("acc"))
     weights = votes.withColumn("w", F.lit(1.0))
     post = None
@@ -78,7 +79,8 @@ def fuse_by_votes(c: DataFrame, rounds: int = 2) -> DataFrame:
         total = score.groupBy("grp", "field").agg(F.max("s").alias("m"), F.count(F.lit(1)).alias("k"), F.max_by("value", F.struct("s", -F.col("rid"))).alias("top"))
         near = score.join(total, ["grp", "field"]).withColumn("e", F.exp(F.col("s") - F.col("m")))
         norm = near.groupBy("grp", "field").agg((F.sum("e") + F.greatest(WRONG_VALUES + 1 - F.max("k"), F.lit(0)) * F.exp(-F.max("m"))).alias("z"))
-        post = near.join(norm, ["grp", "field"]).select("grp", "field", "value", (F.col("e") / F.col("z")).alias("posterior"), "votes", "rid", (F.col("value") == F.col("top")).alias("won"))
+        # Each round is written, so that the next one's plan doesn't hold it several times over.
+        post = written(near.join(norm, ["grp", "field"]).select("grp", "field", "value", (F.col("e") / F.col("z")).alias("posterior"), "votes", "rid", (F.col("value") == F.col("top")).alias("won")), "p3-posteriors")
         told = votes.join(post.select("grp", "field", "value", "posterior", "won"), ["grp", "field", "value"])
         accuracy = told.groupBy("source").agg(F.greatest(F.lit(0.05), F.least(F.lit(0.99), (F.sum("posterior") + 4) / (F.count(F.lit(1)) + 5))).alias("acc"))
         wrong = told.where(~F.col("won")).select("grp", "field", "value", "source")
@@ -93,7 +95,7 @@ def fuse_by_votes(c: DataFrame, rounds: int = 2) -> DataFrame:
         # Of two dependent sources that claim the same value, the one of later name is taken for the copier.
         both = votes.select("grp", "field", "value", F.col("source").alias("s1")).join(dependent, "s1").join(votes.select("grp", "field", "value", F.col("source").alias("s2")), ["grp", "field", "value", "s2"])
         discount = both.groupBy("grp", "field", "value", F.col("s2").alias("source")).agg(F.exp(F.sum(F.log(1 - COPY_SHARE * F.col("dep")))).alias("w"))
-        weights = votes.join(discount, ["grp", "field", "value", "source"], "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
+        weights = written(votes.join(discount, ["grp", "field", "value", "source"], "left").withColumn("w", F.coalesce("w", F.lit(1.0))), "p3-weights")
     return post.where("won").select("grp", "field", "value", "posterior", "votes")
 
 
