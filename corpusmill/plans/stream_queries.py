@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusmill.operators import models
-from corpusmill.session import shared_dir, table
+from corpusmill.session import table, work_dir
 from corpusmill.streaming import streams
 
 QUERIES: dict = {}
@@ -43,7 +43,7 @@ def user_sessions(spark, d):
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, round(sum(value), 4) AS total FROM events GROUP BY event_type")
 def streamed_events(spark, d):
     """The events read as a stream of files, each id once, appended to a table by micro-batches, then summed."""
-    base = f"{shared_dir(spark)}/corpusmill/stream-{uuid.uuid4().hex}"
+    base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
     rows = streams.once_per_id(streams.files(spark, f"{d}/events.parque[t]", EVENTS, "parquet"), "event_id")
     streams.append_to(rows, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.schema(EVENTS).parquet(f"{base}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"))

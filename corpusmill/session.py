@@ -41,9 +41,20 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def work_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/corpusmill/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what this application wrote to the shared folder; results not yet read are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Writes ``df`` once to the shared folder and returns the written table, so that a lost executor never forces the lineage to run again."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)

@@ -156,3 +156,13 @@ def test_cleaning_defines_nulls_and_ties(spark):
     assert cleaning.conflicting_texts(df).count() == 1
     assert cleaning.sanitize(df.limit(0)).count() == 0
     assert cleaning.sanitize(df).columns == df.columns
+
+
+def test_written_tables_are_released(spark):
+    from corpusmill import session
+
+    df = session.written(spark.range(3), "x")
+    assert df.count() == 3 and session.work_dir(spark) in df.inputFiles()[0].replace("file:///", "file:///")
+    session.release(spark)
+    with pytest.raises(Exception):  # noqa: B017
+        spark.read.parquet(session.work_dir(spark) + "/*").count()
