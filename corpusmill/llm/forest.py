@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import folded_lower
 from corpusmill.llm import canonical
-from corpusmill.session import shared_dir, ship, written
+from corpusmill.session import ship, work_dir, written
 
 THRESHOLD, RECALL = 0.6, 0.99
 TREES, DEPTH, LABEL_BITS = 36, 6, 10
@@ -113,10 +113,16 @@ class HashForest:
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         ship(spark)
-        self.spark, self.path = spark, path or f"{shared_dir(spark)}/corpusmill/forest-{uuid.uuid4().hex}"
-        self.runs: list[str] = []
+        self.spark, self.path = spark, (path or f"{work_dir(spark)}/forest-{uuid.uuid4().hex}").rstrip("/")
+        root, fs = self._at(self.path)
+        # A path of its own outlives the application: what is complete there is the history.
+        self.runs = sorted(f"{self.path}/{s.getPath().getName()}" for s in (fs.listStatus(root) if fs.exists(root) else []) if fs.exists(self._at(f"{self.path}/{s.getPath().getName()}/_SUCCESS")[0]))
         self.shift = LABEL_BITS * (DEPTH - search_depth())
 
+    def _at(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def signed(self, rows: DataFrame, batch: int | None = None) -> DataFrame:
         """Signatures of ``(rid, batch_no, text)`` rows: ``(entry, ord, n, keys, set)``."""
         return entries(rows, batch).mapInPandas(_signatures, "entry bigint, ord int, n int, keys array<bigint>, set array<int>")
@@ -133,7 +139,10 @@ class HashForest:
         if len(self.runs) > 1:
             to = f"{self.path}/merged-{uuid.uuid4().hex[:8]}"
             self.spark.read.parquet(*self.runs).write.parquet(to)
-            self.runs = [to]
+            old, self.runs = self.runs, [to]
+            for run in old:
+                p, fs = self._at(run)
+                fs.delete(p, True)
 
     def leaves(self, run: DataFrame) -> DataFrame:
         """``(tree, prefix, entry, ord, n)``: a tree's leaves at the search depth. Entries with one prefix are one range."""

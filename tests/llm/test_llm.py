@@ -163,19 +163,20 @@ def test_repeats_against_brute_force(spark):
     assert len(want - got) <= 0.01 * len(want) and got <= want
 
 
-def test_batches_one_by_one_equal_one_pass(spark):
+def test_batches_one_by_one_equal_one_pass(spark, tmp_path):
     t = _texts(300, 2)
     old = spark.createDataFrame([(i, -1, x) for i, x in enumerate(t[:150])], "rid bigint, batch_no int, text string")
-    f = forest.HashForest(spark)
-    f.append(old, -1)
+    forest.HashForest(spark, str(tmp_path / "forest")).append(old, -1)
     got = set()
     for k in range(3):
+        f = forest.HashForest(spark, str(tmp_path / "forest"))  # as another day's session would
         batch = spark.createDataFrame([(1000 + k * 100 + i, k, x) for i, x in enumerate(t[150 + k * 50 : 200 + k * 50])], "rid bigint, batch_no int, text string")
         run = f.append(batch, k)
         got |= {r["entry"] for r in f.similar(run).collect()}
         if k == 1:
             f.merge_runs()
             assert len(f.runs) == 1
+    assert len(f.runs) == 2
     both = forest.HashForest(spark)
     both.append(old, -1)
     run = both.append(spark.createDataFrame([(1000 + k * 100 + i, k, x) for k in range(3) for i, x in enumerate(t[150 + k * 50 : 200 + k * 50])], "rid bigint, batch_no int, text string"))
