@@ -1,10 +1,11 @@
 """Long exact spans shared between records (problem 10).
 
 Token k-mers are the edges of a De Bruijn graph. A k-mer starts at a token and has as many tokens as make up ``EDGE``
-code points, chosen so that any run of ``RUN`` shared code points holds at least one whole k-mer that both texts cut at
-the same tokens (see ``_starts``). A k-mer whose every occurrence follows the same k-mer lies inside a nonbranching path and
-is dropped: whoever shares it shares the path's head. Only heads are looked up again; windows of exactly ``RUN`` code
-points around them, compacted in the same way, give the texts that meet, and the text at the source coordinates decides.
+code points; of those that start close together only the one of smallest hash is kept, chosen so that any run of ``RUN``
+shared code points holds at least one that both texts cut at the same tokens and keep (see ``_starts``). A k-mer whose
+every occurrence follows the same k-mer lies inside a nonbranching path and is dropped: whoever shares it shares the
+path's head. Only heads are looked up again; windows of exactly ``RUN`` code points around them, compacted in the same
+way, give the texts that meet, and the text at the source coordinates decides.
 
 Identical texts are one node; pairs of copies are added at the end. All groupings pre-aggregate before their shuffle.
 
@@ -29,8 +30,10 @@ from corpusmill.session import ship, written
 RUN = 160
 #: No token is longer than this: longer runs of letters or digits are cut at every code point.
 TOKEN = 24
-#: Least length of a k-mer: a run may lose a part token at its start and up to a token at the end, and must see its end.
-EDGE = RUN - 2 * TOKEN - 2
+#: Least length of a k-mer, and the stretch of starts of which only the k-mer of smallest hash is kept. A run loses at most a part token at
+#: its start; all k-mers that start in the next WINDOW code points then end before the token that its end may cut.
+EDGE = 80
+WINDOW = RUN - 2 * TOKEN - 2 - EDGE
 
 #: Texts whose k-mers are handed over together: bounds the memory of a Python worker.
 SLICE = 250
@@ -62,19 +65,42 @@ def _starts(cp: np.ndarray) -> np.ndarray:
 _ASCII = np.array([0 if chr(c).isalnum() else 1 if chr(c).isspace() else 2 for c in range(128)])
 
 
-def _kmers(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start positions and 64-bit hashes of all k-mers of one text."""
-    starts = _starts(cp)
-    end = np.searchsorted(starts, starts + EDGE)
-    starts, end = starts[end < len(starts)], starts[end[end < len(starts)]]
+def _prefix(cp: np.ndarray) -> np.ndarray:
+    """Sums of mixed code points times powers of a base: the hash of any stretch is a difference of two, moved to the origin."""
     with np.errstate(over="ignore"):
         x = (cp.astype(np.uint64) + np.uint64(1)) * _MIX
         x ^= x >> np.uint64(29)
-        prefix = np.concatenate([[np.uint64(0)], np.cumsum(x * _POWERS(len(cp))[: len(cp)], dtype=np.uint64)])
-        h = (prefix[end] - prefix[starts]) * _INVERSES(len(cp))[starts]
+        return np.concatenate([[np.uint64(0)], np.cumsum(x * _POWERS(len(cp))[: len(cp)], dtype=np.uint64)])
+
+
+def _stretches(prefix: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches from ``lo`` to ``hi``."""
+    with np.errstate(over="ignore"):
+        h = (prefix[hi] - prefix[lo]) * _INVERSES(len(prefix))[lo]
         h ^= h >> np.uint64(32)
         h *= _MIX
-    return starts, h.view(np.int64)
+        return h ^ (h >> np.uint64(29))
+
+
+def _kmers(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start positions and hashes of all k-mers of one text."""
+    starts = _starts(cp)
+    end = np.searchsorted(starts, starts + EDGE)
+    starts, end = starts[end < len(starts)], starts[end[end < len(starts)]]
+    return starts, _stretches(_prefix(cp), starts, end)
+
+
+def _kept(starts: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which k-mers have the smallest hash (the leftmost of equals) of all that start within WINDOW of some start."""
+    best, at = h.copy(), np.arange(len(h))
+    for k in range(1, len(h)):
+        inside = starts[k:] - starts[:-k] <= WINDOW
+        if not inside.any():
+            break
+        better = inside & (h[k:] < best[:-k])
+        best[:-k][better] = h[k:][better]
+        at[:-k][better] = np.flatnonzero(better) + k
+    return np.unique(at)
 
 
 class _Table:
@@ -103,12 +129,40 @@ def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rep, text in zip(b["rep"], b["text"], strict=True):
             pos, h = _kmers(_code_points(text))
             if len(h):
-                out.append((np.full(len(h), rep), pos.astype(np.int32), h, np.concatenate([[0], h[:-1]]), np.arange(len(h)) > 0))
+                keep = _kept(pos, h)
+                pos, h = pos[keep], h[keep]
+                # The k-mer before counts with its distance, and only if the two overlap: then whoever shares both shares one stretch.
+                gap = np.diff(pos, prepend=0)
+                with np.errstate(over="ignore"):
+                    prev = np.concatenate([[np.uint64(0)], h[:-1]]) ^ (gap.astype(np.uint64) * _MIX)
+                linked = (np.arange(len(h)) > 0) & (gap <= EDGE)
+                out.append((np.full(len(h), rep), pos.astype(np.int32), h.view(np.int64), prev.view(np.int64), linked))
         if out:
             rep, pos, h, prev, has = (np.concatenate(c) for c in zip(*out, strict=True))
             yield pd.DataFrame({"rep": rep, "pos": pos, "h": h, "prev": pd.Series(prev).where(has).astype("Int64")})
 
 
+def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The windows of RUN code points that hold one of a text's heads, each with the hash of the window one to the left if that is one too."""
+    for b in (batch[i : i + SLICE] for batch in batches for i in range(0, len(batch), SLICE)):
+        out = []
+        for rep, text, at in zip(b["rep"], b["text"], b["at"], strict=True):
+            cp = _code_points(text)
+            hit = np.zeros(len(cp) + 1, np.int32)
+            for pos in at:
+                lo, hi = max(pos - (RUN - EDGE), 0), min(pos, len(cp) - RUN)
+                if lo <= hi:
+                    hit[lo] += 1
+                    hit[hi + 1] -= 1
+            begin = np.flatnonzero(np.cumsum(hit) > 0)
+            if len(begin):
+                h = _stretches(_prefix(cp), begin, begin + RUN).view(np.int64)
+                out.append((np.full(len(h), rep), begin.astype(np.int32), h, np.concatenate([[0], h[:-1]]), np.diff(begin, prepend=-2) == 1))
+        if out:
+            rep, begin, h, prev, has = (np.concatenate(c) for c in zip(*out, strict=True))
+            yield pd.DataFrame({"rep": rep, "from": begin, "h": h, "prev": pd.Series(prev).where(has).astype("Int64")})
+
+
 def heads(edges: DataFrame, key: str = "h", prev: str = "prev", member: str = "rep") -> DataFrame:
     """The keys that at least two members share and that don't always follow one and the same key."""
     g = edges.groupBy(key).agg(F.min(member).alias("m1"), F.max(member).alias("m2"), F.min(prev).alias("p1"), F.max(prev).alias("p2"), F.count_if(F.col(prev).isNull()).alias("open"))
@@ -124,15 +178,10 @@ def shared_texts(texts: DataFrame) -> DataFrame:
     """``(a, b)``: pairs of distinct texts that share a run, ``a < b``."""
     ship(texts.sparkSession)
     edges = texts.select("rep", "text").mapInPandas(_edges, "rep bigint, pos int, h bigint, prev bigint")
-    at = written(edges.join(heads(edges), "h").select("rep", "pos"), "p10-heads")
-    # The windows of RUN code points that hold the k-mer, each named by its hash and that of the window one to the left.
-    room = RUN - EDGE
-    n = F.char_length("text")
-    lo, hi = F.greatest(F.col("pos") - room, F.lit(0)), F.least(F.col("pos"), n - RUN)
-    w = at.join(texts, "rep").where(lo <= hi).select("rep", "text", lo.alias("lo"), F.explode(F.sequence(lo, hi)).alias("from"))
+    # A text's positions are bounded by its length.
+    at = written(edges.join(heads(edges), "h").groupBy("rep").agg(F.collect_set("pos").alias("at")), "p10-heads")
+    w = written(at.join(texts, "rep").select("rep", "text", "at").mapInPandas(_windows, "rep bigint, from int, h bigint, prev bigint"), "p10-windows")
     cut = lambda i: F.substr("text", i + 1, F.lit(RUN))
-    w = w.select("rep", "from", F.xxhash64(cut(F.col("from"))).alias("h"), F.when(F.col("from") > F.col("lo"), F.xxhash64(cut(F.col("from") - 1))).alias("prev"))
-    w = written(w.groupBy("rep", "from", "h").agg(F.min("prev").alias("prev"), F.count_if(F.col("prev").isNull()).alias("open")).select("rep", "from", "h", F.when(F.col("open") == 0, F.col("prev")).alias("prev")), "p10-windows")
     meet = w.join(heads(w), "h").select("rep", "from", "h")
     # The text at the source coordinates decides; hashes only led there.
     meet = written(meet.join(texts, "rep").select("rep", "h", cut(F.col("from")).alias("run")).distinct(), "p10-runs")
