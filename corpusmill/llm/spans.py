@@ -163,6 +163,23 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"rep": rep, "from": begin, "h": h, "prev": pd.Series(prev).where(has).astype("Int64")})
 
 
+def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each head the stretches that add half of what is missing to ``RUN`` on its left, and on its right: a shared run holds one of them."""
+    half = (RUN - EDGE) // 2
+    for b in (batch[i : i + SLICE] for batch in batches for i in range(0, len(batch), SLICE)):
+        out = []
+        for rep, text, at in zip(b["rep"], b["text"], b["at"], strict=True):
+            cp = _code_points(text)
+            pos, prefix = np.array(at, np.int64), _prefix(cp)
+            for lo, hi in ((pos - half, pos + EDGE), (pos, pos + EDGE + half)):
+                ok = (lo >= 0) & (hi <= len(cp))
+                if ok.any():
+                    out.append((np.full(ok.sum(), rep), pos[ok].astype(np.int32), _stretches(prefix, lo[ok], hi[ok]).view(np.int64)))
+        if out:
+            rep, pos, key = (np.concatenate(c) for c in zip(*out, strict=True))
+            yield pd.DataFrame({"rep": rep, "pos": pos, "key": key})
+
+
 def heads(edges: DataFrame, key: str = "h", prev: str = "prev", member: str = "rep") -> DataFrame:
     """The keys that at least two members share and that don't always follow one and the same key."""
     g = edges.groupBy(key).agg(F.min(member).alias("m1"), F.max(member).alias("m2"), F.min(prev).alias("p1"), F.max(prev).alias("p2"), F.count_if(F.col(prev).isNull()).alias("open"))
@@ -179,7 +196,10 @@ def shared_texts(texts: DataFrame) -> DataFrame:
     ship(texts.sparkSession)
     edges = texts.select("rep", "text").mapInPandas(_edges, "rep bigint, pos int, h bigint, prev bigint")
     # A text's positions are bounded by its length.
-    at = written(edges.join(heads(edges), "h").groupBy("rep").agg(F.collect_set("pos").alias("at")), "p10-heads")
+    at = edges.join(heads(edges), "h").groupBy("rep").agg(F.collect_set("pos").alias("at"))
+    wide = written(at.join(texts, "rep").select("rep", "text", "at").mapInPandas(_contexts, "rep bigint, pos int, key bigint"), "p10-contexts")
+    shared = wide.groupBy("key").agg(F.min("rep").alias("m1"), F.max("rep").alias("m2")).where("m1 < m2").select("key")
+    at = wide.join(shared, "key").groupBy("rep").agg(F.collect_set("pos").alias("at"))
     w = written(at.join(texts, "rep").select("rep", "text", "at").mapInPandas(_windows, "rep bigint, from int, h bigint, prev bigint"), "p10-windows")
     cut = lambda i: F.substr("text", i + 1, F.lit(RUN))
     meet = w.join(heads(w), "h").select("rep", "from", "h")
