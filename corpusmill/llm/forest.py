@@ -8,6 +8,8 @@ probability ``RECALL``; what meets is verified by its exact similarity.
 
 The forest is a folder of written runs, one per accepted batch, holding each entry's keys of all trees; a search shuffles
 keys only, sorted by range. ``merge_runs`` folds the runs into one. Signatures of accepted texts are never computed again.
+Beside each run stand the digests of its texts' canonical forms (problem 7) with the earliest row of each: what is the same
+but for formatting, has fewer than three words or no Latin letters meets by them.
 
 Texts of one word sequence are one entry, so exact copies cost one row whatever their number. A crowded range (many
 near-copies) is first compared with its earliest entry only; entries this settles leave before the rest meet pairwise.
@@ -109,7 +111,7 @@ def entries(rows: DataFrame, batch: int | None = None) -> DataFrame:
 
 
 class HashForest:
-    """Sorted runs of signatures in the shared folder; ``probe`` compares, ``append`` accepts."""
+    """Runs of signatures in the shared folder; ``accept`` takes a batch in and gives its repeats, ``append`` only takes it in."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         ship(spark)
@@ -127,9 +129,16 @@ class HashForest:
         """Signatures of ``(rid, batch_no, text)`` rows: ``(entry, ord, n, keys, set)``."""
         return entries(rows, batch).mapInPandas(_signatures, "entry bigint, ord int, n int, keys array<bigint>, set array<int>")
 
+    def _keys(self, run: str) -> str:
+        """Where the canonical digests of a run are: written before it, so that a complete run has them."""
+        folder, name = run.rsplit("/", 1)
+        return f"{folder}/keys/{name}"
+
     def append(self, rows: DataFrame, batch: int | None = None) -> DataFrame:
         """Accepts rows as one run and returns the run. Entries keep their signatures; nothing older is read."""
         to = f"{self.path}/run-{len(self.runs):05d}-{uuid.uuid4().hex[:8]}"
+        rows = _ordered(rows, batch)
+        _firsts(_keyed(rows, canonical.canonical(F.col("text")))).write.parquet(self._keys(to))
         self.signed(rows, batch).write.parquet(to)
         self.runs.append(to)
         return self.spark.read.parquet(to)
@@ -138,11 +147,29 @@ class HashForest:
         """Folds all runs into one."""
         if len(self.runs) > 1:
             to = f"{self.path}/merged-{uuid.uuid4().hex[:8]}"
+            keys = self.spark.read.parquet(*[self._keys(run) for run in self.runs])
+            keys.groupBy("k").agg(F.min("first").alias("first"), F.max("final").alias("final")).write.parquet(self._keys(to))
             self.spark.read.parquet(*self.runs).write.parquet(to)
             old, self.runs = self.runs, [to]
             for run in old:
-                p, fs = self._at(run)
-                fs.delete(p, True)
+                for path in (run, self._keys(run)):
+                    p, fs = self._at(path)
+                    fs.delete(p, True)
+
+    def accept(self, rows: DataFrame, batch: int | None = None) -> DataFrame:
+        """Accepts ``(rid, batch_no, text)`` as one run and returns ``(rid)`` of each row that repeats an earlier one, of any run or its own."""
+        rows = _ordered(rows, batch)
+        run = self.append(rows, batch)
+        # The same but for formatting: the batch's keys with their earliest row of all runs.
+        own = self.spark.read.parquet(self._keys(self.runs[-1])).select("k", "final")
+        known = self.spark.read.parquet(*[self._keys(r) for r in self.runs]).select("k", "first").join(own, "k")
+        known = known.groupBy("k").agg(F.min("first").alias("first"), F.max("final").alias("final"))
+        equal = _later(_keyed(rows, canonical.canonical(F.col("text"))), known)
+        # The same word sequence as an earlier row of the run; of such rows only the earliest is an entry of the forest.
+        worded = _keyed(rows, F.when(F.size(F.split(words(F.col("text")), " ")) >= 3, words(F.col("text"))))
+        near = self.similar(run).select(F.col("entry").alias("rid"))
+        # Written, as the runs read here may be merged before the result is used.
+        return written(equal.unionByName(_later(worded, _firsts(worded))).unionByName(near).distinct(), "p1-repeats")
 
     def leaves(self, run: DataFrame) -> DataFrame:
         """``(tree, prefix, entry, ord, n)``: a tree's leaves at the search depth. Entries with one prefix are one range."""
@@ -184,36 +211,37 @@ CROWDED, SHARE = 128, 16
 def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
     """``(rid)`` of each incoming row that repeats a row of ``history``, of an earlier batch, or an earlier one of its batch.
 
-    Both have ``rid, text``; ``incoming`` has ``batch_no``. All batches are compared in one pass over the forest: a row only counts
-    what is earlier by batch and id, which is what appending batch after batch gives.
+    Both have ``rid, text``; ``incoming`` has ``batch_no``. All batches are accepted as one run: a row only counts what is earlier by
+    batch and id, which is what accepting batch after batch gives.
     """
-    spark = history.sparkSession
-    last = F.lit(2**31 - 1)
-    old = history.select("rid", F.lit(-1).alias("batch_no"), "text")
-    new = incoming.select("rid", F.coalesce(F.col("batch_no").cast("int"), last).alias("batch_no"), "text")
-    # The same but for formatting: as a text of the history, or as an earlier new one.
-    key = canonical.canonical(F.col("text"))
-    old_keys = _keyed(old, key).select("k").distinct()
-    equal = _keyed(new, key).join(old_keys, "k", "left_semi").select("rid").unionByName(_later(new, key))
-    # The same word sequence as an earlier new one; of such rows only the earliest is an entry of the forest.
-    same_words = _later(new, F.when(F.size(F.split(words(F.col("text")), " ")) >= 3, words(F.col("text"))))
-    forest = HashForest(spark)
-    forest.append(old, -1)
-    forest.append(new)
-    near = forest.similar(spark.read.parquet(forest.runs[-1])).select(F.col("entry").alias("rid"))
-    return equal.unionByName(same_words).unionByName(near).distinct()
+    forest = HashForest(history.sparkSession)
+    forest.append(history.select("rid", F.lit(-1).alias("batch_no"), "text"), -1)
+    return forest.accept(incoming.select("rid", "batch_no", "text"))
+
+
+#: Where rows without a batch stand: after all others.
+LAST = 2**31 - 1
+
+
+def _ordered(rows: DataFrame, batch: int | None) -> DataFrame:
+    """``(rid, batch_no, text)`` with the batch that counts."""
+    return rows.select("rid", (F.coalesce(F.col("batch_no").cast("int"), F.lit(LAST)) if batch is None else F.lit(batch)).alias("batch_no"), "text")
 
 
 def _keyed(rows: DataFrame, key: Column) -> DataFrame:
-    return rows.select("rid", "batch_no", key.alias("__k")).where("__k <> ''").select("rid", "batch_no", F.unhex(F.md5("__k")).alias("k"))
+    """``(rid, o, k)``: each row's place in the order and the digest of its key; rows without a key are left out."""
+    order = F.struct(F.col("batch_no").alias("b"), F.col("rid").alias("r"))
+    return rows.select("rid", order.alias("o"), key.alias("__k")).where("__k <> ''").select("rid", "o", F.unhex(F.md5("__k")).alias("k"))
+
 
+def _firsts(keyed: DataFrame) -> DataFrame:
+    """``(k, first, final)``: the earliest and the latest place of each key."""
+    return keyed.groupBy("k").agg(F.min("o").alias("first"), F.max("o").alias("final"))
 
-def _later(rows: DataFrame, key: Column) -> DataFrame:
-    """Rows that are not the earliest of those with their key. Groups pre-aggregate; rows meet them by digest, salted."""
+
+def _later(keyed: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Rows that come after the first of their key. Rows meet the keys by digest, salted; only keys that have a later row take part."""
     salts = canonical.SALTS
-    order = F.struct(F.col("batch_no").alias("b"), F.col("rid").alias("r"))
-    keyed = _keyed(rows, key)
-    first = keyed.groupBy("k").agg(F.min(order).alias("first"), F.max(order).alias("final")).where("first < final").select("k", "first")
-    first = first.withColumn("salt", F.explode(F.array(*[F.lit(s) for s in range(salts)])))
-    salted = keyed.select("rid", order.alias("o"), "k", F.pmod(F.xxhash64("rid"), F.lit(salts)).cast("int").alias("salt"))
+    first = firsts.where("first < final").select("k", "first").withColumn("salt", F.explode(F.array(*[F.lit(s) for s in range(salts)])))
+    salted = keyed.select("rid", "o", "k", F.pmod(F.xxhash64("rid"), F.lit(salts)).cast("int").alias("salt"))
     return salted.join(first, ["k", "salt"]).where("first < o").select("rid")

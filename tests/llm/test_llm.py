@@ -185,6 +185,25 @@ def test_batches_one_by_one_equal_one_pass(spark, tmp_path):
     assert once <= got
 
 
+def test_batches_one_by_one_give_all_repeats(spark, tmp_path):
+    old = [(1, "Local: Rio; Data: hoje; Canal: rua"), (2, "Golpe!"), (3, "привет мир"), (4, "um dois três quatro cinco seis sete oito nove dez")]
+    new = [
+        (10, 1, "CANAL: rua | local: rio | data: Hoje"), (11, 1, "golpe"), (12, 1, "Привет, мир!"), (13, 1, "um dois tres quatro cinco seis sete oito nove onze"), (14, 1, "a b c d e"), (15, 1, "A, b c (d) e"), (16, 1, "ab cde"),
+        (20, 2, "a-b c d e"), (21, 2, "novo"), (22, 2, "Novo."), (23, 2, "x y z w v"), (24, 2, "x y z w v"), (25, 2, "世界"), (30, 3, "世界!"), (31, 3, "x y z w v"), (32, 3, None), (33, 3, "..."), (40, None, "novo"), (41, None, "data: b; local: a"), (42, None, "local: A | data: B"),
+    ]
+    frame = lambda rows: spark.createDataFrame(rows, "rid bigint, batch_no int, text string")
+    once = {r["rid"] for r in forest.repeats(spark.createDataFrame(old, "rid bigint, text string"), frame(new)).collect()}
+    forest.HashForest(spark, str(tmp_path / "forest")).append(frame([(i, -1, t) for i, t in old]), -1)
+    got = set()
+    for k in (1, 2, 3, None):
+        f = forest.HashForest(spark, str(tmp_path / "forest"))
+        found = f.accept(frame([r for r in new if r[1] == k]))
+        if k == 2:
+            f.merge_runs()
+        got |= {r["rid"] for r in found.collect()}
+    assert got == once == {10, 11, 12, 13, 15, 16, 20, 22, 24, 30, 31, 40, 42}
+
+
 def test_crowded_ranges_are_settled_exactly(spark):
     base = [f"k{i}" for i in range(60)]
     old = [(i, " ".join(base[:59] + [f"x{i}"])) for i in range(600)]
