@@ -63,7 +63,11 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_length(table(spark, d, "documents"))
 
 
-QUERIES |= {"p10_found": p10_found, "p10_shared": p10_shared}
+def p10_passages(spark: SparkSession, d: str) -> DataFrame:
+    return spans.passages(table(spark, d, "documents"))
+
+
+QUERIES |= {"p10_found": p10_found, "p10_shared": p10_shared, "p10_passages": p10_passages}
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

@@ -5,7 +5,8 @@ code points; of those that start close together only the one of smallest hash is
 shared code points holds at least one that both texts cut at the same tokens and keep (see ``_starts``). A k-mer whose
 every occurrence follows the same k-mer lies inside a nonbranching path and is dropped: whoever shares it shares the
 path's head. Only heads are looked up again; windows of exactly ``RUN`` code points around them, compacted in the same
-way, give the texts that meet, and the text at the source coordinates decides.
+way, give the texts that meet, and the text at the source coordinates decides. Every shared stretch holds such a window in
+both of its texts: from there it is followed to its ends, which gives the passages.
 
 Identical texts are one node; pairs of copies are added at the end. All groupings pre-aggregate before their shuffle.
 
@@ -14,10 +15,13 @@ Defined results
 * null texts and texts shorter than ``RUN`` share nothing; runs that occur twice in one document only don't count
 * lengths are in code points; texts are compared unchanged, white space and control characters included
 * repeated ``doc_id`` values are one document
+* a stretch of two texts that can't be made longer at either end is a passage, unless both its places lie inside longer
+  ones of the same two texts (the shifted matches of a text that repeats itself); equal texts share one passage, the whole
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -191,8 +195,8 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return docs.where(F.char_length("text") >= RUN).groupBy("text").agg(F.min("doc_id").alias("rep"))
 
 
-def shared_texts(texts: DataFrame) -> DataFrame:
-    """``(a, b)``: pairs of distinct texts that share a run, ``a < b``."""
+def _meeting(texts: DataFrame) -> DataFrame:
+    """``(rep, from, h, run)``: windows of which each pair of distinct texts that share a stretch has one in common in every such stretch."""
     ship(texts.sparkSession)
     edges = texts.select("rep", "text").mapInPandas(_edges, "rep bigint, pos int, h bigint, prev bigint")
     # A text's positions are bounded by its length.
@@ -203,8 +207,13 @@ def shared_texts(texts: DataFrame) -> DataFrame:
     w = written(at.join(texts, "rep").select("rep", "text", "at").mapInPandas(_windows, "rep bigint, from int, h bigint, prev bigint"), "p10-windows")
     cut = lambda i: F.substr("text", i + 1, F.lit(RUN))
     meet = w.join(heads(w), "h").select("rep", "from", "h")
+    return meet.join(texts, "rep").select("rep", "from", "h", cut(F.col("from")).alias("run"))
+
+
+def shared_texts(texts: DataFrame) -> DataFrame:
+    """``(a, b)``: pairs of distinct texts that share a run, ``a < b``."""
     # The text at the source coordinates decides; hashes only led there.
-    meet = written(meet.join(texts, "rep").select("rep", "h", cut(F.col("from")).alias("run")).distinct(), "p10-runs")
+    meet = written(_meeting(texts).select("rep", "h", "run").distinct(), "p10-runs")
     a, b = meet.withColumnRenamed("rep", "a"), meet.withColumnRenamed("rep", "b")
     return a.join(b, ["h", "run"]).where("a < b").select("a", "b").distinct()
 
@@ -263,3 +272,60 @@ def shared_length(docs: DataFrame) -> DataFrame:
     shared = F.when(F.col("k") > 1, n).otherwise(F.coalesce("c", F.lit(0))).cast("bigint")
     out = docs.select("doc_id", "text").join(per, "doc_id", "left").select("doc_id", n.cast("bigint").alias("n_chars"), F.coalesce(shared, F.lit(0)).alias("shared_chars"))
     return out.withColumn("share", F.when(F.col("n_chars") > 0, F.col("shared_chars") / F.col("n_chars")).otherwise(F.lit(0.0)))
+
+
+def _inside(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which stretches lie inside a different one."""
+    each, of = np.unique(np.stack([at, -(at + size)], 1), axis=0, return_inverse=True)
+    end = -each[:, 1]
+    inside = np.concatenate([[False], np.maximum.accumulate(end)[:-1] >= end[1:]])
+    return inside[of.reshape(-1)]
+
+
+def _matches(x: np.ndarray, y: np.ndarray, seeds: list) -> np.ndarray:
+    """Rows ``(from in x, from in y, length)`` of the passages of two texts. ``seeds`` are places of common windows: they tell the shifts to look at."""
+    shifts = np.zeros(len(x) + len(y) + 1, bool)
+    for s in seeds:
+        there = np.asarray(s["fb"], np.int64)
+        for here in s["fa"]:
+            shifts[here - there + len(y)] = True
+    out = []
+    for d in np.flatnonzero(shifts) - len(y):
+        lo, hi = max(d, 0), min(len(x), len(y) + d)
+        same = x[lo:hi] == y[lo - d : hi - d]
+        turn = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).astype(np.int8)))
+        begin, size = turn[::2] + lo, turn[1::2] - turn[::2]
+        begin, size = begin[size >= RUN], size[size >= RUN]
+        out.append(np.stack([begin, begin - d, size], 1))
+    m = np.concatenate(out)
+    return m[~(_inside(m[:, 0], m[:, 2]) & _inside(m[:, 1], m[:, 2]))]
+
+
+def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The passages of each pair of texts, at their places in both."""
+    for b in batches:
+        out = set()
+        for one, two, ta, tb, seeds in zip(b["a"], b["b"], b["ta"], b["tb"], b["seeds"], strict=True):
+            digests = {}
+            for i, j, n in _matches(_code_points(ta), _code_points(tb), seeds).tolist():
+                text = ta[i : i + n]
+                digest = digests.get(text) or digests.setdefault(text, hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest())
+                out |= {(one, i, n, digest), (two, j, n, digest)}
+        yield pd.DataFrame(sorted(out), columns=["rep", "from", "length", "passage"])
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """``(doc_id, from, length, passage)``: every place at which a document has a passage that another one has too.
+
+    ``from`` and ``length`` are in code points, the first is 0; ``passage`` is the MD5 of the passage's text, the same wherever it stands.
+    """
+    texts = written(distinct_texts(docs.select("doc_id", "text")), "p10-texts")
+    meet = written(_meeting(texts).groupBy("rep", "h", "run").agg(F.collect_list("from").alias("at")), "p10-places")
+    a, b = meet.withColumnsRenamed({"rep": "a", "at": "fa"}), meet.withColumnsRenamed({"rep": "b", "at": "fb"})
+    seeds = a.join(b, ["h", "run"]).where("a < b").groupBy("a", "b").agg(F.collect_list(F.struct("fa", "fb")).alias("seeds"))
+    ta, tb = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
+    places = seeds.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb", "seeds").mapInPandas(_passages, "rep bigint, from int, length int, passage string").distinct()
+    copies = _by_copies(docs, texts)
+    copied = copies.groupBy("rep").agg(F.count(F.lit(1)).alias("k")).where("k > 1").join(texts, "rep")
+    whole = copied.select("rep", F.lit(0).alias("from"), F.char_length("text").alias("length"), F.md5(F.encode("text", "UTF-8")).alias("passage"))
+    return places.unionByName(whole).distinct().join(copies, "rep").select("doc_id", "from", "length", "passage")

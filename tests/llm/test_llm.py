@@ -1,3 +1,5 @@
+import hashlib
+import os
 import random
 import re
 import unicodedata
@@ -255,6 +257,38 @@ def test_spans_against_brute_force(spark):
         assert length[i] == (len(t) if i in (3, 502, 503) and len(t) >= spans.RUN else sum(hit)), i
 
 
+def test_passages_against_brute_force(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.choice((1, 3, 7, 30))))
+    cut = [" ".join(word() for _ in range(60))[:n] for n in (159, 160, 161, 300, 500)]
+    cut += [cut[4][:320], cut[4][150:], "漢😀" * 90, "x" * 240, "-- " * 70]
+    docs = []
+    for i in range(60):
+        t = " ".join(word() for _ in range(r.randint(0, 30)))
+        for p in r.sample(cut, r.choice((0, 1, 1, 2))):
+            t += r.choice(("", " ", "q", ". ")) + p + r.choice(("", " ", "z"))
+        docs.append((i, t))
+    docs += [(500, None), (501, ""), (502, docs[3][1] + cut[3]), (503, docs[3][1] + cut[3]), (504, cut[3] + " y " + cut[3]), (505, "x" * 300), (506, "n" * 170), (507, "n" * 170)]
+    want = set()
+    for i, s in docs:
+        for j, t in docs:
+            if i < j and s and t:
+                at = {}
+                for k in range(len(t) - spans.RUN + 1):
+                    at.setdefault(t[k : k + spans.RUN], []).append(k)
+                m = [(p, q, p + n, q + n) for p in range(len(s) - spans.RUN + 1) for q in at.get(s[p : p + spans.RUN], ()) if not (p and q and s[p - 1] == t[q - 1]) for n in [len(os.path.commonprefix([s[p:], t[q:]]))]]
+                inside = lambda k, x: any(y[k] <= x[k] and x[k + 2] <= y[k + 2] and (y[k], y[k + 2]) != (x[k], x[k + 2]) for y in m)  # noqa: B023, E731
+                for x in m:
+                    if not (inside(0, x) and inside(1, x)):
+                        text = s[x[0] : x[2]]
+                        want |= {(i, x[0], len(text), text), (j, x[1], len(text), text)}
+    got = {tuple(x) for x in spans.passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == {(i, k, n, hashlib.md5(t.encode()).hexdigest()) for i, k, n, t in want} and len(want) > 100
+    for i, n in [(x["doc_id"], x["shared_chars"]) for x in spans.shared_length(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()]:
+        assert n == len({c for d, k, size, _ in got if d == i for c in range(k, k + size)})
+    assert spans.passages(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
 def test_spans_of_nothing(spark):
     assert spans.found(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
