@@ -26,8 +26,17 @@ def classify(rows: DataFrame, checkers: list[tuple[str, str]], reputable: list[s
     optionally ``sim``, a cosine; without it the shared share of content words counts, with three shared at least. The first item in
     order that names a checker, is similar, agrees in numbers and has a verdict decides; items of a row are few and stay together.
     """
-    item = [f.name for f in rows.schema["items"].dataType.elementType.fields]
-    e = rows.select("rid", "text", "own_domain", "date_iso", F.posexplode_outer("items").alias("pos", "it")).where("it IS NOT NULL")
+    items = rows.select("rid", F.posexplode_outer("items").alias("pos", "it")).where("it IS NOT NULL")
+    return vote(rows, items, checkers, reputable, least_sites, similar_checker, similar_site)
+
+
+def vote(rows: DataFrame, items: DataFrame, checkers: list[tuple[str, str]], reputable: list[str], least_sites: int = 3, similar_checker: float = 0.8, similar_site: float = 0.75) -> DataFrame:
+    """``classify`` for any number of items: ``items`` is ``(rid, pos, it)``, a row each, ``pos`` of any type that orders them.
+
+    No row's items come together: the first checker's item and the distinct sites pre-aggregate.
+    """
+    item = [f.name for f in items.schema["it"].dataType.fields]
+    e = rows.select("rid", "text", "own_domain", "date_iso").join(items, "rid")
     a, b = T.content_tokens(F.col("text"), V.EVIDENCE_STOP), T.content_tokens(F.col("it.title"), V.EVIDENCE_STOP)
     e = e.withColumns({"lex": overlap(a, b), "inter": F.size(F.array_intersect(a, b)), "nums": T.numbers(F.col("text")), "tnums": T.numbers(F.col("it.title"))})
     cosine = F.col("it.sim") if "sim" in item else F.lit(None).cast("double")

@@ -19,11 +19,32 @@ def link_claims(texts: DataFrame, claims: DataFrame, threshold: float = 0.9) ->
     If two sets share ``threshold`` of the smaller, one of the smaller's ``n - ceil(threshold * n) + 1`` rarest tokens is in
     the larger. So the smaller's rare prefixes meet the other's tokens and common words join nothing; no candidate is cut off.
     """
-    q = texts.select("rid", T.normalize_text(F.col("text")).alias("key"), T.content_tokens(F.col("text"), V.MATCH_STOP).alias("toks"))
-    c = claims.select("claim_id", T.normalize_text(F.col("claim")).alias("key"), T.content_tokens(F.col("claim"), V.MATCH_STOP).alias("ctoks"))
+    q, c = _keyed(texts, claims)
     first = c.where("key <> ''").groupBy("key").agg(F.min("claim_id").alias("claim_id"))
     exact = q.join(first, "key").select("rid", "claim_id", F.lit(1.0).alias("score"))
-    rest = q.join(exact.select("rid"), "rid", "left_anti").where("size(toks) > 0").drop("key")
+    near = _near(q.join(exact.select("rid"), "rid", "left_anti"), c, threshold).groupBy("rid").agg(F.min(F.struct((-F.col("score")).alias("s"), "claim_id")).alias("b"))
+    return exact.unionByName(near.select("rid", "b.claim_id", (-F.col("b.s")).alias("score")))
+
+
+def link_all(texts: DataFrame, claims: DataFrame, threshold: float = 0.9) -> DataFrame:
+    """``(rid, claim_id, score)``: every claim that ``link_claims`` would score at least ``threshold`` for a text, not the best only.
+
+    A text with an equal claim has its other claims as well. Copies multiply: give texts and claims once each.
+    """
+    q, c = _keyed(texts, claims)
+    exact = q.where("key <> ''").join(c.select("claim_id", "key"), "key").select("rid", "claim_id", F.lit(1.0).alias("score"))
+    return exact.unionByName(_near(q, c, threshold)).groupBy("rid", "claim_id").agg(F.max("score").alias("score"))
+
+
+def _keyed(texts: DataFrame, claims: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(rid, key, toks)`` and ``(claim_id, key, ctoks)``: normalised texts and their content tokens."""
+    q = texts.select("rid", T.normalize_text(F.col("text")).alias("key"), T.content_tokens(F.col("text"), V.MATCH_STOP).alias("toks"))
+    return q, claims.select("claim_id", T.normalize_text(F.col("claim")).alias("key"), T.content_tokens(F.col("claim"), V.MATCH_STOP).alias("ctoks"))
+
+
+def _near(q: DataFrame, c: DataFrame, threshold: float) -> DataFrame:
+    """``(rid, claim_id, score)`` of all pairs with a token score of at least ``threshold`` and two shared tokens."""
+    rest = q.where("size(toks) > 0").drop("key")
     c = c.where("size(ctoks) > 0").drop("key")
     df = rest.select(F.explode("toks").alias("tok")).unionByName(c.select(F.explode("ctoks").alias("tok"))).groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
 
@@ -39,8 +60,7 @@ def link_claims(texts: DataFrame, claims: DataFrame, threshold: float = 0.9) ->
     pairs = small_left.select("rid", "claim_id").unionByName(small_right.select("rid", "claim_id")).distinct()
     shared = F.size(F.array_intersect("toks", "ctoks"))
     scored = pairs.join(rest, "rid").join(c, "claim_id").withColumn("shared", shared).withColumn("score", shared / F.least(F.size("toks"), F.size("ctoks")))
-    near = scored.where((F.col("score") >= threshold) & (F.col("shared") >= 2)).groupBy("rid").agg(F.min(F.struct((-F.col("score")).alias("s"), "claim_id")).alias("b"))
-    return exact.unionByName(near.select("rid", "b.claim_id", (-F.col("b.s")).alias("score")))
+    return scored.where((F.col("score") >= threshold) & (F.col("shared") >= 2)).select("rid", "claim_id", "score")
 
 
 def unseen(new: DataFrame, known: DataFrame, text: str = "text_no_url") -> DataFrame:

@@ -79,13 +79,18 @@ def label_tiers(spark, d):
 def evidence_votes(spark, d):
     """Each incoming text judged by the main table's rows that say the same (linked by shared words), as evidence items."""
     texts = table(spark, d, "incoming_rows").where("text_no_url IS NOT NULL").select("rid", F.col("text_no_url").alias("text"), T.domain(F.col("url_review")).alias("own_domain"), "date_iso")
-    m = table(spark, d, MAIN).where("text_no_url IS NOT NULL").select(F.col("rid").alias("claim_id"), F.col("text_no_url").alias("claim"), "url_review", "source_description", "date_iso")
-    link = linkage.link_claims(texts.select("rid", "text"), m.select("claim_id", "claim"), 0.6)
-    item = F.struct(F.col("claim").alias("title"), F.col("url_review").alias("link"), F.col("source_description").alias("source"), T.domain(F.col("url_review")).alias("domain"), F.col("m.date_iso").alias("pub"))
-    got = link.join(m.alias("m"), "claim_id").select("rid", F.array(item).alias("items"))
-    rows = texts.join(got, "rid", "left")
-    sites = [r[0] for r in m.select(T.domain(F.col("url_review")).alias("s")).groupBy("s").count().orderBy(F.desc("count"), "s").limit(20).collect()]  # a report of fixed size
-    return evidence.classify(rows, [("confere", "confere"), ("apura", "apura")], sites, least_sites=1)
+    pub = F.date_format(F.try_to_timestamp("date_iso"), "d MMM yyyy HH:mm:ss Z")  # as news items have it
+    m = table(spark, d, MAIN).where("text_no_url IS NOT NULL").select(F.col("rid").alias("claim_id"), F.col("text_no_url").alias("title"), "url_review", F.col("source_description").alias("source"), T.domain(F.col("url_review")).alias("domain"), pub.alias("pub"))
+    # Copies are linked once; of items that differ by id and address only, the first can decide.
+    said = written(texts.groupBy("text").agg(F.min("rid").alias("tid")), "evidence-texts")
+    items = written(m.groupBy("title", "source", "domain", "pub").agg(F.min("claim_id").alias("claim_id"), F.min_by("url_review", "claim_id").alias("link")), "evidence-items")
+    titles = written(items.groupBy("title").agg(F.min("claim_id").alias("title_id")), "evidence-titles")
+    link = linkage.link_all(said.select(F.col("tid").alias("rid"), "text"), titles.select(F.col("title_id").alias("claim_id"), F.col("title").alias("claim")), 0.6)
+    items = items.join(titles, "title").select("title_id", "claim_id", F.struct("title", "link", "source", "domain", "pub").alias("it"))
+    got = link.select(F.col("rid").alias("tid"), F.col("claim_id").alias("title_id"), "score").join(items, "title_id").select("tid", F.struct((-F.col("score")).alias("s"), "claim_id").alias("pos"), "it")
+    got = texts.select("rid", "text").join(said, "text").select("rid", "tid").join(got, "tid").select("rid", "pos", "it")
+    sites = [r[0] for r in m.where("domain <> 'sem_url'").groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(20).collect()]  # a report of fixed size
+    return evidence.vote(texts, got, [("confere", "confere"), ("apura", "apura")], sites)
 
 
 @query(f"""

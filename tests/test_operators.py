@@ -92,6 +92,13 @@ def test_link_claims_against_brute_force(spark):
     assert got == want
 
 
+def test_link_all_gives_every_link(spark):
+    texts = spark.createDataFrame([(1, "onze dois tres quatro cinco"), (2, "Sozinho!"), (3, "nada em comum"), (4, None), (5, "...")], "rid bigint, text string")
+    claims = [(10, "onze dois tres quatro cinco."), (11, "onze dois tres quatro cinco seis"), (12, "onze dois tres outro novo"), (13, "onze dois outro novo mais"), (14, "sozinho"), (15, "sozinho"), (16, None), (17, "...")]
+    got = {(r["rid"], r["claim_id"], round(r["score"], 3)) for r in linkage.link_all(texts, spark.createDataFrame(claims, "claim_id bigint, claim string"), 0.6).collect()}
+    assert got == {(1, 10, 1.0), (1, 11, 1.0), (1, 12, 0.6), (2, 14, 1.0), (2, 15, 1.0)}
+
+
 def test_near_duplicates_keep_a_chain_whose_middle_is_dropped(spark):
     w = [f"w{i}" for i in range(60)]
     a, b, c = w[:50], w[3:53], w[6:56]

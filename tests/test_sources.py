@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import vocabulary as V
 from corpusmill.operators import cleaning, evidence, extraction, models, prompts
+from corpusmill.plans import pipeline_queries
 from corpusmill.sources import readers, writers
 from corpusmill.streaming import streams
 
@@ -109,6 +110,20 @@ def test_evidence_votes_and_abstains(spark):
     assert got == {1: ("fake", "factcheck:lupa", "L"), 2: none, 3: ("true", "corroboracao", "a;b;c"), 4: none, 5: none, 6: none}
 
 
+def test_evidence_query_votes_on_every_link(spark, tmp_path):
+    a, b, c, d = "Governo anunciou vacina nova contra dengue", "Prefeitura abriu escola municipal integral", "Hospital regional comprou ambulancias novas", "Senado aprovou reforma tributaria ampla"
+    site = lambda x: f"https://{x}.example/1"
+    main = [(1, a, site("w"), "w", "2020-02-01"), (2, f"É falso que {a.lower()}", site("confere"), "confere", None)]
+    main += [(10 + i, b, site(x), x, "2020-02-0" + str(1 + i)) for i, x in enumerate("xyz")] + [(20, c, site("x"), "x", None), (21, c, site("y"), "y", None), (22, c, None, "z", None)]
+    main += [(30, d, site("x"), "x", None), (31, d, site("y"), "y", "2020-02-03"), (32, d, site("z"), "z", "2014-02-03")]
+    spark.createDataFrame(main, "rid bigint, text_no_url string, url_review string, source_description string, date_iso string").write.parquet(str(tmp_path / "fakenewsbr_v6_public.parquet"))
+    new = [(100, a), (101, b), (102, b), (103, c), (104, d), (105, "outra coisa qualquer"), (106, None)]
+    spark.createDataFrame([(i, t, site("own"), "2020-02-01") for i, t in new], "rid bigint, text_no_url string, url_review string, date_iso string").write.parquet(str(tmp_path / "incoming_rows.parquet"))
+    got = {r["rid"]: (r["auto_label"], r["method"], r["evidence"]) for r in pipeline_queries.evidence_votes(spark, str(tmp_path)).collect()}
+    none, voted = ("unknown", "abstencao", ""), ("true", "corroboracao", "x.example;y.example;z.example")
+    assert got == {100: ("fake", "factcheck:confere", site("confere")), 101: voted, 102: voted, 103: none, 104: none, 105: none}
+
+
 def test_label_tiers(spark):
     base = spark.createDataFrame([(1, "true", "provenance"), (2, "fake", "rating"), (3, "true", "provenance"), (4, "true", None), (5, "true", "correction"), (6, "true", "provenance")], "rid bigint, label string, label_source string")
     m = spark.createDataFrame([(1, 0.95, True, "fake", "p", 1), (1, 0.91, True, "true", "q", 2), (2, 0.8, True, "true", "p", 1)], "rid bigint, score double, agrees boolean, verdict string, publisher string, at int")
