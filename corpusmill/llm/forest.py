@@ -1,13 +1,12 @@
 """Deduplicating new batches against all history (problem 1): a prefix-tree hash forest.
 
-Texts are reduced to sets of three-word sequences. Each of ``TREES`` trees orders all accepted texts by a signature of
-``DEPTH`` labels, each the smallest hash of the set under one permutation, packed into one sorted integer. A batch finds
-its entries by range search: the texts that share the first ``d`` labels of a tree form one range. ``d`` starts at
-``DEPTH`` and shrinks (the prefixes widen) until two texts of the threshold's similarity meet in some tree with
-probability ``RECALL``; what meets is verified by its exact similarity.
-
-The forest is a folder of written runs, one per accepted batch, holding each entry's keys of all trees; a search shuffles
-keys only, sorted by range. ``merge_runs`` folds the runs into one. Signatures of accepted texts are never computed again.
+Texts are reduced to sets of three-word sequences. Each of ``TREES`` trees gives an accepted text a signature of ``DEPTH``
+labels, each the smallest hash of the set under one permutation, packed into one integer. The texts that share the first
+``d`` labels of a tree form one range. ``d`` is the longest prefix at which two texts of the threshold's similarity meet in
+some tree with probability ``RECALL``, the same for all batches; what meets is verified by its exact similarity.
+
+The forest is a folder of written runs, one per accepted batch, holding each entry's keys of all trees. Runs are not
+sorted: a search is an equi-join on tree and prefix, for which the keys of all runs are read. ``merge_runs`` folds the runs into one. Signatures of accepted texts are never computed again.
 Beside each run stand the digests of its texts' canonical forms (problem 7) with the earliest row of each: what is the same
 but for formatting, has fewer than three words or no Latin letters meets by them.
 
