@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
 from corpusmill.functions import vocabulary as V
-from corpusmill.operators import evaluation, evidence, extraction, linkage, merging, models, near_duplicates, prompts
+from corpusmill.operators import evaluation, evidence, extraction, linkage, merging, models, near_duplicates, prompts, sampling
 from corpusmill.plans import sqlparts as S
 from corpusmill.session import table, written
 from corpusmill.sources import readers
@@ -118,10 +118,14 @@ def page_fields(spark, d):
 
 @query()
 def baseline_terms(spark, d):
-    """The strongest terms of the baseline model, without and with an extended stop list."""
-    rows = table(spark, d, MAIN).where("text IS NOT NULL AND label IN ('fake', 'true')").select("text", (F.col("label") == "fake").cast("int").alias("y"))
-    naive = models.text_baseline(rows, "text")[1].withColumn("run", F.lit("naive"))
-    return naive.unionByName(models.text_baseline(rows, "text", V.EVIDENCE_STOP)[1].withColumn("run", F.lit("stopped")))
+    """The strongest terms of each class by the baseline model, without and with an extended stop list, fitted on four fifths of one split by label; beside them the accuracy and F1 on the last fifth."""
+    rows = table(spark, d, MAIN).where("text IS NOT NULL AND label IN ('fake', 'true')").select("rid", "text", "label", F.lit("").alias("all"), (F.col("label") == "fake").cast("int").alias("y"))
+    split = written(sampling.stratified_split(rows, "all", "label", "rid", val=0.0, test=0.2), "baseline-split")
+    out = []
+    for run, stop in (("naive", None), ("stopped", V.EVIDENCE_STOP)):
+        _, terms, (accuracy, f1) = models.text_baseline(split.where("split = 'train'"), "text", stop, held_out=split.where("split = 'test'"))
+        out.append(terms.select("*", F.lit(run).alias("run"), F.lit(accuracy).cast("double").alias("accuracy"), F.lit(f1).cast("double").alias("f1")))
+    return out[0].unionByName(out[1])
 
 
 @query()

@@ -154,6 +154,18 @@ def test_models_learn_a_separable_table(spark):
     assert best["gato"] > 0 > best["cachorro"] and "gato preto" in best
 
 
+def test_baseline_scores_the_held_out_part_and_gives_terms_of_each_class(spark, tmp_path):
+    text = lambda i: f"gato preto mia sempre w{i % 3}" if i % 10 else f"cachorro late alto w{i % 3}"
+    rows = spark.createDataFrame([(i, text(i), "fake" if i % 10 else "true") for i in range(200)], "rid bigint, text string, label string")
+    y = rows.withColumn("y", (F.col("label") == "fake").cast("int"))
+    _, terms, scores = models.text_baseline(y, "text", top=2, held_out=y.withColumn("y", 1 - F.col("y")))
+    w = [r["weight"] for r in terms.collect()]
+    assert scores == (0.0, 0.0) and len([x for x in w if x > 0]) == len([x for x in w if x < 0]) == 2
+    rows.write.parquet(str(tmp_path / "fakenewsbr_v6_public.parquet"))
+    got = pipeline_queries.baseline_terms(spark, str(tmp_path)).collect()
+    assert {(r["run"], r["accuracy"], r["f1"], r["weight"] > 0) for r in got} == {(run, 1.0, 1.0, sign) for run in ("naive", "stopped") for sign in (True, False)}
+
+
 def test_streams_resume_and_drop_repeated_ids(spark, tmp_path):
     src, out, chk = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "chk")
     put(src / "1.json", '{"rid": 1, "v": "a"}\n{"rid": 1, "v": "b"}\n{"rid": 2, "v": "c"}\n')
