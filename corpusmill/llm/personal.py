@@ -40,6 +40,8 @@ from corpusmill.session import ship
 KINDS = ["email", "phone", "id_number", "address", "name"]
 #: The longest entities: words of a name without its joining words, and digits of a number.
 CORES, DIGITS = 5, 20
+# Words of which each counts by itself before a name.
+BEFORE = set("em no na de da do dos das por pela pelo com e a o ao para sr sra dr dra dona".split())
 _LETTER = r"(?:[^\W\d_]|[\u0300-\u036f])"
 _WORD = re.compile(rf"{_LETTER}+(?:['’-]{_LETTER}+)*")
 _SPACE = r"[\s\u200b-\u200f\ufeff]"
@@ -69,6 +71,19 @@ def _fold(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", word.lower()) if not unicodedata.combining(c))
 
 
+@functools.lru_cache(maxsize=300_000)
+def _word(w: str) -> tuple[str, str]:
+    """A word folded, and its shape."""
+    return _fold(w), "l" if w.islower() else ("u" if w.isupper() and len(w) > 1 else "c" if w[0].isupper() else "m")
+
+
+@functools.lru_cache(maxsize=20_000)
+def _gap(g: str) -> str:
+    """What parts a word from the next: ``s`` white space, ``.`` a point, ``,`` a comma, empty for anything else."""
+    x = g.strip(" \t\n\r\xa0\u200b\u200c\u200d\u200e\u200f\ufeff")
+    return "s" if g and not x else x if x in (".", ",") else ""
+
+
 _LABELS = LEFT["id"] | LEFT["tel"] | LEFT["other"]
 
 
@@ -83,11 +98,8 @@ class Text:
     """A text with its words: ``(from, to, folded, shape)``, shape being ``c`` capitalised (``t`` where a long text capitalises nearly all), ``u`` upper case, ``l`` lower case, ``m`` mixed."""
 
     def __init__(self, text: str):
-        self.text, self.words = text, []
-        for m in _WORD.finditer(text):
-            w = m.group()
-            shape = "l" if w.islower() else ("u" if w.isupper() and len(w) > 1 else "c" if w[0].isupper() else "m")
-            self.words.append((m.start(), m.end(), _fold(w), shape))
+        self.text = text
+        self.words = [(m.start(), m.end(), *_word(m.group())) for m in _WORD.finditer(text)]
         long = [w[3] for w in self.words if w[1] - w[0] > 3]
         if len(long) > 6 and long.count("c") > 0.75 * len(long):
             self.words = [(a, b, w, "t" if shape == "c" else shape) for a, b, w, shape in self.words]
@@ -116,23 +128,21 @@ def features(group: tuple) -> list[str]:
         return [f"{kind}_{_class(w)}", *([f"{kind}_len{len(w)}"] if len(w) < 3 else []), *([f"first_ends_{w.endswith(GIVEN_ENDS)}"] if kind == "first" else [f"last_ends_{w.endswith(FAMILY_ENDS)}"] if kind == "last" else [])]
     if kind == "beside":
         _, side, gap, w, shape = group
-        return [f"{side}_{gap}", f"{side}_{gap}_{_class(w)}_{shape}", f"{side}_{gap}_{_class(w)}"] + ([f"{side}_is_{w}"] if len(w) < 4 or w in ROLE or w in TITLE else []) if gap in ("s", ".") else [f"{side}_{gap}", f"{side}_mark"]
+        return [f"{side}_{gap}", f"{side}_{gap}_{_class(w)}_{shape}", f"{side}_{gap}_{_class(w)}"] + ([f"left_is_{w}"] if side == "left" and w in BEFORE else []) if gap in ("s", ".") else [f"{side}_{gap}", f"{side}_mark"]
     if kind == "form":
         _, shape, cores, join, order, one, two = group
         return ["bias", f"shape_{shape}", f"cores_{cores}_{order}", f"join_{join}", f"order_{order}_{shape}", f"pair_{one}_{two}", f"pair_{one}_{two}_{shape}", f"pair_{one}_{two}_{order}", f"pair_{one}_{two}_{join or 'none'}"]
     return list(group[1:])
 
 
-def _names(t: Text, worth=None) -> list[tuple[int, int, str, tuple]]:
+def _names(t: Text, score: Tagger | None = None) -> list[tuple]:
+    """Names; with a tagger only those that score above 0, and their scores."""
     s, words, out = t.text, t.words, []
     n = len(words)
-    # What parts a word from the next: "s" white space, "." an initial's point, "," a comma, "" anything else.
-    gaps = []
-    for i in range(n - 1):
-        g = s[words[i][1] : words[i + 1][0]]
-        x = g.strip(" \t\n\r\xa0\u200b\u200c\u200d\u200e\u200f\ufeff")
-        gaps.append("s" if g and not x else "." if x == "." and (words[i][1] - words[i][0] < 3) else "," if x == "," else "")
-    gaps.append("")
+    gaps = [_gap(s[x[1] : y[0]]) for x, y in zip(words, words[1:], strict=False)] + [""]
+    for i, g in enumerate(gaps):
+        if g == "." and words[i][1] - words[i][0] > 2:
+            gaps[i] = ""  # only an initial's point doesn't end a sentence
 
     def side(k: int, step: int) -> tuple:
         """The group of what stands beside a candidate that begins or ends with word ``k``."""
@@ -180,28 +190,47 @@ def _names(t: Text, worth=None) -> list[tuple[int, int, str, tuple]]:
             yield cores, join
 
     for k in range(n):
-        _, _, w, shape = words[k]
-        if w in JOIN or shape == "m" or t.urls and t.in_url(words[k][0]) or (gaps[k] == "" and not (k and gaps[k - 1] == ",")):
+        at, _, w, shape = words[k]
+        if gaps[k] not in ("s", ".", ",") or w in JOIN or shape == "m" or t.urls and t.in_url(at):
             continue
-        left = None
-        if worth is None or worth(shape, w):
-            for cores, join in run(k, shape, CORES):
-                if len(cores) > 1:
-                    left = left or side(k, -1)
-                    end = cores[-1]
-                    f = (("first", w), ("last", words[end][2]), *(("inner", words[x][2]) for x in cores[1:-1]), left, side(end, 1), ("form", shape, len(cores), join, "fore", _class(w), _class(words[end][2])))
-                    out.append((words[k][0], words[end][1], "name", f))
+        if gaps[k] != ",":
+            left, one = side(k, -1), _class(w)
+            begun = score.first[w] + score.beside[left] if score else 0.0
+            # A run goes on only while what can still be added makes a name of it.
+            if not score or begun + score.beyond[shape, one] > 0:
+                for cores, join in run(k, shape, CORES):
+                    if len(cores) > 1:
+                        end = cores[-1]
+                        z = words[end][2]
+                        form = ("form", shape, len(cores), join, "fore", one, _class(z))
+                        got = None
+                        if score:
+                            got = begun + score.last[z] + score.form[form]
+                            for x in cores[1:-1]:
+                                got += score.inner[words[x][2]]
+                            if got + score.right <= 0:
+                                continue
+                        right = side(end, 1)
+                        if score:
+                            got += score.beside[right]
+                            if got <= 0:
+                                continue
+                        out.append((at, words[end][1], "name", (("first", w), ("last", z), *[("inner", words[x][2]) for x in cores[1:-1]], left, right, form), got))
         # Surnames, a comma, given names.
-        for cores, join in run(k, shape, 2):
-            c = cores[-1]
-            if gaps[c] == "," and c + 1 < n and words[c + 1][3] == shape and words[c + 1][2] not in JOIN and (worth is None or worth(shape, words[c + 1][2])):
-                start = k - 1 if k and words[k - 1][2] in JOIN and gaps[k - 1] == "s" else k
-                for given, _ in run(c + 1, shape, 3):
-                    e = given[-1]
-                    if e != given[0] and words[e][2] in JOIN:
-                        continue
-                    f = (("first", words[c + 1][2]), ("last", words[c][2]), *(("inner", words[x][2]) for x in [*cores[:-1], *given[1:]]), side(start, -1), side(e, 1), ("form", shape, len(cores) + len(given), join or ("join" if start < k else ""), "back", _class(words[c + 1][2]), _class(words[c][2])))
-                    out.append((words[start][0], words[e][1], "name", f))
+        for c, cores, join in ([(k, [k], "")] if gaps[k] == "," else [(k + 1, [k, k + 1], "")] if gaps[k] == "s" and gaps[k + 1] == "," and words[k + 1][3] == shape else []):
+            given = words[c + 1]
+            if given[3] != shape or given[2] in JOIN:
+                continue
+            start = k - 1 if k and words[k - 1][2] in JOIN and gaps[k - 1] == "s" else k
+            left, one, z = side(start, -1), _class(given[2]), words[c][2]
+            if score and score.first[given[2]] + score.beside[left] + score.beyond[shape, one] <= 0:
+                continue
+            for more, _ in run(c + 1, shape, 3):
+                e = more[-1]
+                f = (("first", given[2]), ("last", z), *[("inner", words[x][2]) for x in [*cores[:-1], *more[1:]]], left, side(e, 1), ("form", shape, len(cores) + len(more), join or ("join" if start < k else ""), "back", one, _class(z)))
+                got = score.total(f, "name") if score else None
+                if got is None or got > 0:
+                    out.append((words[start][0], words[e][1], "name", f, got))
     return out
 
 
@@ -327,10 +356,10 @@ def _addresses(t: Text) -> list[tuple[int, int, str, tuple]]:
     return out
 
 
-def candidates(t: Text, worth=None) -> list[tuple[int, int, str, tuple]]:
-    """``(from, to, kind, groups)`` of each candidate segment; ``worth(shape, word)`` may rule out names that begin with a word."""
+def candidates(t: Text, score: Tagger | None = None) -> list[tuple]:
+    """``(from, to, kind, groups, ...)`` of each candidate segment. A tagger leaves out names that can't score above 0, as they stand in no best labelling."""
     mail = _emails(t) if "@" in t.text or "arroba" in t.text.lower() or _AT.search(t.text) else []
-    return mail + _numbers(t) + _addresses(t) + _names(t, worth)
+    return mail + _numbers(t) + _addresses(t) + _names(t, score)
 
 
 def _order(segments: list) -> list:
@@ -414,42 +443,56 @@ def weights(examples: int = 9000, epochs: int = 5) -> dict[tuple[str, str], floa
     return w
 
 
+class _Memo(dict):
+    """Values of a function by its argument, kept up to a bound."""
+
+    def __init__(self, of, most: int = 300_000):
+        super().__init__()
+        self.of, self.most = of, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        x = self[key] = self.of(key)
+        return x
+
+
 class Tagger:
     """Finds the personal data of texts with given weights; scores of groups are remembered."""
 
     def __init__(self, w: dict[tuple[str, str], float]):
-        self.w, self.memo, self.starts = w, {}, {}
-        # The most the groups beside the first word can add to a name, by shape: the largest weight of each family of features.
-        best: dict[str, float] = {}
-        for (f, kind), x in w.items():
-            if kind == "name":
-                family = "_".join(f.split("_")[: 2 if f.startswith(("first_ends", "last_ends")) else 1])
-                best[family] = max(best.get(family, 0.0), x)
-        # How often a family's features can stand in one candidate, the first word's aside.
-        times = {"bias": 1, "last": 2, "last_ends": 1, "left": 4, "right": 4, "shape": 1, "cores": 1, "join": 1, "order": 1, "pair": 4, "inner": 2 * (CORES - 2)}
-        self.most = sum(n * best.get(family, 0.0) for family, n in times.items())
-
-    def group(self, g: tuple, kind: str) -> float:
-        key = (g, kind)
-        x = self.memo.get(key)
-        if x is None:
-            if len(self.memo) > 500_000:
-                self.memo.clear()
-            x = self.memo[key] = sum(self.w.get((f, kind), 0.0) for f in features(g))
-        return x
-
-    def worth(self, shape: str, word: str) -> bool:
-        x = self.starts.get(word)
-        if x is None:
-            if len(self.starts) > 300_000:
-                self.starts.clear()
-            x = self.starts[word] = self.group(("first", word), "name") + self.most > 0
-        return x
+        self.w = w
+        name = lambda g: sum(w.get((f, "name"), 0.0) for f in features(g))
+        self.first, self.last, self.inner = (_Memo(lambda x, role=role: name((role, x))) for role in ("first", "last", "inner"))
+        self.beside, self.form = _Memo(name), _Memo(name)
+        self.other = _Memo(lambda key: sum(w.get((f, key[1]), 0.0) for f in features(key[0])))
+        # The most that each group can add to a name, from the weights.
+        names = {f: x for (f, kind), x in w.items() if kind == "name"}
+        top = lambda keys: max((names.get(k, 0.0) for k in keys), default=0.0)
+        classes = {f.split("_", 1)[1] for f in names if f.startswith(("first_", "last_")) and "ends" not in f and "len" not in f} | {"other", "letter"}
+        words = max(names.get(f"right_{g}", 0.0) + names.get(f"right_{g}_{c}", 0.0) + top(f"right_{g}_{c}_{x}" for x in ("c", "t", "u", "l", "m", "S", "join")) for g in ("s", ".") for c in classes)
+        marks = names.get("right_mark", 0.0) + top(f for f in names if re.fullmatch(r"right_(?:edge|handle|comma|mark.+)", f))
+        self.right = max(0.0, words, marks)
+        inner = max(0.0, top(f for f in names if f.startswith("inner_") and "len" not in f)) + max(0.0, top(f for f in names if f.startswith("inner_len")))
+        ends = max(0.0, top(f for f in names if f.startswith("last_ends"))) + max(0.0, top(f for f in names if f.startswith("last_len")))
+
+        def beyond(key: tuple[str, str]) -> float:
+            """The most that groups other than the first word and its left side can add, by the first word's shape and class."""
+            shape, one = key
+            return ends + self.right + max(
+                self.form["form", shape, cores, join, order, one, two] + names.get(f"last_{two}", 0.0) + (cores - 2) * inner
+                for two in classes for join in ("", "join", "e", "capital", "lines") for order in ("fore", "back") for cores in range(2, CORES + 1)
+            )
+
+        self.beyond = _Memo(beyond)
+
+    def total(self, groups: tuple, kind: str) -> float:
+        return sum([self.other[g, kind] for g in groups])
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """The personal data of a text: ``(from, to, kind)``, in order and disjoint."""
-        c = candidates(Text(text), self.worth)
-        return best_labelling([x[:3] for x in c], [sum([self.group(g, x[2]) for g in x[3]]) for x in c]) if c else []
+        c = candidates(Text(text), self)
+        return best_labelling([x[:3] for x in c], [x[4] if len(x) > 4 else self.total(x[3], x[2]) for x in c]) if c else []
 
 
 def masked(text: str, found: list[tuple[int, int, str]]) -> str:
