@@ -189,15 +189,27 @@ def _names(t: Text, score: Tagger | None = None) -> list[tuple]:
             cores, i = [*cores, j], j
             yield cores, join
 
+    # What words inside a name can add, summed up: with it the bound below holds for names of any length.
+    gain = [0.0]
+    if score:
+        for x in words:
+            y = score.inner[x[2]]
+            gain.append(gain[-1] + y if y > 0 else gain[-1])
     for k in range(n):
         at, _, w, shape = words[k]
         if gaps[k] not in ("s", ".", ",") or w in JOIN or shape == "m" or t.urls and t.in_url(at):
             continue
         if gaps[k] != ",":
-            left, one = side(k, -1), _class(w)
-            begun = score.first[w] + score.beside[left] if score else 0.0
-            # A run goes on only while what can still be added makes a name of it.
-            if not score or begun + score.beyond[shape, one] > 0:
+            one, begun = _class(w), 0.0
+            if score:
+                # Gone on with only while what can still be added makes a name of it.
+                begun = score.first[w]
+                rest = score.beyond[shape, one] + gain[min(n, k + 3 * CORES)] - gain[k + 1]
+                if begun + rest + score.left <= 0:
+                    continue
+            left = side(k, -1)
+            begun += score.beside[left] if score else 0.0
+            if not score or begun + rest > 0:
                 for cores, join in run(k, shape, CORES):
                     if len(cores) > 1:
                         end = cores[-1]
@@ -223,7 +235,7 @@ def _names(t: Text, score: Tagger | None = None) -> list[tuple]:
                 continue
             start = k - 1 if k and words[k - 1][2] in JOIN and gaps[k - 1] == "s" else k
             left, one, z = side(start, -1), _class(given[2]), words[c][2]
-            if score and score.first[given[2]] + score.beside[left] + score.beyond[shape, one] <= 0:
+            if score and score.first[given[2]] + score.beside[left] + score.beyond[shape, one] + gain[min(n, c + 3 * CORES)] - gain[k] <= 0:
                 continue
             for more, _ in run(c + 1, shape, 3):
                 e = more[-1]
@@ -470,17 +482,20 @@ class Tagger:
         names = {f: x for (f, kind), x in w.items() if kind == "name"}
         top = lambda keys: max((names.get(k, 0.0) for k in keys), default=0.0)
         classes = {f.split("_", 1)[1] for f in names if f.startswith(("first_", "last_")) and "ends" not in f and "len" not in f} | {"other", "letter"}
-        words = max(names.get(f"right_{g}", 0.0) + names.get(f"right_{g}_{c}", 0.0) + top(f"right_{g}_{c}_{x}" for x in ("c", "t", "u", "l", "m", "S", "join")) for g in ("s", ".") for c in classes)
-        marks = names.get("right_mark", 0.0) + top(f for f in names if re.fullmatch(r"right_(?:edge|handle|comma|mark.+)", f))
-        self.right = max(0.0, words, marks)
-        inner = max(0.0, top(f for f in names if f.startswith("inner_") and "len" not in f)) + max(0.0, top(f for f in names if f.startswith("inner_len")))
+
+        def beside(side: str) -> float:
+            words = max(names.get(f"{side}_{g}", 0.0) + names.get(f"{side}_{g}_{c}", 0.0) + top(f"{side}_{g}_{c}_{x}" for x in ("c", "t", "u", "l", "m", "S", "join")) for g in ("s", ".") for c in classes)
+            marks = names.get(f"{side}_mark", 0.0) + top(f for f in names if re.fullmatch(rf"{side}_(?:edge|handle|comma|mark.+)", f))
+            return max(0.0, marks, words + max(0.0, top(f for f in names if f.startswith(f"{side}_is_"))))
+
+        self.left, self.right = beside("left"), beside("right")
         ends = max(0.0, top(f for f in names if f.startswith("last_ends"))) + max(0.0, top(f for f in names if f.startswith("last_len")))
 
         def beyond(key: tuple[str, str]) -> float:
-            """The most that groups other than the first word and its left side can add, by the first word's shape and class."""
+            """The most that the last word, the right side and the form can add, by the first word's shape and class."""
             shape, one = key
             return ends + self.right + max(
-                self.form["form", shape, cores, join, order, one, two] + names.get(f"last_{two}", 0.0) + (cores - 2) * inner
+                self.form["form", shape, cores, join, order, one, two] + names.get(f"last_{two}", 0.0)
                 for two in classes for join in ("", "join", "e", "capital", "lines") for order in ("fore", "back") for cores in range(2, CORES + 1)
             )
 
@@ -495,6 +510,18 @@ class Tagger:
         return best_labelling([x[:3] for x in c], [x[4] if len(x) > 4 else self.total(x[3], x[2]) for x in c]) if c else []
 
 
+_taggers: dict[int, Tagger] = {}
+
+
+def _tagger(w: dict[tuple[str, str], float]) -> Tagger:
+    """One tagger a worker process: what it remembers serves its later tasks."""
+    key = hash(frozenset(w.items()))
+    if key not in _taggers:
+        _taggers.clear()
+        _taggers[key] = Tagger(w)
+    return _taggers[key]
+
+
 def masked(text: str, found: list[tuple[int, int, str]]) -> str:
     out, at = [], 0
     for a, b, kind in found:
@@ -512,7 +539,7 @@ def detect(rows: DataFrame, id_col: str, text_col: str, mask: bool = False) -> D
     w = weights()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tagger = Tagger(w)
+        tagger = _tagger(w)
         for b in batches:
             ids, kinds, texts = [], [], []
             for i, t in zip(b["id"], b["text"], strict=True):
