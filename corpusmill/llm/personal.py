@@ -68,6 +68,8 @@ _COUNTED = set("mil pessoas dias anos vezes reais milhoes milhao casos metros ho
 
 @functools.lru_cache(maxsize=300_000)
 def _fold(word: str) -> str:
+    if word.isascii():
+        return word.lower()
     return "".join(c for c in unicodedata.normalize("NFKD", word.lower()) if not unicodedata.combining(c))
 
 
@@ -127,8 +129,8 @@ def features(group: tuple) -> list[str]:
         w = group[1]
         return [f"{kind}_{_class(w)}", *([f"{kind}_len{len(w)}"] if len(w) < 3 else []), *([f"first_ends_{w.endswith(GIVEN_ENDS)}"] if kind == "first" else [f"last_ends_{w.endswith(FAMILY_ENDS)}"] if kind == "last" else [])]
     if kind == "beside":
-        _, side, gap, w, shape = group
-        return [f"{side}_{gap}", f"{side}_{gap}_{_class(w)}_{shape}", f"{side}_{gap}_{_class(w)}"] + ([f"left_is_{w}"] if side == "left" and w in BEFORE else []) if gap in ("s", ".") else [f"{side}_{gap}", f"{side}_mark"]
+        _, side, gap, of, shape, w = group
+        return [f"{side}_{gap}", f"{side}_{gap}_{of}_{shape}", f"{side}_{gap}_{of}", *([f"left_is_{w}"] if w else [])] if gap in ("s", ".") else [f"{side}_{gap}", f"{side}_mark"]
     if kind == "form":
         _, shape, cores, join, order, one, two = group
         return ["bias", f"shape_{shape}", f"cores_{cores}_{order}", f"join_{join}", f"order_{order}_{shape}", f"pair_{one}_{two}", f"pair_{one}_{two}_{shape}", f"pair_{one}_{two}_{order}", f"pair_{one}_{two}_{join or 'none'}"]
@@ -150,25 +152,23 @@ def _names(t: Text, score: Tagger | None = None) -> list[tuple]:
         near = s[at - 1 : at] if step < 0 else s[at : at + 1]
         name = "left" if step < 0 else "right"
         if not near:
-            return ("beside", name, "edge", "", "")
+            return ("beside", name, "edge", "", "", "")
         if near in "@#_/" or near.isdigit():
-            return ("beside", name, "handle", "", "")
+            return ("beside", name, "handle", "", "", "")
         j = k + step
         if not 0 <= j < n:
-            return ("beside", name, f"mark{near}" if near.strip() else "edge", "", "")
-        between = gaps[min(j, k)]
-        title = step < 0 and not between and words[j][2] in TITLE and s[words[j][1] : words[k][0]].strip() == "."
-        if title:
-            return ("beside", name, ".", words[j][2], words[j][3])
+            return ("beside", name, f"mark{near}" if near.strip() else "edge", "", "", "")
+        between, w, shape = gaps[min(j, k)], words[j][2], words[j][3]
+        if step < 0 and not between and w in TITLE and s[words[j][1] : at].strip() == ".":
+            return ("beside", name, ".", classes[j], shape, w if w in BEFORE else "")
         if between not in ("s", "."):
-            return ("beside", name, "comma" if between == "," else f"mark{near.strip() or s[at - 2 : at - 1] * (step < 0)}", "", "")
+            return ("beside", name, "comma" if between == "," else f"mark{near.strip() or s[at - 2 : at - 1] * (step < 0)}", "", "", "")
         # A joining word is looked through: "Vasco da" + "Gama Silva" cuts a longer run.
-        if words[j][2] in JOIN and words[j][2] != "e" and 0 <= j + step < n and gaps[min(j, j + step)] == "s" and words[j + step][3] in "ctu" and words[k][3] in "ctu":
-            return ("beside", name, "s", words[j + step][2], "join")
-        shape = words[j][3]
-        if step < 0 and shape == "c" and (words[j][2] in PLAIN or j == 0 or not gaps[j - 1] or s[words[j][0] - 1] == "\n"):
+        if w in JOIN and w != "e" and 0 <= j + step < n and gaps[min(j, j + step)] == "s" and words[j + step][3] in "ctu" and words[k][3] in "ctu":
+            return ("beside", name, "s", classes[j + step], "join", "")
+        if step < 0 and shape == "c" and (w in PLAIN or j == 0 or not gaps[j - 1] or s[words[j][0] - 1] == "\n"):
             shape = "S"  # the capital of a sentence's first word says little
-        return ("beside", name, "s", words[j][2], shape)
+        return ("beside", name, "s", classes[j], shape, w if step < 0 and w in BEFORE else "")
 
     def run(i: int, shape: str, most: int) -> Iterator[tuple[list[int], str]]:
         """Runs of words of one shape from ``i`` on, joining words passed over: the cores, and how they are joined."""
@@ -192,19 +192,35 @@ def _names(t: Text, score: Tagger | None = None) -> list[tuple]:
     # What words inside a name can add, summed up: with it the bound below holds for names of any length.
     gain = [0.0]
     if score:
-        for x in words:
-            y = score.inner[x[2]]
+        info = [score.info[x[2]] for x in words]
+        classes = [x[0] for x in info]
+        ending: dict[str, dict[str, float]] = {}
+        for (_, _, _, shape), (of, _, x, y) in zip(words, info, strict=True):
             gain.append(gain[-1] + y if y > 0 else gain[-1])
+            there = ending.setdefault(shape, {})
+            if there.get(of, -1e9) < x:
+                there[of] = x
+    else:
+        info, classes = [], [_class(x[2]) for x in words]
+    known: dict[tuple[str, str], float] = {}
+
+    def beyond(shape: str, one: str) -> float:
+        """The most that last word, form and right side can add to a name in this text, by the first word's shape and class."""
+        x = known.get((shape, one))
+        if x is None:
+            x = known[shape, one] = score.right + max(score.best[shape, one, two] + most for two, most in ending[shape].items())
+        return x
+
     for k in range(n):
         at, _, w, shape = words[k]
         if gaps[k] not in ("s", ".", ",") or w in JOIN or shape == "m" or t.urls and t.in_url(at):
             continue
         if gaps[k] != ",":
-            one, begun = _class(w), 0.0
+            one, begun = classes[k], 0.0
             if score:
                 # Gone on with only while what can still be added makes a name of it.
-                begun = score.first[w]
-                rest = score.beyond[shape, one] + gain[min(n, k + 3 * CORES)] - gain[k + 1]
+                begun = info[k][1]
+                rest = beyond(shape, one) + gain[min(n, k + 3 * CORES)] - gain[k + 1]
                 if begun + rest + score.left <= 0:
                     continue
             left = side(k, -1)
@@ -214,12 +230,12 @@ def _names(t: Text, score: Tagger | None = None) -> list[tuple]:
                     if len(cores) > 1:
                         end = cores[-1]
                         z = words[end][2]
-                        form = ("form", shape, len(cores), join, "fore", one, _class(z))
+                        form = ("form", shape, len(cores), join, "fore", one, classes[end])
                         got = None
                         if score:
-                            got = begun + score.last[z] + score.form[form]
+                            got = begun + info[end][2] + score.form[form]
                             for x in cores[1:-1]:
-                                got += score.inner[words[x][2]]
+                                got += info[x][3]
                             if got + score.right <= 0:
                                 continue
                         right = side(end, 1)
@@ -234,12 +250,12 @@ def _names(t: Text, score: Tagger | None = None) -> list[tuple]:
             if given[3] != shape or given[2] in JOIN:
                 continue
             start = k - 1 if k and words[k - 1][2] in JOIN and gaps[k - 1] == "s" else k
-            left, one, z = side(start, -1), _class(given[2]), words[c][2]
-            if score and score.first[given[2]] + score.beside[left] + score.beyond[shape, one] + gain[min(n, c + 3 * CORES)] - gain[k] <= 0:
+            left, one, z = side(start, -1), classes[c + 1], words[c][2]
+            if score and info[c + 1][1] + score.beside[left] + beyond(shape, one) + gain[min(n, c + 3 * CORES)] - gain[k] <= 0:
                 continue
             for more, _ in run(c + 1, shape, 3):
                 e = more[-1]
-                f = (("first", given[2]), ("last", z), *[("inner", words[x][2]) for x in [*cores[:-1], *more[1:]]], left, side(e, 1), ("form", shape, len(cores) + len(more), join or ("join" if start < k else ""), "back", one, _class(z)))
+                f = (("first", given[2]), ("last", z), *[("inner", words[x][2]) for x in [*cores[:-1], *more[1:]]], left, side(e, 1), ("form", shape, len(cores) + len(more), join or ("join" if start < k else ""), "back", one, classes[c]))
                 got = score.total(f, "name") if score else None
                 if got is None or got > 0:
                     out.append((words[start][0], words[e][1], "name", f, got))
@@ -475,7 +491,8 @@ class Tagger:
     def __init__(self, w: dict[tuple[str, str], float]):
         self.w = w
         name = lambda g: sum(w.get((f, "name"), 0.0) for f in features(g))
-        self.first, self.last, self.inner = (_Memo(lambda x, role=role: name((role, x))) for role in ("first", "last", "inner"))
+        #: A word's class and its scores as first, last and inner word of a name.
+        self.info = _Memo(lambda x: (_class(x), name(("first", x)), name(("last", x)), name(("inner", x))))
         self.beside, self.form = _Memo(name), _Memo(name)
         self.other = _Memo(lambda key: sum(w.get((f, key[1]), 0.0) for f in features(key[0])))
         # The most that each group can add to a name, from the weights.
@@ -489,17 +506,8 @@ class Tagger:
             return max(0.0, marks, words + max(0.0, top(f for f in names if f.startswith(f"{side}_is_"))))
 
         self.left, self.right = beside("left"), beside("right")
-        ends = max(0.0, top(f for f in names if f.startswith("last_ends"))) + max(0.0, top(f for f in names if f.startswith("last_len")))
-
-        def beyond(key: tuple[str, str]) -> float:
-            """The most that the last word, the right side and the form can add, by the first word's shape and class."""
-            shape, one = key
-            return ends + self.right + max(
-                self.form["form", shape, cores, join, order, one, two] + names.get(f"last_{two}", 0.0)
-                for two in classes for join in ("", "join", "e", "capital", "lines") for order in ("fore", "back") for cores in range(2, CORES + 1)
-            )
-
-        self.beyond = _Memo(beyond)
+        #: The most the form can add, by shape and the classes of the first and the last word.
+        self.best = _Memo(lambda x: max(self.form["form", x[0], cores, join, order, x[1], x[2]] for join in ("", "join", "e", "capital", "lines") for order in ("fore", "back") for cores in range(2, CORES + 1)))
 
     def total(self, groups: tuple, kind: str) -> float:
         return sum([self.other[g, kind] for g in groups])
