@@ -91,18 +91,92 @@ def test_survivors_by_rank_then_time_then_id(spark):
     assert fusion.found(main, reg.limit(0), prov.limit(0)).count() == 4
 
 
+CLAIM = "grp bigint, field string, value string, normal string, source string, rid bigint, trust_rank int, collected_at string"
+
+
 def test_copied_votes_count_less(spark):
     rows = []
     for g in range(40):
         # Three independent sources agree; B and C copy each other's wrong values.
         for s in "AXY":
-            rows.append((g, "f", f"right{g}", s, g * 10 + ord(s), 2, None))
+            rows.append((g, "f", f"right{g}", f"right{g}", s, g * 10 + ord(s), 2, None))
         for s in "BC":
-            rows.append((g, "f", f"wrong{g}", s, g * 10 + ord(s), 2, None))
-    c = spark.createDataFrame(rows, "grp bigint, field string, value string, source string, rid bigint, trust_rank int, collected_at string")
-    got = fusion.fuse_by_votes(c).collect()
+            rows.append((g, "f", f"wrong{g}", f"wrong{g}", s, g * 10 + ord(s), 2, None))
+    c = spark.createDataFrame(rows, CLAIM)
+    got = fusion.fuse(c, "even").collect()
     assert len(got) == 40 and all(r["value"].startswith("right") for r in got) and all(0 <= r["posterior"] <= 1 for r in got)
-    assert fusion.fuse_by_votes(c.limit(0)).count() == 0
+    assert fusion.fuse(c.limit(0), "even").count() == 0 and fusion.fuse(c.limit(0)).count() == 0
+    assert all(r["votes"] > 2.5 for r in got)
+    told = {(r["grp"], r["normal"]): r["votes"] for r in fusion.evidence(c).collect()}
+    assert all(told[g, f"wrong{g}"] < 1.5 for g in range(40))
+
+
+def _fused(rows, rounds):
+    """Evidence of each value by plain loops."""
+    import math
+
+    votes, rank = {}, {}
+    for g, f, _, v, s, rid, tr, _ in rows:
+        votes.setdefault((g, f), {}).setdefault(v, {}).setdefault(s, []).append(rid)
+        rank[s] = min(rank.get(s, tr), tr)
+    acc = {s: max(0.55, 0.95 - 0.08 * (min(r, 6) - 1)) for s, r in rank.items()}
+    w = {}
+    for left in range(rounds - 1, -1, -1):
+        score = {k: {v: sum(w.get((k, v, s), 1.0) * math.log(10 * acc[s] / (1 - acc[s])) for s in ss) for v, ss in vs.items()} for k, vs in votes.items()}
+        post, won = {}, {}
+        for k, vs in score.items():
+            z = sum(math.exp(x) for x in vs.values()) + max(0, 11 - len(vs))
+            post[k] = {v: math.exp(x) / z for v, x in vs.items()}
+            won[k] = max(vs, key=lambda v: (vs[v], -min(min(r) for r in votes[k][v].values())))
+        if not left:
+            break
+        told = {}
+        for k, vs in votes.items():
+            for v, ss in vs.items():
+                for s in ss:
+                    told.setdefault(s, []).append(post[k][v])
+        new = {s: max(0.05, min(0.99, (sum(x) + 4) / (len(x) + 5))) for s, x in told.items()}
+        moved, acc = max(abs(new[s] - acc[s]) for s in new), new
+        if moved <= fusion.SETTLED:
+            break
+        lost, both = {}, {}
+        for k, vs in votes.items():
+            for v, ss in vs.items():
+                if v != won[k]:
+                    for s in ss:
+                        lost[s] = lost.get(s, 0) + 1
+                        for t in ss:
+                            if s < t:
+                                both[s, t] = both.get((s, t), 0) + 1
+        w = {}
+        for (s, t), kf in both.items():
+            odds = kf * math.log(8) + (min(lost[s], lost[t]) - kf) * math.log(0.2 / 0.9) - 2
+            dep = 1 / (1 + math.exp(-max(-50, min(50, odds))))
+            a, b = (s, t) if acc[s] >= acc[t] else (t, s)
+            for k, vs in votes.items():
+                for v, ss in vs.items():
+                    if a in ss and b in ss:
+                        w[k, v, b] = w.get((k, v, b), 1.0) * (1 - 0.8 * dep)
+    return {(k[0], k[1], v): (score[k][v], post[k][v]) for k in votes for v in votes[k]}
+
+
+def test_evidence_against_plain_loops(spark):
+    r = random.Random(8)
+    rows = [(g, "f", f"v{x}", f"v{x}", s, i * 7 + ord(s), 1 + ord(s) % 4, None) for i, g in enumerate(list(range(60)) * 2) for s, x in zip("ABCDE", [r.choice((0, 0, 1, 2)) for _ in range(4)] + [None], strict=True) if x is not None for _ in range(r.choice((1, 1, 2)))]
+    got = {(x["grp"], x["field"], x["normal"]): x for x in fusion.evidence(spark.createDataFrame(rows, CLAIM), 4).collect()}
+    want = _fused(rows, 4)
+    assert set(got) == set(want)
+    for k, (s, p) in want.items():
+        assert abs(got[k]["evidence"] - s) < 1e-6 and abs(got[k]["posterior"] - p) < 1e-6
+
+
+def test_rank_and_time_outweigh_votes_and_votes_decide_ties(spark):
+    many = [(1, "f", "told", "told", s, 100 + ord(s), 3, "2025-01-01T00:00:00+00:00") for s in "ABCDEFGH"]
+    rows = [*many, (1, "f", "trusted", "trusted", "Z", 900, 1, None), (2, "f", "late", "late", "Y", 800, 3, "2025-01-01T00:00:01+00:00"), *[(2, *x[1:]) for x in many], (3, "f", "lone", "lone", None, 5, 3, None)]
+    rows += [(4, "f", "lone", "lone", "Y", 1, 3, None), (4, "f", "told", "told", "A", 2, 3, None), (4, "f", "told", "told", "B", 3, 3, None)]
+    c = spark.createDataFrame([tuple("" if i == 4 and x is None else x for i, x in enumerate(row)) for row in rows], CLAIM)
+    assert {r["grp"]: r["value"] for r in fusion.fuse(c).collect()} == {1: "trusted", 2: "late", 3: "lone", 4: "lone"}
+    assert {r["grp"]: r["value"] for r in fusion.fuse(c, ties="votes").collect()} == {1: "trusted", 2: "late", 3: "lone", 4: "told"}
 
 
 # ------------------------------------------------------------- 8
