@@ -2,25 +2,34 @@
 
 Texts are reduced to sets of three-word sequences. Each of ``TREES`` trees gives an accepted text a signature of ``DEPTH``
 labels, each the smallest hash of the set under one permutation, packed into one integer. The texts that share the first
-``d`` labels of a tree form one range. ``d`` is the longest prefix at which two texts of the threshold's similarity meet in
-some tree with probability ``RECALL``, the same for all batches; what meets is verified by its exact similarity.
+``d`` labels of a tree stand together in that tree's order: they are one range.
 
-The forest is a folder of written runs, one per accepted batch, holding each entry's keys of all trees. Runs are not
-sorted: a search is an equi-join on tree and prefix, for which the keys of all runs are read. ``merge_runs`` folds the runs into one. Signatures of accepted texts are never computed again.
-Beside each run stand the digests of its texts' canonical forms (problem 7) with the earliest row of each: what is the same
-but for formatting, has fewer than three words or no Latin letters meets by them.
+The forest is a folder of runs, one per accepted batch. A run holds its leaves ``(tree, key, entry)`` sorted by tree and key and
+cut into parts by fixed bounds, so that the place of a range tells its part; the sets of its entries, cut by entry; and the digests of
+its texts' canonical forms (problem 7) with the earliest row of each, cut by digest. A search reads the parts its ranges, candidates
+and digests lie in, of ``PER_PART`` rows each, and no others: what a batch costs is bounded by the batch, not by the history.
+``merge_runs`` merges sorted runs into one. Signatures of accepted texts are never computed again.
 
-Texts of one word sequence are one entry, so exact copies cost one row whatever their number. A crowded range (many
-near-copies) is first compared with its earliest entry only; entries this settles leave before the rest meet pairwise.
+A new text looks for one similar earlier text, from the longest prefix on: at each length it meets the earliest entry of its
+range (one for each size of set), and what is found similar is settled and leaves. What is left widens its prefix by one label,
+until ``d`` is short enough that two texts of the threshold's similarity meet in some tree with probability ``RECALL``; there it
+meets all entries of its ranges. A crowd of near-copies is so settled by its earliest entries, at the longest prefixes.
+
+Texts of one word sequence are one entry, so exact copies cost one row whatever their number. Sequences are compared by 32-bit
+hashes: two texts of 40 sequences seem to share one more than they do with a probability of 4e-7.
 
 Defined results
 ---------------
 * null texts and texts without letters and digits repeat nothing; texts of fewer than three words repeat by equality only
 * a null ``batch_no`` comes after all others; repeated ids in one batch are one row
+* a run without its ``run.json``, written last, was cut short and is no part of the history; a merged run names those it replaces
 """
 
 from __future__ import annotations
 
+import functools
+import json
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -109,59 +118,132 @@ def entries(rows: DataFrame, batch: int | None = None) -> DataFrame:
     return e.select(F.col("o.r").alias("entry"), F.col("o.b").alias("ord"), "words")
 
 
+#: Rows of one part of a run, about: the least that a search reads for a range.
+PER_PART = 1_000_000
+_BITS = LABEL_BITS * DEPTH
+
+
+def _place(tree: Column, key: Column, parts: int) -> Column:
+    """The part in which a key of a tree stands: keys are spread evenly over their values."""
+    return F.least(F.floor((tree + key / F.lit(float(1 << _BITS))) * F.lit(parts / TREES)), F.lit(parts - 1)).cast("int")
+
+
+def _hashed(c: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
+
+
 class HashForest:
-    """Runs of signatures in the shared folder; ``accept`` takes a batch in and gives its repeats, ``append`` only takes it in."""
+    """Sorted runs of signatures in the shared folder; ``accept`` takes a batch in and gives its repeats, ``append`` only takes it in."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None):
+    def __init__(self, spark: SparkSession, path: str | None = None, per_part: int = PER_PART):
         ship(spark)
-        self.spark, self.path = spark, (path or f"{work_dir(spark)}/forest-{uuid.uuid4().hex}").rstrip("/")
+        self.spark, self.path, self.per_part = spark, (path or f"{work_dir(spark)}/forest-{uuid.uuid4().hex}").rstrip("/"), per_part
         root, fs = self._at(self.path)
         # A path of its own outlives the application: what is complete there is the history.
-        self.runs = sorted(f"{self.path}/{s.getPath().getName()}" for s in (fs.listStatus(root) if fs.exists(root) else []) if fs.exists(self._at(f"{self.path}/{s.getPath().getName()}/_SUCCESS")[0]))
-        self.shift = LABEL_BITS * (DEPTH - search_depth())
+        names = sorted(s.getPath().getName() for s in (fs.listStatus(root) if fs.exists(root) else []))
+        told = {f"{self.path}/{n}": self._told(f"{self.path}/{n}") for n in names}
+        replaced = {run for meta in told.values() if meta for run in meta["replaces"]}
+        self.runs = {run: meta for run, meta in told.items() if meta and run.rsplit("/", 1)[1] not in replaced}
+        self.depth = search_depth()
+        #: What has been read: table, parts read, parts there.
+        self.read: list[tuple[str, int, int]] = []
 
     def _at(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _told(self, run: str) -> dict | None:
+        """What ``run.json`` says: the parts of each table, and the runs this one replaces."""
+        p, fs = self._at(f"{run}/run.json")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
     def signed(self, rows: DataFrame, batch: int | None = None) -> DataFrame:
         """Signatures of ``(rid, batch_no, text)`` rows: ``(entry, ord, n, keys, set)``."""
         return entries(rows, batch).mapInPandas(_signatures, "entry bigint, ord int, n int, keys array<bigint>, set array<int>")
 
-    def _keys(self, run: str) -> str:
-        """Where the canonical digests of a run are: written before it, so that a complete run has them."""
-        folder, name = run.rsplit("/", 1)
-        return f"{folder}/keys/{name}"
-
-    def append(self, rows: DataFrame, batch: int | None = None) -> DataFrame:
+    def _cut(self, df: DataFrame, to: str, rows: int, place, order: list[str]) -> dict:
+        """Writes a table in parts by ``place(parts)``, sorted by ``order`` within each. Ranges are drawn by size, so a crowded part is spread over tasks."""
+        parts = -(-rows // self.per_part) or 1
+        placed = df.withColumn("part", place(parts))
+        placed = placed.repartitionByRange(parts, "part", *order) if parts > 1 else placed.coalesce(1)
+        placed.sortWithinPartitions("part", *order).write.partitionBy("part").parquet(to)
+        root, fs = self._at(to)
+        return {"parts": parts, "some": sorted(int(s.getPath().getName()[5:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("part="))}
+
+    def _seal(self, to: str, meta: dict) -> None:
+        p, fs = self._at(f"{to}/run.json")
+        stream = fs.create(p, True)
+        stream.write(bytearray(json.dumps(meta).encode()))
+        stream.close()
+        self.runs[to] = meta
+
+    def append(self, rows: DataFrame, batch: int | None = None) -> str:
         """Accepts rows as one run and returns the run. Entries keep their signatures; nothing older is read."""
         to = f"{self.path}/run-{len(self.runs):05d}-{uuid.uuid4().hex[:8]}"
         rows = _ordered(rows, batch)
-        _firsts(_keyed(rows, canonical.canonical(F.col("text")))).write.parquet(self._keys(to))
-        self.signed(rows, batch).write.parquet(to)
-        self.runs.append(to)
-        return self.spark.read.parquet(to)
+        self.signed(rows, batch).write.parquet(f"{to}/signed")
+        signed = self.spark.read.parquet(f"{to}/signed")
+        n = signed.count()
+        keys = written(_firsts(_keyed(rows, canonical.canonical(F.col("text")))), "p1-keys")
+        self._seal(to, {"replaces": [], "signed": n <= self.per_part, **self._tables(to, signed, n, keys, keys.count())})
+        return to
+
+    def _tables(self, to: str, signed: DataFrame, n: int, keys: DataFrame, k: int) -> dict:
+        leaves = signed.select(F.posexplode("keys").alias("tree", "key"), "entry", "ord", "n")
+        meta = {"leaves": self._cut(leaves, f"{to}/leaves", n * TREES, lambda p: _place(F.col("tree"), F.col("key"), p), ["tree", "key", "entry"])}
+        meta["keys"] = self._cut(keys, f"{to}/keys", k, lambda p: _hashed(F.col("k"), p), ["k"])
+        # Small runs keep their sets where they were signed.
+        meta["sets"] = self._cut(signed.select("entry", "set"), f"{to}/sets", n, lambda p: _hashed(F.col("entry"), p), ["entry"]) if n > self.per_part else {"parts": 1, "some": []}
+        return meta
+
+    def _read(self, name: str, schema: str, touched=None, runs: list[str] | None = None) -> DataFrame:
+        """A table of all runs; with ``touched(parts)``, a table of part numbers, only of the parts named there."""
+        paths, wanted = [], {}
+        for run in runs or self.runs:
+            meta = self.runs[run][name]
+            n, some = meta["parts"], meta["some"]
+            if not some:
+                paths += [f"{run}/signed"] if name == "sets" and self.runs[run].get("signed") else []
+                continue
+            if touched is not None and n > 1:
+                if n not in wanted:
+                    # Numbers of parts: as many as there are files at most.
+                    wanted[n] = {r[0] for r in touched(n).distinct().collect()}
+                some = [i for i in some if i in wanted[n]]
+            self.read.append((name, len(some), len(meta["some"])))
+            paths += [f"{run}/{name}/part={i}" for i in some]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def merge_runs(self) -> None:
-        """Folds all runs into one."""
+        """Merges all runs into one, whose tables are sorted and cut as one batch's are."""
         if len(self.runs) > 1:
-            to = f"{self.path}/merged-{uuid.uuid4().hex[:8]}"
-            keys = self.spark.read.parquet(*[self._keys(run) for run in self.runs])
-            keys.groupBy("k").agg(F.min("first").alias("first"), F.max("final").alias("final")).write.parquet(self._keys(to))
-            self.spark.read.parquet(*self.runs).write.parquet(to)
-            old, self.runs = self.runs, [to]
+            to, old = f"{self.path}/merged-{uuid.uuid4().hex[:8]}", list(self.runs)
+            leaves, sets = self._read("leaves", _LEAVES), self._read("sets", _SETS)
+            keys = self._read("keys", _KEYS).groupBy("k").agg(F.min("first").alias("first"), F.max("final").alias("final"))
+            n, k = leaves.count(), keys.count()
+            meta = {"replaces": [run.rsplit("/", 1)[1] for run in old], "leaves": self._cut(leaves, f"{to}/leaves", n, lambda p: _place(F.col("tree"), F.col("key"), p), ["tree", "key", "entry"])}
+            meta["keys"] = self._cut(keys, f"{to}/keys", k, lambda p: _hashed(F.col("k"), p), ["k"])
+            meta["sets"] = self._cut(sets, f"{to}/sets", n // TREES, lambda p: _hashed(F.col("entry"), p), ["entry"])
+            self._seal(to, meta)
+            # Sealed, the merged run stands for the old ones, whether or not they are gone.
             for run in old:
-                for path in (run, self._keys(run)):
-                    p, fs = self._at(path)
-                    fs.delete(p, True)
+                del self.runs[run]
+                p, fs = self._at(run)
+                fs.delete(p, True)
 
     def accept(self, rows: DataFrame, batch: int | None = None) -> DataFrame:
         """Accepts ``(rid, batch_no, text)`` as one run and returns ``(rid)`` of each row that repeats an earlier one, of any run or its own."""
         rows = _ordered(rows, batch)
         run = self.append(rows, batch)
         # The same but for formatting: the batch's keys with their earliest row of all runs.
-        own = self.spark.read.parquet(self._keys(self.runs[-1])).select("k", "final")
-        known = self.spark.read.parquet(*[self._keys(r) for r in self.runs]).select("k", "first").join(own, "k")
+        own = self._read("keys", _KEYS, runs=[run]).select("k", "final")
+        known = self._read("keys", _KEYS, lambda n: own.select(_hashed(F.col("k"), n))).select("k", "first").join(own, "k")
         known = known.groupBy("k").agg(F.min("first").alias("first"), F.max("final").alias("final"))
         equal = _later(_keyed(rows, canonical.canonical(F.col("text"))), known)
         # The same word sequence as an earlier row of the run; of such rows only the earliest is an entry of the forest.
@@ -170,52 +252,68 @@ class HashForest:
         # Written, as the runs read here may be merged before the result is used.
         return written(equal.unionByName(_later(worded, _firsts(worded))).unionByName(near).distinct(), "p1-repeats")
 
-    def leaves(self, run: DataFrame) -> DataFrame:
-        """``(tree, prefix, entry, ord, n)``: a tree's leaves at the search depth. Entries with one prefix are one range."""
-        return run.select(F.posexplode("keys").alias("tree", "key"), "entry", "ord", "n").select(((F.shiftright("key", self.shift) * 64) + F.col("tree")).alias("range"), "entry", "ord", "n")
-
-    def similar(self, run: DataFrame) -> DataFrame:
-        """Entries of ``run`` that are similar to an earlier entry of any run: ``(entry)``.
-
-        ``run`` is read from the forest itself, so entries of the same batch count as earlier by their id.
-        """
-        history = self.spark.read.parquet(*self.runs)
-        new = run.select("entry", "ord", "n", "keys")
-        sets = history.select("entry", "set")
-        probe = self.leaves(new).withColumnsRenamed({"entry": "a", "ord": "ao", "n": "an"})
-        leaves = self.leaves(history).withColumnsRenamed({"entry": "b", "ord": "bo", "n": "bn"})
+    def touched(self, run: str) -> DataFrame:
+        """``(tree, key, entry, ord, n)``: the leaves of all runs in the widest ranges of a run's own leaves, read from the parts that hold them."""
+        own = self._read("leaves", _LEAVES, runs=[run])
+        ranges = written(own.select("tree", _range(self.depth).alias("range")).distinct(), "p1-ranges")
+        shift = LABEL_BITS * (DEPTH - self.depth)
+        low = F.shiftleft("range", shift)
+        ends = ranges.select(F.col("tree").alias("t"), F.explode(F.array(low, low + (1 << shift) - 1)).alias("k"))
+        found = self._read("leaves", _LEAVES, lambda n: ends.select(_place(F.col("t"), F.col("k"), n)))
+        return found.withColumn("range", _range(self.depth)).join(ranges, ["tree", "range"], "left_semi").drop("range")
+
+    def similar(self, run: str) -> DataFrame:
+        """Entries of ``run`` that are similar to an earlier entry of any run: ``(entry)``. Entries of the run itself count as earlier by their id."""
+        leaves = written(self.touched(run), "p1-touched")
+        new = self._read("leaves", _LEAVES, runs=[run]).select("tree", "key", F.col("entry").alias("a"), F.col("ord").alias("ao"), F.col("n").alias("an"))
+        old = leaves.withColumnsRenamed({"entry": "b", "ord": "bo", "n": "bn"})
         earlier = (F.col("bo") < F.col("ao")) | ((F.col("bo") == F.col("ao")) & (F.col("b") < F.col("a")))
         near = (F.col("bn") >= THRESHOLD * F.col("an")) & (F.col("an") >= THRESHOLD * F.col("bn"))
+        band = lambda n: F.floor(F.log(n) * (2 / -math.log(THRESHOLD)))  # noqa: E731  # sizes of similar sets differ by at most two bands
 
         def verified(pairs: DataFrame) -> DataFrame:
+            pairs = written(pairs, "p1-pairs")
+            sets = self._read("sets", _SETS, lambda n: pairs.select(F.explode(F.array("a", "b")).alias("e")).select(_hashed(F.col("e"), n)))
             p = pairs.join(sets.select(F.col("entry").alias("b"), F.col("set").alias("sb")), "b").join(sets.select(F.col("entry").alias("a"), F.col("set").alias("sa")), "a")
             shared = F.size(F.array_intersect("sa", "sb"))
             return p.where(shared >= THRESHOLD * (F.size("sa") + F.size("sb") - shared)).select("a").distinct()
 
-        # Crowded ranges first meet their earliest entry only. Which ranges are crowded is seen on a share of the entries, spread by a
-        # hash: it decides how the work is done, not what is found.
-        share = self.leaves(history.where(F.pmod(F.xxhash64("entry"), F.lit(SHARE)) == 0))
-        crowded = share.groupBy("range").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") * SHARE > CROWDED).select("range")
-        first = leaves.join(written(crowded, "p1-crowded"), "range").groupBy("range").agg(F.min(F.struct("bo", "b", "bn")).alias("f")).select("range", "f.*")
-        crowd = written(probe.join(first, "range").where(earlier & near).select("a", "b").distinct(), "p1-crowds")
-        settled = written(verified(crowd), "p1-settled")
-        rest = probe.join(settled, "a", "left_anti").join(leaves, "range").where(earlier & near).select("a", "b").distinct()
-        return settled.unionByName(verified(written(rest, "p1-pairs"))).select(F.col("a").alias("entry"))
+        settled = None
+        for depth in range(DEPTH, self.depth - 2, -1):
+            probe = new if settled is None else new.join(settled, "a", "left_anti")
+            all_of_them = depth < self.depth
+            at = _range(max(depth, self.depth))
+            probe, there = probe.withColumn("range", at), old.withColumn("range", at)
+            if not all_of_them:
+                # The earliest entry of each range and size; a probe meets those of its size and of the sizes beside it.
+                there = there.groupBy("tree", "range", band(F.col("bn")).alias("band")).agg(F.min(F.struct("bo", "b", "bn")).alias("f")).select("tree", "range", "band", "f.*")
+                probe = probe.withColumn("band", F.explode(F.array(*[band(F.col("an")) + d for d in (-2, -1, 0, 1, 2)])))
+            pairs = probe.join(there, ["tree", "range"] if all_of_them else ["tree", "range", "band"]).where(earlier & near).select("a", "b").distinct()
+            more = written(verified(pairs), "p1-settled")
+            settled = more if settled is None else settled.unionByName(more)
+        return settled.select(F.col("a").alias("entry"))
+
+
+_LEAVES = "tree int, key bigint, entry bigint, ord int, n int"
+_SETS = "entry bigint, set array<int>"
+_KEYS = "k binary, first struct<b:int,r:bigint>, final struct<b:int,r:bigint>"
 
 
-#: A range of more entries than this is crowded, judged by one in SHARE entries.
-CROWDED, SHARE = 128, 16
+def _range(depth: int) -> Column:
+    """The range of its tree in which a leaf stands by its first ``depth`` labels."""
+    return F.shiftright("key", LABEL_BITS * (DEPTH - depth))
 
 
 def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
     """``(rid)`` of each incoming row that repeats a row of ``history``, of an earlier batch, or an earlier one of its batch.
 
-    Both have ``rid, text``; ``incoming`` has ``batch_no``. All batches are accepted as one run: a row only counts what is earlier by
-    batch and id, which is what accepting batch after batch gives.
+    Both have ``rid, text``; ``incoming`` has ``batch_no``. The history is accepted as one run, then batch after batch as they arrive.
     """
     forest = HashForest(history.sparkSession)
     forest.append(history.select("rid", F.lit(-1).alias("batch_no"), "text"), -1)
-    return forest.accept(incoming.select("rid", "batch_no", "text"))
+    rows = incoming.select("rid", F.coalesce(F.col("batch_no").cast("int"), F.lit(LAST)).alias("batch_no"), "text")
+    out = [forest.accept(rows.where(F.col("batch_no") == b), b) for (b,) in sorted(map(tuple, rows.select("batch_no").distinct().collect()))]
+    return functools.reduce(DataFrame.unionByName, out).distinct() if out else rows.select("rid").limit(0)
 
 
 #: Where rows without a batch stand: after all others.

@@ -280,6 +280,45 @@ def test_batches_one_by_one_give_all_repeats(spark, tmp_path):
     assert got == once == {10, 11, 12, 13, 15, 16, 20, 22, 24, 30, 31, 40, 42}
 
 
+def test_a_batch_reads_what_its_ranges_touch_however_long_the_history(spark, tmp_path):
+    r = random.Random(4)
+    text = lambda: " ".join(f"w{r.randrange(5000)}" for _ in range(12))
+    frame = lambda rows: spark.createDataFrame(rows, "rid bigint, batch_no int, text string")
+    read = []
+    for name, n in (("short", 300), ("long", 3000)):
+        f = forest.HashForest(spark, str(tmp_path / name), per_part=200)
+        f.append(frame([(i, -1, text()) for i in range(n)]), -1)
+        old = frame([(10_000, 0, "um dois tres quatro cinco seis sete oito nove dez")])
+        assert f.accept(old, 0).count() == 0
+        f.read.clear()
+        assert [x["rid"] for x in f.accept(frame([(20_000, 1, "um dois tres quatro cinco seis sete oito nove dois"), (20_001, 1, "outra coisa sem par")]), 1).collect()] == [20_000]
+        read.append({t: (sum(a for x, a, _ in f.read if x == t), max(b for x, _, b in f.read if x == t)) for t in ("leaves", "keys")})
+    (short, long) = read
+    assert long["leaves"][1] > 9 * short["leaves"][1] and long["keys"][1] > 9 * short["keys"][1] / 2
+    assert long["leaves"][0] <= 2 * forest.TREES * 2 + 6 and long["keys"][0] <= 8
+
+
+def test_a_merge_cut_short_and_a_merge_not_cleaned_up_change_nothing(spark, tmp_path):
+    frame = lambda rows: spark.createDataFrame(rows, "rid bigint, batch_no int, text string")
+    f = forest.HashForest(spark, str(tmp_path / "f"))
+    f.append(frame([(1, -1, "um dois tres quatro cinco seis")]), -1)
+    f.append(frame([(2, 0, "sete oito nove dez onze doze")]), 0)
+    before = dict(f.runs)
+    (tmp_path / "f" / "merged-half" / "leaves").mkdir(parents=True)
+    assert set(forest.HashForest(spark, str(tmp_path / "f")).runs) == set(before)
+    keep = [str(x) for x in before]
+    import shutil
+
+    for x in keep:
+        shutil.copytree(x, x.replace("/f/", "/kept-"))
+    f.merge_runs()
+    for x in keep:
+        shutil.copytree(x.replace("/f/", "/kept-"), x)
+    again = forest.HashForest(spark, str(tmp_path / "f"))
+    assert set(again.runs) == set(f.runs) and len(again.runs) == 1
+    assert sorted(x["rid"] for x in again.accept(frame([(3, 1, "UM dois, tres quatro cinco seis"), (4, 1, "nada disso aqui hoje")]), 1).collect()) == [3]
+
+
 def test_crowded_ranges_are_settled_exactly(spark):
     base = [f"k{i}" for i in range(60)]
     old = [(i, " ".join(base[:59] + [f"x{i}"])) for i in range(600)]
