@@ -11,7 +11,7 @@ and digests lie in, of ``PER_PART`` rows each, and no others: what a batch costs
 ``merge_runs`` merges sorted runs into one. Signatures of accepted texts are never computed again.
 
 A new text looks for one similar earlier text, from the longest prefix on: at each length it meets the earliest entry of its
-range (one for each size of set), and what is found similar is settled and leaves. What is left widens its prefix by one label,
+range (one for each size of set), and what is found similar is settled and leaves. What is left widens its prefix by ``WIDEN`` labels,
 until ``d`` is short enough that two texts of the threshold's similarity meet in some tree with probability ``RECALL``; there it
 meets all entries of its ranges. A crowd of near-copies is so settled by its earliest entries, at the longest prefixes.
 
@@ -191,15 +191,17 @@ class HashForest:
         signed = self.spark.read.parquet(f"{to}/signed")
         n = signed.count()
         keys = written(_firsts(_keyed(rows, canonical.canonical(F.col("text")))), "p1-keys")
-        self._seal(to, {"replaces": [], "signed": n <= self.per_part, **self._tables(to, signed, n, keys, keys.count())})
+        self._seal(to, {"replaces": [], **self._tables(to, signed, n, keys, keys.count())})
+        p, fs = self._at(f"{to}/signed")
+        fs.delete(p, True)
         return to
 
     def _tables(self, to: str, signed: DataFrame, n: int, keys: DataFrame, k: int) -> dict:
         leaves = signed.select(F.posexplode("keys").alias("tree", "key"), "entry", "ord", "n")
         meta = {"leaves": self._cut(leaves, f"{to}/leaves", n * TREES, lambda p: _place(F.col("tree"), F.col("key"), p), ["tree", "key", "entry"])}
         meta["keys"] = self._cut(keys, f"{to}/keys", k, lambda p: _hashed(F.col("k"), p), ["k"])
-        # Small runs keep their sets where they were signed.
-        meta["sets"] = self._cut(signed.select("entry", "set"), f"{to}/sets", n, lambda p: _hashed(F.col("entry"), p), ["entry"]) if n > self.per_part else {"parts": 1, "some": []}
+        # Sets are no longer than their texts: parts of a tenth of the rows.
+        meta["sets"] = self._cut(signed.select("entry", "set"), f"{to}/sets", 10 * n, lambda p: _hashed(F.col("entry"), p), ["entry"])
         return meta
 
     def _read(self, name: str, schema: str, touched=None, runs: list[str] | None = None) -> DataFrame:
@@ -209,7 +211,6 @@ class HashForest:
             meta = self.runs[run][name]
             n, some = meta["parts"], meta["some"]
             if not some:
-                paths += [f"{run}/signed"] if name == "sets" and self.runs[run].get("signed") else []
                 continue
             if touched is not None and n > 1:
                 if n not in wanted:
@@ -229,7 +230,7 @@ class HashForest:
             n, k = leaves.count(), keys.count()
             meta = {"replaces": [run.rsplit("/", 1)[1] for run in old], "leaves": self._cut(leaves, f"{to}/leaves", n, lambda p: _place(F.col("tree"), F.col("key"), p), ["tree", "key", "entry"])}
             meta["keys"] = self._cut(keys, f"{to}/keys", k, lambda p: _hashed(F.col("k"), p), ["k"])
-            meta["sets"] = self._cut(sets, f"{to}/sets", n // TREES, lambda p: _hashed(F.col("entry"), p), ["entry"])
+            meta["sets"] = self._cut(sets, f"{to}/sets", 10 * (n // TREES), lambda p: _hashed(F.col("entry"), p), ["entry"])
             self._seal(to, meta)
             # Sealed, the merged run stands for the old ones, whether or not they are gone.
             for run in old:
@@ -273,16 +274,17 @@ class HashForest:
 
         def verified(pairs: DataFrame) -> DataFrame:
             pairs = written(pairs, "p1-pairs")
-            sets = self._read("sets", _SETS, lambda n: pairs.select(F.explode(F.array("a", "b")).alias("e")).select(_hashed(F.col("e"), n)))
+            some = pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct()
+            # The sets of candidates alone go into the joins below.
+            sets = written(self._read("sets", _SETS, lambda n: some.select(_hashed(F.col("entry"), n))).join(some, "entry", "left_semi"), "p1-sets")
             p = pairs.join(sets.select(F.col("entry").alias("b"), F.col("set").alias("sb")), "b").join(sets.select(F.col("entry").alias("a"), F.col("set").alias("sa")), "a")
             shared = F.size(F.array_intersect("sa", "sb"))
             return p.where(shared >= THRESHOLD * (F.size("sa") + F.size("sb") - shared)).select("a").distinct()
 
         settled = None
-        for depth in range(DEPTH, self.depth - 2, -1):
+        for depth, all_of_them in [*((d, False) for d in range(DEPTH, self.depth - 1, -WIDEN)), (self.depth, True)]:
             probe = new if settled is None else new.join(settled, "a", "left_anti")
-            all_of_them = depth < self.depth
-            at = _range(max(depth, self.depth))
+            at = _range(depth)
             probe, there = probe.withColumn("range", at), old.withColumn("range", at)
             if not all_of_them:
                 # The earliest entry of each range and size; a probe meets those of its size and of the sizes beside it.
@@ -294,6 +296,8 @@ class HashForest:
         return settled.select(F.col("a").alias("entry"))
 
 
+#: Labels by which a prefix is shortened at a time.
+WIDEN = 2
 _LEAVES = "tree int, key bigint, entry bigint, ord int, n int"
 _SETS = "entry bigint, set array<int>"
 _KEYS = "k binary, first struct<b:int,r:bigint>, final struct<b:int,r:bigint>"

@@ -37,7 +37,7 @@ STAND_INS = ["", "none", "nan", "null", "n/a", "n/d", "na", "nd", "sem rating",
 #: Wrong values a field may take besides the right one, and the share of a copier's claims that are copied.
 WRONG_VALUES, COPY_SHARE = 10, 0.8
 #: Accuracies have settled when none moves by more than this; the rounds are bounded, as the estimate may swing between two states.
-SETTLED, ROUNDS = 0.005, 6
+SETTLED, ROUNDS = 0.01, 6
 
 
 def stand_in(c: Column) -> Column:
@@ -98,13 +98,18 @@ def _dependence(told: DataFrame, accuracy: DataFrame) -> DataFrame:
     return pair.select(F.when(first, F.col("x")).otherwise(F.col("y")).alias("s1"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("s2"), dep.alias("dep"))
 
 
+def _told(c: DataFrame) -> DataFrame:
+    return c.withColumn("normal", F.xxhash64("normal"))
+
+
 def evidence(c: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``(grp, field, normal, evidence, votes, posterior, rid)`` of each claimed value: its log-odds by discounted votes, and its posterior at an even prior.
+    """``(grp, field, normal, evidence, votes, posterior, rid)`` of each claimed value, ``normal`` being the digest of its normal form: its log-odds by discounted votes, and its posterior at an even prior.
 
     Claims collapse to one per source first, so a group of any size costs one row per source and value. Sources are as many as the
     registry names; their accuracies and pairs are what is estimated again each round.
     """
-    votes = written(c.groupBy("grp", "field", "normal", "source").agg(F.min("trust_rank").alias("trust_rank"), F.min("rid").alias("rid")), "p3-votes")
+    # Values go by a 64-bit digest, which need only differ within one group and field; their texts stay behind.
+    votes = written(_told(c).groupBy("grp", "field", "normal", "source").agg(F.min("trust_rank").alias("trust_rank"), F.min("rid").alias("rid")), "p3-votes")
     accuracy = votes.groupBy("source").agg(F.greatest(F.lit(0.55), F.lit(0.95) - 0.08 * (F.least(F.min("trust_rank"), F.lit(6)) - 1)).alias("acc"))
     accuracy = written(accuracy, "p3-accuracy")
     weights = votes.withColumn("w", F.lit(1.0))
@@ -134,7 +139,7 @@ def evidence(c: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 def fuse(c: DataFrame, prior: str = "ranked", rounds: int = ROUNDS, ties: str = "id") -> DataFrame:
     """``(grp, field, value, rid, posterior, votes)``: the claim of greatest posterior log-odds of each group and field."""
-    e = evidence(c, rounds)
+    e, c = evidence(c, rounds), _told(c)
     if prior == "even":
         # All claims of a value are alike: the value of greatest evidence, told by its first row.
         best = e.groupBy("grp", "field").agg(F.max_by(F.struct("normal", "posterior", "votes", "rid"), F.struct("evidence", -F.col("rid"))).alias("b")).select("grp", "field", "b.*")
