@@ -244,7 +244,7 @@ def channel(group: Column) -> Column:
     )
 
 
-def shingles(c: Column, width: int = 5, chars: int = 5, least_words: int = 20) -> Column:
+def shingles(c: Column, width: int = 3, chars: int = 5, least_words: int = 20) -> Column:
     """Distinct word ``width``-grams of the normalised text, or character ``chars``-grams without spaces for short ones."""
     # Bound once by transform: inside a lambda an outer expression would be worked out again for every element.
     return F.transform(F.array(normalize_text(c)), lambda key: F.transform(F.array(F.split(key, " ")), lambda w: _shingles(key, w, width, chars, least_words))[0])[0]

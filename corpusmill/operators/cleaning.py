@@ -12,11 +12,24 @@ from corpusmill.operators.ordering import first_per_key
 def conflicting_texts(df: DataFrame) -> DataFrame:
     """``(text_clean, labels, subsets, row_count)`` of the texts that carry more than one label.
 
-    The lists hold distinct values, so they are bounded by the number of groups and labels, not by the number of rows.
+    The lists of the rows' labels and groups are given as ``(value, n)`` in the order of values: a list of all rows of a text would grow
+    with its copies, this one with the groups there are.
     """
-    g = df.where("text_clean IS NOT NULL").groupBy("text_clean").agg(
-        F.count_distinct("label").alias("k"), F.array_sort(F.collect_set("label")).alias("labels"), F.array_sort(F.collect_set("dataset_name")).alias("subsets"), F.count("rid").alias("row_count"))
-    return g.where("k > 1").drop("k")
+    seen = df.where("text_clean IS NOT NULL").groupBy("text_clean", "label", "dataset_name").agg(F.count("rid").alias("n"))
+
+    def listed(of: str) -> DataFrame:
+        one = seen.where(F.col(of).isNotNull()).groupBy("text_clean", of).agg(F.sum("n").alias("n"))
+        return one.groupBy("text_clean").agg(F.array_sort(F.collect_list(F.struct(F.col(of).alias("value"), "n"))).alias("l"))
+
+    labels = listed("label").where(F.size("l") > 1).withColumnRenamed("l", "labels")
+    rows = seen.groupBy("text_clean").agg(F.sum("n").alias("row_count"))
+    return labels.join(listed("dataset_name").withColumnRenamed("l", "subsets"), "text_clean", "left").join(rows, "text_clean").select("text_clean", "labels", "subsets", "row_count")
+
+
+def conflict_audit(df: DataFrame) -> DataFrame:
+    """Every row of a text with conflicting labels, whole, with its text's lists and number of rows."""
+    c = conflicting_texts(df).withColumnsRenamed({"labels": "labels_involved", "subsets": "subsets_involved"})
+    return df.join(c, "text_clean").select(*df.columns, "subsets_involved", "labels_involved", "row_count")
 
 
 def richness(df: DataFrame) -> Column:
@@ -62,6 +75,37 @@ def judge(df: DataFrame) -> DataFrame:
     return rules.unionByName(repeated(df.select(F.col("rid").alias("k")), "repeated_rid")).unionByName(repeated(df.select(F.md5(T.normalize_text(F.col("text_no_url"))).alias("k")), "repeated_text"))
 
 
+def judge_version(table: DataFrame, base: DataFrame, columns: list[str]) -> DataFrame:
+    """``judge`` of a new version's rows, and what must hold between it and its base: ``(rule, violations)``.
+
+    ``table`` has ``part``, ``base`` or ``new``. Violations of the base's digest and of the columns' order are 0 or 1; ``id_collision``
+    counts new rows whose id the base has.
+    """
+    digest = lambda df: content_digest(df, "rid", "text_no_url").select(F.struct("n", "digest").alias("d"))
+    was, now = digest(base).select(F.col("d").alias("was")), digest(table.where("part = 'base'")).select(F.col("d").alias("now"))
+    changed = was.join(F.broadcast(now)).select(F.lit("base_changed").alias("rule"), (F.col("was") != F.col("now")).cast("bigint").alias("violations"))
+    order = table.sparkSession.range(1).select(F.lit("column_order").alias("rule"), F.lit(int([c for c in table.columns if c != "part"] != columns)).cast("bigint").alias("violations"))
+    new = table.where("part = 'new'")
+    hit = new.select("rid").join(base.select("rid").distinct(), "rid", "left_semi").agg(F.lit("id_collision").alias("rule"), F.count(F.lit(1)).alias("violations"))
+    return judge(new).unionByName(changed).unionByName(order).unionByName(hit)
+
+
+def audit(df: DataFrame, top: int = 20) -> DataFrame:
+    """``(section, key, n)``: rows by label, era, label and era, source type, the ``top`` largest groups, dialect and mentions of artificial intelligence."""
+    from corpusmill.functions import vocabulary as V
+
+    era = T.era(F.col("date_iso"))
+    of = lambda c: F.coalesce(c.cast("string"), F.lit("nan"))
+    marks = {
+        "label": of(F.col("label")), "era": era, "label_by_era": F.concat(of(F.col("label")), F.lit(" | "), era), "source_type": of(F.col("source_type")), "dataset": of(F.col("dataset_name")),
+        "ptpt": F.coalesce("url_review", F.lit("")).rlike(f"(?i){V.PTPT_6}").cast("string"), "mentions_ai": T.mentions_ai(F.col("text")).cast("boolean").cast("string"),
+    }
+    each = F.array(*[F.struct(F.lit(k).alias("section"), c.alias("key")) for k, c in marks.items()])
+    n = df.select(F.inline(each)).groupBy("section", "key").agg(F.count(F.lit(1)).alias("n"))
+    largest = n.where("section = 'dataset'").orderBy(F.desc("n"), "key").limit(top)
+    return n.where("section <> 'dataset'").unionByName(largest)
+
+
 def composition(df: DataFrame) -> DataFrame:
     """One row of counts: rows, labels, verdicts by source or provenance, dialect and its share in percent."""
     news = F.coalesce(F.startswith("dataset_name", F.lit("NEWS_")), F.lit(False))

@@ -134,6 +134,33 @@ def fit_platt(rows: DataFrame, rounds: int = 25) -> tuple[float, float]:
     return a, b
 
 
+def report(rows: DataFrame, group: str, least: int = 20, least_dialect: int = 30) -> DataFrame:
+    """``(section, n, pos, acc, f1, macro_f1, brier, roc_auc, avg_precision, ece)`` of all rows and of their parts.
+
+    Sections: ``global``; ``balanced`` (``is_balanced_group``); ``hard`` and ``pure`` by ``rating_class``, of at least ``least`` rows; ``ptpt`` and
+    ``rest`` by ``is_ptpt``, if both have at least ``least_dialect``; and the least macro F1 of reliable groups as ``worst_group`` and
+    ``worst_group_balanced``. A row is told its sections once, so all come from one pass of each measure.
+    """
+    marks = {"global": F.lit(True), "balanced": F.col("is_balanced_group"), "hard": F.col("rating_class") == "hard", "pure": F.col("rating_class") == "false_pure", "ptpt": F.col("is_ptpt"), "rest": ~F.col("is_ptpt")}
+    told = rows.select("y", "p", F.explode(F.array_compact(F.array(*[F.when(c, k) for k, c in marks.items()]))).alias("section"))
+    m = confusion(told, ["section"])
+    for other in (ranking(told, ["section"]), calibration_error(told, ["section"])):
+        m = m.join(other, "section", "left")
+    # Sections are six at most.
+    dialects = m.agg(F.min(F.when(F.col("section").isin("ptpt", "rest"), F.col("n"))).alias("few"), F.count_if(F.col("section").isin("ptpt", "rest")).alias("both"))
+    m = m.join(F.broadcast(dialects)).where(F.when(F.col("section").isin("hard", "pure"), F.col("n") >= least).when(F.col("section").isin("ptpt", "rest"), (F.col("both") == 2) & (F.col("few") >= least_dialect)).otherwise(True))
+    m = m.select("section", "n", "pos", "acc", "f1", "macro_f1", "brier", "roc_auc", "avg_precision", "ece")
+    for name, part in (("worst_group", rows), ("worst_group_balanced", rows.where("is_balanced_group"))):
+        worst = worst_group(part, group).select(F.lit(name).alias("section"), F.col("groups").alias("n"), F.col("worst_macro_f1").alias("macro_f1"))
+        m = m.unionByName(worst, allowMissingColumns=True)
+    return m
+
+
+def contradictions(rows: DataFrame) -> DataFrame:
+    """Rows whose rating class says the opposite of their label: plainly false and ``true``, or true and ``fake``."""
+    return rows.where(((F.col("rating_class") == "false_pure") & (F.col("label") == "true")) | ((F.col("rating_class") == "true_rating") & (F.col("label") == "fake")))
+
+
 def side_by_side(rows: DataFrame, keys: list[str], models: list[str], least: int = 30) -> DataFrame:
     """``(slice, model, n, mean, acc, low, high)``: several score columns over the same slices."""
     long = rows.unpivot(["y", *keys], models, "model", "p")

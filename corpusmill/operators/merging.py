@@ -56,15 +56,22 @@ def require_matches(left: DataFrame, right: DataFrame, key: str) -> None:
 
 
 def modelling_table(main: DataFrame, labels: DataFrame, provenance: DataFrame) -> DataFrame:
-    """Rows to model: labels of the label table where they are trainable, target, group, channel, dialect, rating class and style rates."""
+    """Rows to model: those the label table has a trainable label for, with target, group, channel, dialect, rating class and style rates.
+
+    The label table's ``train_label`` replaces the source's label; rows without one are left out on purpose. ``is_balanced_group`` is
+    judged on the rows that are left.
+    """
     l = labels.groupBy("rid").agg(F.min(F.when(F.col("train_label").isin("fake", "true"), F.col("train_label"))).alias("train_label"))
     p = provenance.groupBy("rid").agg(F.min("label_source").alias("label_source"))
-    x = main.join(l, "rid", "left").join(p, "rid", "left").withColumn("label", F.coalesce("train_label", "label"))
+    x = main.join(l, "rid", "left").join(p, "rid", "left").withColumn("label", F.col("train_label"))
     x = x.where(F.col("label").isin("fake", "true") & ~T.blank(F.col("text")))
     w = F.greatest(F.coalesce("word_len", F.lit(0)), F.lit(0))
+    x = x.withColumns({"target": (F.col("label") == "fake").cast("int"), "group": F.coalesce("dataset_name", F.lit("nan"))})
+    balanced = sampling.balanced_groups(x, "group", "target", V.BALANCED_GROUPS).select("group", F.col("balanced").alias("is_balanced_group"))
+    x = x.join(balanced, "group")
     both = F.concat_ws(" ", F.coalesce("url_review", F.lit("")), F.coalesce("factcheck_url", F.lit("")))
     return x.select(
-        "rid", "label", (F.col("label") == "fake").cast("int").alias("target"), F.coalesce("dataset_name", F.lit("nan")).alias("group"), T.channel(F.coalesce("dataset_name", F.lit("nan"))).alias("channel"),
+        "rid", "label", "target", "group", "is_balanced_group", T.channel(F.col("group")).alias("channel"),
         both.rlike(f"(?i){V.PTPT_3}").alias("is_ptpt"), T.model_rating_class(F.col("factcheck_rating")).alias("rating_class"), F.coalesce("label_source", F.lit("")).alias("label_source"),
         (F.coalesce("num_exclamations", F.lit(0)) / (w + 1.0)).alias("excl_rate"), (F.coalesce("num_questions", F.lit(0)) / (w + 1.0)).alias("quest_rate"), (F.coalesce("num_ellipsis", F.lit(0)) / (w + 1.0)).alias("ellip_rate"),
         F.coalesce("uppercase_word_ratio", F.lit(0.0)).alias("upper_rate"), F.log1p(w).alias("log_word_len"),

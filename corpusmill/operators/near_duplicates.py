@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as T
 from corpusmill.session import shared_dir, ship, written
 
-BANDS, ROWS, THRESHOLD, WIDTH = 20, 5, 0.8, 5
+#: Near are texts of at least this similarity of their sets of sequences of WIDTH words.
+BANDS, ROWS, THRESHOLD, WIDTH = 20, 5, 0.9, 5
 
 
 def signatures(rows: DataFrame, text: Column, width: int = WIDTH) -> DataFrame:
@@ -62,35 +63,36 @@ def bands(nodes: DataFrame) -> DataFrame:
 
 
 def similar_pairs(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(a, b)``, ``a < b``: confirmed pairs of written ``(id, node, sh)``, found in any band."""
+    """``(a, b)``, ``a < b``: confirmed pairs of written ``(id, node, sh)``, found in any band, of which ``node.kind`` is 1 for one at least."""
     at = bands(nodes)
-    many = at.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("band")
+    at = at.join(nodes.select("id", (F.col("node.kind") == 1).alias("open")), "id")
+    # Pairs of two nodes that are accepted anyway decide nothing: only bands that hold an open node count, and pairs with one.
+    many = at.groupBy("band").agg(F.count(F.lit(1)).alias("k"), F.bool_or("open").alias("o")).where("k > 1 AND o").select("band")
     at = written(at.join(many, "band"), "near-bands")
-    pairs = at.withColumnRenamed("id", "i").join(at.withColumnRenamed("id", "j"), "band").where("i < j").select("i", "j").distinct()
+    pairs = at.where("open").select(F.col("id").alias("i"), "band").join(at.select(F.col("id").alias("j"), F.col("open").alias("jo"), "band"), "band").where("i <> j AND (NOT jo OR i < j)").select("i", "j").distinct()
     sa, sb = nodes.select(F.col("id").alias("i"), F.col("node").alias("x"), F.col("sh").alias("sa")), nodes.select(F.col("id").alias("j"), F.col("node").alias("y"), F.col("sh").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
     p = pairs.join(sa, "i").join(sb, "j").where(F.least(F.size("sa"), F.size("sb")) >= threshold * F.greatest(F.size("sa"), F.size("sb")))
     return p.where(shared >= threshold * (F.size("sa") + F.size("sb") - shared)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def accept_in_order(pairs: DataFrame, most_rounds: int = 50) -> DataFrame:
+def accept_in_order(pairs: DataFrame) -> DataFrame:
     """``(node, accepted)`` of the nodes of ``pairs`` ``(a, b)``, ``a`` before ``b``: the greedy choice in order.
 
     A node is accepted once all its earlier neighbours are dropped, dropped once one of them is accepted. Each round settles at
-    least the earliest open node of every component; in practice two or three rounds settle all.
+    least the earliest open node of every component, so a chain takes at most as many rounds as it is long; settled nodes leave.
     """
     spark = pairs.sparkSession
     spark.sparkContext.setCheckpointDir(shared_dir(spark))
     pairs = pairs.checkpoint()
     state = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().withColumn("accepted", F.lit(None).cast("boolean")).checkpoint()
-    for _ in range(most_rounds):
+    while True:
         earlier = pairs.join(state.withColumnsRenamed({"node": "a", "accepted": "fa"}), "a")
         known = earlier.groupBy(F.col("b").alias("node")).agg(F.coalesce(F.bool_or("fa"), F.lit(False)).alias("hit"), F.bool_and(F.coalesce(~F.col("fa"), F.lit(False))).alias("free"))
         now = F.when(F.col("hit").isNull() | F.col("free"), True).when(F.col("hit"), False)
         state = state.join(known, "node", "left").select("node", F.coalesce("accepted", now).alias("accepted")).checkpoint()
         if state.where("accepted IS NULL").isEmpty():
             return state
-    raise RuntimeError("a chain of near-duplicates is longer than the rounds allowed; raise most_rounds")
 
 
 def deduplicate(new: DataFrame, base: DataFrame, text: str = "text_no_url", priority: Column | None = None, threshold: float = THRESHOLD, near: bool = True) -> DataFrame:
@@ -115,8 +117,6 @@ def deduplicate(new: DataFrame, base: DataFrame, text: str = "text_no_url", prio
     groups = sets.unionByName(base_sets).where("size(sh) > 0").groupBy(F.xxhash64("sh").alias("id"), "sh").agg(F.min(place).alias("place"))
     groups = written(groups.select("id", F.struct("place.kind", "place.o", "id").alias("node"), "sh"), "near-groups")
     pairs = similar_pairs(groups, threshold)
-    # Base nodes are accepted as they are: pairs of two of them decide nothing.
-    pairs = pairs.where("b.kind = 1")
     state = accept_in_order(pairs)
     by_base = pairs.where("a.kind = 0").select(F.col("b").alias("node")).distinct().withColumn("base", F.lit(True))
     verdict = state.where("NOT accepted").select("node").join(by_base, "node", "left").select(F.col("node.id").alias("id"), F.when(F.col("base"), "dup_base_near").otherwise("dup_new_near").alias("verdict"))

@@ -23,24 +23,33 @@ def era_quota(df: DataFrame, ratio: float, seed: int = 42) -> DataFrame:
 
 
 def strata(df: DataFrame, group: str, label: str, least: int = 10) -> DataFrame:
-    """Adds ``stratum``: group and label, or the label alone where that pair is rare."""
+    """Adds ``stratum``: group and label, the label alone where that pair has fewer than ``least`` rows, and the largest stratum where that still has.
+
+    Of equally large strata the first by name counts.
+    """
     n = df.groupBy(group, label).agg(F.count(F.lit(1)).alias("__c")).withColumnsRenamed({group: "__g", label: "__l"})
     out = df.join(n, df[group].eqNullSafe(n["__g"]) & df[label].eqNullSafe(n["__l"]))
     pair = F.concat_ws("|", F.coalesce(group, F.lit("")), F.coalesce(label, F.lit("")))
-    return out.withColumn("stratum", F.when(F.col("__c") < least, F.coalesce(F.col(label), F.lit(""))).otherwise(pair)).drop("__c", "__g", "__l")
+    out = out.withColumn("stratum", F.when(F.col("__c") < least, F.coalesce(F.col(label), F.lit(""))).otherwise(pair)).drop("__c", "__g", "__l")
+    # Strata are as many as pairs of group and label at most.
+    sizes = out.groupBy("stratum").agg(F.count(F.lit(1)).alias("__c"))
+    largest = sizes.agg(F.min(F.struct((-F.col("__c")).alias("n"), "stratum")).alias("l")).select(F.col("l.stratum").alias("__largest"))
+    sizes = sizes.withColumnRenamed("stratum", "__s").join(F.broadcast(largest))
+    out = out.join(sizes, F.col("stratum") == F.col("__s"))
+    return out.withColumn("stratum", F.when(F.col("__c") < least, F.col("__largest")).otherwise(F.col("stratum"))).drop("__c", "__s", "__largest")
 
 
-def stratified_split(df: DataFrame, group: str, label: str, key: str, val: float = 0.15, test: float = 0.15, seed: int = 42) -> DataFrame:
+def stratified_split(df: DataFrame, group: str, label: str, key: str, val: float = 0.15, test: float = 0.15, seed: int = 42, least: int = 10) -> DataFrame:
     """Adds ``split``: of each stratum the first ``test`` share is ``test``, the next ``val`` share ``val``, the rest ``train``."""
-    ranked = numbered(strata(df, group, label), ["stratum"], hashed(F.col(key), seed))
+    ranked = numbered(strata(df, group, label, least), ["stratum"], hashed(F.col(key), seed))
     place = (F.col("rank") - 1) / F.col("size")
     return ranked.withColumn("split", F.when(place < test, "test").when(place < test + val, "val").otherwise("train")).drop("rank", "size", "stratum")
 
 
 def held_out_split(df: DataFrame, channel: Column, held_out: str, group: str, label: str, key: str, val: float = 0.15, seed: int = 42) -> DataFrame:
-    """Adds ``split``: the held-out channel is ``test``, the rest is split by strata."""
+    """Adds ``split``: the held-out channel is ``test``, the rest is split by strata, which are rare below 4 rows here."""
     df = df.withColumn("__held", F.coalesce(channel == held_out, F.lit(False)))
-    rest = stratified_split(df.where(~F.col("__held")), group, label, key, val, 0.0, seed)
+    rest = stratified_split(df.where(~F.col("__held")), group, label, key, val, 0.0, seed, least=4)
     return rest.unionByName(df.where("__held").withColumn("split", F.lit("test"))).drop("__held")
 
 

@@ -58,11 +58,14 @@ _LAB = f"(SELECT rid, label, auto_label, confidence, method FROM {LABELS} QUALIF
 
 @query(f"""
 WITH b AS (SELECT m.rid, m.label, CASE p.s WHEN 'rating' THEN 'checker' WHEN 'provenance' THEN 'provenance' WHEN 'correction' THEN 'correction' ELSE 'v1' END AS t0 FROM {MAIN} m LEFT JOIN (SELECT rid, min(label_source) AS s FROM {PROV} GROUP BY rid) p USING (rid)),
-m AS (SELECT rid, auto_label AS v FROM {_LAB} WHERE method = 'match' AND confidence >= 0.9 AND auto_label = label), l AS (SELECT rid, auto_label AS v FROM {_LAB} WHERE method = 'llm_local' AND auto_label IN ('fake', 'true') AND confidence >= 0.8),
-c AS (SELECT DISTINCT rid FROM {_LAB} WHERE method = 'vote' AND auto_label = 'true'), x AS (SELECT b.*, CASE WHEN m.rid IS NOT NULL THEN 'checker_match' ELSE t0 END AS t1, m.v AS mv, l.v AS lv, c.rid IS NOT NULL AS c FROM b LEFT JOIN m USING (rid) LEFT JOIN l USING (rid) LEFT JOIN c USING (rid)),
+m AS (SELECT rid, auto_label AS v, confidence AS k FROM {_LAB} WHERE method = 'match' AND confidence >= 0.9 AND auto_label = label), l AS (SELECT rid, auto_label AS v, confidence AS k FROM {_LAB} WHERE method = 'llm_local' AND auto_label IN ('fake', 'true') AND confidence >= 0.8),
+c AS (SELECT DISTINCT rid FROM {LABELS} WHERE method = 'vote' AND auto_label = 'true'), x AS (SELECT b.*, CASE WHEN m.rid IS NOT NULL THEN 'checker_match' ELSE t0 END AS t1, m.v AS mv, m.k AS mk, l.v AS lv, l.k AS lk, c.rid IS NOT NULL AS c FROM b LEFT JOIN m USING (rid) LEFT JOIN l USING (rid) LEFT JOIN c USING (rid)),
 y AS (SELECT *, CASE WHEN lv IS NOT NULL AND t1 IN ('provenance', 'unknown') THEN 'llm_local' WHEN c AND t1 IN ('provenance', 'unknown') THEN 'corroborated' ELSE t1 END AS label_tier FROM x),
-z AS (SELECT *, CASE label_tier WHEN 'llm_local' THEN lv WHEN 'corroborated' THEN 'true' ELSE mv END AS given FROM y)
-SELECT rid, label_tier, CASE WHEN label_tier <> 'provenance' THEN CASE WHEN given IN ('fake', 'true') THEN given ELSE label END END AS train_label FROM z""")
+z AS (SELECT *, CASE label_tier WHEN 'llm_local' THEN lv WHEN 'corroborated' THEN 'true' ELSE mv END AS given FROM y),
+u AS (SELECT *, CASE WHEN label_tier <> 'provenance' THEN CASE WHEN given IN ('fake', 'true') THEN given ELSE label END END AS train_label FROM z),
+v AS (SELECT *, CASE WHEN NOT coalesce(train_label IN ('fake', 'true'), false) THEN 'unknown' WHEN label_tier IN ('v1', 'checker') THEN label ELSE coalesce(given, '') END AS auto_label FROM u)
+SELECT rid, label, label_tier, auto_label, CASE WHEN label_tier = 'llm_local' THEN lk WHEN label_tier = 'corroborated' THEN NULL WHEN mv IS NOT NULL THEN mk END AS confidence,
+  CASE WHEN label_tier = 'llm_local' THEN 'llm_local' WHEN label_tier = 'corroborated' THEN 'corroboracao' WHEN mv IS NOT NULL THEN 'claimreview:' ELSE '' END AS method, train_label, CASE WHEN auto_label IN ('fake', 'true') THEN auto_label ELSE 'unknown' END AS verified_label FROM v""")
 def label_tiers(spark, d):
     p = table(spark, d, PROV).groupBy("rid").agg(F.min("label_source").alias("label_source"))
     base = table(spark, d, MAIN).select("rid", "label").join(p, "rid", "left")
@@ -72,7 +75,7 @@ def label_tiers(spark, d):
     matches = top.where("method = 'match'").select("rid", F.col("confidence").alias("score"), (F.col("auto_label") == F.col("label")).alias("agrees"), F.col("auto_label").alias("verdict"), F.lit("").alias("publisher"), "at")
     verdicts = top.where("method = 'llm_local'").select("rid", F.col("auto_label").alias("verdict"), "confidence", "at")
     voted = rows.where("method = 'vote' AND auto_label = 'true'").select("rid", "auto_label")
-    return evidence.consolidate(base, matches, verdicts, voted).select("rid", "label_tier", "train_label")
+    return evidence.consolidate(base, matches, verdicts, voted)
 
 
 @query()
@@ -94,13 +97,20 @@ def evidence_votes(spark, d):
 
 
 @query(f"""
-WITH e AS (SELECT rid, text, '[1] (' || left(coalesce(date_iso, ''), 16) || ') ' || left(coalesce(text_no_url, ''), 160) AS lines FROM {MAIN}), b AS (SELECT rid, 'Headline: ' || coalesce(text, '') || chr(10) || 'Evidence:' || chr(10) || lines AS body, left(sha1(concat_ws('|', CAST(rid AS VARCHAR), text)), 24) AS custom_id FROM e)
-SELECT rid, custom_id, length(body) // 4 + 500 AS tokens, right(body, 40) AS body_end FROM b""")
+WITH m AS (SELECT *, CASE WHEN contains(lower(coalesce(text_no_url, '')), 'fals') THEN ' [CHECADOR:fals]' ELSE '' END AS tag, {S.domain('url_review')} AS domain FROM {MAIN}),
+v AS (SELECT rid, 'verify_headline' AS task, 'verification' AS schema, 'MANCHETE: ' || coalesce(text, '') || chr(10) || 'DATA: ' || coalesce(date_iso, '') || chr(10) || chr(10) || 'EVIDENCIAS (Google News):' || chr(10) ||
+  CASE WHEN text_no_url IS NULL THEN '(nenhuma)' ELSE '[0] ' || domain || ' (' || left(coalesce(date_iso, ''), 16) || ')' || tag || ': ' || left(text_no_url, 160) END AS body, dataset_name, url_review FROM m
+  UNION ALL SELECT rid, 'correction', 'correction', 'Extraia, literalmente, a frase que corrige a desinformacao neste artigo.' || chr(10) || chr(10) || '--- ARTIGO ---' || chr(10) || left(coalesce(text, ''), 12000), dataset_name, url_review FROM m)
+SELECT rid, task, schema, 400 AS max_tokens, left(sha1(task || '|' || coalesce(dataset_name, '') || '|' || coalesce(url_review, '')), 24) AS custom_id, length(body) // 4 + 500 AS tokens, md5(body) AS body FROM v""")
 def model_requests(spark, d):
+    """Requests about each row: its headline beside one evidence item, and the correction in its text; bodies by their digest."""
     m = table(spark, d, MAIN)
-    items = F.array(F.struct(F.col("text_no_url").alias("title"), F.col("date_iso").alias("pub")))
-    r = m.select("rid", prompts.request(F.col("text"), items, F.col("rid")).alias("r"))
-    return r.select("rid", "r.custom_id", "r.tokens", F.right("r.body", F.lit(40)).alias("body_end"))
+    checker = F.when(F.contains(F.lower(F.coalesce("text_no_url", F.lit(""))), F.lit("fals")), "fals")
+    item = F.struct(F.col("text_no_url").alias("title"), T.domain(F.col("url_review")).alias("domain"), F.col("date_iso").alias("pub"), checker.alias("checker"))
+    items = F.when(F.col("text_no_url").isNotNull(), F.array(item))
+    ask = lambda task, question: m.select("rid", prompts.request(task, F.col("dataset_name"), F.col("url_review"), F.col("text"), question).alias("r"))
+    r = ask("verify_headline", prompts.prompt(F.col("text"), F.col("date_iso"), items)).unionByName(ask("correction", None))
+    return r.select("rid", "r.task", "r.schema", "r.max_tokens", "r.custom_id", "r.tokens", F.md5("r.body").alias("body"))
 
 
 @query(f"SELECT rid, CASE WHEN auto_label IN ('fake', 'true') THEN auto_label ELSE 'unknown' END AS verdict, CAST(coalesce(round_even(CASE WHEN confidence > 1 THEN confidence / 100 ELSE confidence END, 3), 0) AS DOUBLE) AS confidence FROM {LABELS}")
@@ -152,13 +162,46 @@ _W = "(greatest(coalesce(word_len, 0), 0) + 1.0)"
 
 @query(f"""
 WITH l AS (SELECT rid, min(train_label) FILTER (train_label IN ('fake', 'true')) AS train_label FROM {LABELS} GROUP BY rid), p AS (SELECT rid, min(label_source) AS label_source FROM {PROV} GROUP BY rid),
-x AS (SELECT m.* REPLACE (coalesce(l.train_label, m.label) AS label), p.label_source FROM {MAIN} m LEFT JOIN l USING (rid) LEFT JOIN p USING (rid)), k AS (SELECT *, {S.fold(S.strip("coalesce(factcheck_rating, '')"))} AS k, coalesce(dataset_name, 'nan') AS g FROM x)
-SELECT rid, label, CAST(label = 'fake' AS INT) AS target, g AS "group", {S.channel('g')} AS channel, regexp_matches(coalesce(url_review, '') || ' ' || coalesce(factcheck_url, ''), {S.text(V.PTPT_3)}, 'i') AS is_ptpt,
+x AS (SELECT m.* REPLACE (l.train_label AS label), p.label_source FROM {MAIN} m LEFT JOIN l USING (rid) LEFT JOIN p USING (rid)), k AS (SELECT *, {S.fold(S.strip("coalesce(factcheck_rating, '')"))} AS k, coalesce(dataset_name, 'nan') AS g FROM x WHERE label IN ('fake', 'true') AND NOT {S.blank('text')}),
+b AS (SELECT g, (g IN {S.strings(V.BALANCED_GROUPS)} OR (regexp_matches(g, '^(FC_|EXT_|NEWS_)') AND count(*) >= 200 AND least(avg(CAST(label = 'fake' AS INT)), 1 - avg(CAST(label = 'fake' AS INT))) >= 0.15)) AS bal FROM k GROUP BY g)
+SELECT rid, label, CAST(label = 'fake' AS INT) AS target, g AS "group", bal AS is_balanced_group, {S.channel('g')} AS channel, regexp_matches(coalesce(url_review, '') || ' ' || coalesce(factcheck_url, ''), {S.text(V.PTPT_3)}, 'i') AS is_ptpt,
   CASE WHEN {S.blank('factcheck_rating')} THEN 'none' WHEN k IN {S.strings(V.MODEL_HARD)} THEN 'hard' WHEN k IN {S.strings(V.MODEL_FALSE)} THEN 'false_pure' WHEN k IN {S.strings(V.MODEL_TRUE)} THEN 'true_rating' ELSE 'other' END AS rating_class,
-  coalesce(label_source, '') AS label_source, round(coalesce(num_exclamations, 0) / {_W}, 9) AS excl_rate, round(ln({_W}), 9) AS log_word_len FROM k WHERE label IN ('fake', 'true') AND NOT {S.blank('text')}""")
+  coalesce(label_source, '') AS label_source, round(coalesce(num_exclamations, 0) / {_W}, 9) AS excl_rate, round(coalesce(num_questions, 0) / {_W}, 9) AS quest_rate, round(coalesce(num_ellipsis, 0) / {_W}, 9) AS ellip_rate,
+  round(coalesce(uppercase_word_ratio, 0.0), 9) AS upper_rate, round(ln({_W}), 9) AS log_word_len FROM k JOIN b USING (g)""")
 def modelling_table(spark, d):
     m = merging.modelling_table(table(spark, d, MAIN), table(spark, d, LABELS), table(spark, d, PROV))
-    return m.select("rid", "label", "target", "group", "channel", "is_ptpt", "rating_class", "label_source", F.round("excl_rate", 9).alias("excl_rate"), F.round("log_word_len", 9).alias("log_word_len"))
+    rates = ("excl_rate", "quest_rate", "ellip_rate", "upper_rate", "log_word_len")
+    return m.select(*[c for c in m.columns if c not in rates], *[F.round(c, 9).alias(c) for c in rates])
+
+
+_MODEL = SQL["modelling_table"]
+
+
+@query(f"SELECT rid, label, rating_class FROM ({_MODEL}) WHERE (rating_class = 'false_pure' AND label = 'true') OR (rating_class = 'true_rating' AND label = 'fake')")
+def rating_contradictions(spark, d):
+    """Rows to model whose rating says the opposite of their label."""
+    return evaluation.contradictions(modelling_table(spark, d)).select("rid", "label", "rating_class")
+
+
+_P = "CASE WHEN auto_label = 'fake' THEN confidence WHEN auto_label = 'true' THEN 1 - confidence ELSE 0.5 END"
+_F = "coalesce(2.0 * {0} / nullif(2 * {0} + fp + fn, 0), 0.0)"
+_CELLS = "count(*) AS n, sum(y) AS pos, count(*) FILTER (y = 1 AND p >= 0.5) AS tp, count(*) FILTER (y = 0 AND p >= 0.5) AS fp, count(*) FILTER (y = 1 AND p < 0.5) AS fn, count(*) FILTER (y = 0 AND p < 0.5) AS tn"
+_WORST = f"SELECT '{{0}}' AS section, count(*) AS n, NULL AS acc, round(min(({_F.format('tp')} + {_F.format('tn')}) / 2), 6) AS macro_f1 FROM (SELECT \"group\", {_CELLS} FROM r WHERE {{1}} GROUP BY ALL HAVING n >= 100 AND least(pos, n - pos) >= 20)"
+
+
+@query(f"""
+WITH s AS (SELECT rid, min({_P}) AS p FROM {LABELS} WHERE confidence IS NOT NULL GROUP BY rid), r AS (SELECT m.*, m.target AS y, s.p FROM ({_MODEL}) m JOIN s USING (rid)),
+t AS (SELECT y, p, unnest(list_filter([ 'global', CASE WHEN is_balanced_group THEN 'balanced' END, CASE rating_class WHEN 'hard' THEN 'hard' WHEN 'false_pure' THEN 'pure' END, CASE WHEN is_ptpt THEN 'ptpt' ELSE 'rest' END], lambda x: x IS NOT NULL)) AS section FROM r),
+c AS (SELECT section, {_CELLS} FROM t GROUP BY section), f AS (SELECT min(n) AS few, count(*) AS two FROM c WHERE section IN ('ptpt', 'rest'))
+SELECT section, n, round((tp + tn) / n, 6) AS acc, round(CASE WHEN pos > 0 AND pos < n THEN ({_F.format('tp')} + {_F.format('tn')}) / 2 END, 6) AS macro_f1 FROM c, f WHERE CASE WHEN section IN ('hard', 'pure') THEN n >= 20 WHEN section IN ('ptpt', 'rest') THEN two = 2 AND few >= 30 ELSE true END
+UNION ALL {_WORST.format('worst_group', 'true')} UNION ALL {_WORST.format('worst_group_balanced', 'is_balanced_group')}""")
+def nested_report(spark, d):
+    """The label table's scores on the modelling table: all rows, balanced groups, hard and plain ratings, dialects, worst groups."""
+    c = F.col("confidence")
+    p = F.when(F.col("auto_label") == "fake", c).when(F.col("auto_label") == "true", 1 - c).otherwise(0.5)
+    scores = table(spark, d, LABELS).where(c.isNotNull()).groupBy("rid").agg(F.min(p).alias("p"))
+    rows = written(modelling_table(spark, d).withColumn("y", F.col("target")).join(scores, "rid"), "report-rows")
+    return evaluation.report(rows, "group").select("section", "n", F.round("acc", 6).alias("acc"), F.round("macro_f1", 6).alias("macro_f1"))
 
 
 _BANDS = "CASE WHEN word_len <= 10 THEN '1-10' WHEN word_len <= 20 THEN '11-20' WHEN word_len <= 40 THEN '21-40' WHEN word_len <= 80 THEN '41-80' WHEN word_len <= 200 THEN '81-200' WHEN word_len IS NOT NULL THEN '200+' ELSE 'none' END"

@@ -88,3 +88,8 @@ def between_words(pattern: str) -> str:
 
 def has(x: str, pattern: str) -> str:
     return f"regexp_matches(coalesce({x}, ''), {text(between_words(pattern))}, 'i')"
+
+
+def domain(x: str) -> str:
+    host = rf"regexp_extract(lower(coalesce({x}, '')), '^https?://(?:www\.)?([^/?#\s]+)', 1)"
+    return f"CASE WHEN {host} = '' THEN 'sem_url' ELSE {host} END"

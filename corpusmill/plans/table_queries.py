@@ -113,15 +113,15 @@ def document_frequency(spark, d):
 
 # ------------------------------------------------------------- cleaning
 
-_CONFLICTS = f"SELECT text_clean, list_sort(list(DISTINCT label)) AS labels, list_sort(list(DISTINCT dataset_name)) AS subsets, count(rid) AS row_count FROM {MAIN} WHERE text_clean IS NOT NULL GROUP BY text_clean HAVING count(DISTINCT label) > 1"
+_CONFLICTS = f"SELECT text_clean, list_sort(list(label)) AS labels, list_sort(list(dataset_name)) AS subsets, count(rid) AS row_count FROM {MAIN} WHERE text_clean IS NOT NULL GROUP BY text_clean HAVING count(DISTINCT label) > 1"
 
 
-@query(f"SELECT m.rid, array_to_string(c.labels, ',') AS labels, array_to_string(c.subsets, ',') AS subsets, c.row_count FROM {MAIN} m JOIN ({_CONFLICTS}) c USING (text_clean)")
+@query(f"SELECT m.rid, m.label, array_to_string(c.labels, ',') AS labels, array_to_string(c.subsets, ',') AS subsets, c.row_count FROM {MAIN} m JOIN ({_CONFLICTS}) c USING (text_clean)")
 def label_conflicts(spark, d):
-    """Each row of a text that carries several labels, with its text's summary."""
-    m = main(spark, d)
-    c = cleaning.conflicting_texts(m)
-    return m.select("rid", "text_clean").join(c, "text_clean").select("rid", F.array_join("labels", ",").alias("labels"), F.array_join("subsets", ",").alias("subsets"), "row_count")
+    """Each row of a text that carries several labels, with the labels and groups of all the text's rows."""
+    c = cleaning.conflict_audit(main(spark, d))
+    listed = lambda x: F.array_join(F.flatten(F.transform(x, lambda v: F.array_repeat(v["value"], v["n"].cast("int")))), ",")
+    return c.select("rid", "label", listed(F.col("labels_involved")).alias("labels"), listed(F.col("subsets_involved")).alias("subsets"), "row_count")
 
 
 def _has(c: str, n: int) -> str:
@@ -156,6 +156,37 @@ def judged(spark, d):
     return cleaning.judge(main(spark, d))
 
 
+_VERSION = f"(SELECT *, 'base' AS part FROM {MAIN} UNION ALL BY NAME SELECT * EXCLUDE (batch_no, arrived_at), 'new' FROM incoming_rows)"
+_NEW = "incoming_rows"
+
+
+@query(f"""
+WITH one AS (SELECT count(*) FILTER (coalesce(is_duplicated, -1) <> 0) AS is_duplicated, count(*) FILTER (coalesce(is_null, -1) <> 0) AS is_null, count(*) FILTER (coalesce(too_short, -1) <> 0) AS too_short,
+  count(*) FILTER ({S.blank('text')}) AS blank_text, count(*) FILTER (coalesce(word_len, 0) < 3) AS word_len, count(*) FILTER (NOT coalesce(label IN ('fake', 'true'), false)) AS label,
+  count(*) FILTER (coalesce(starts_with(dataset_name, 'NEWS_') AND label = 'true', false) AND {S.has('text', V.LEAK)}) AS leak FROM {_NEW})
+SELECT rule, violations FROM (UNPIVOT one ON COLUMNS(*) INTO NAME rule VALUE violations)
+UNION ALL SELECT 'repeated_rid', count(*) - count(DISTINCT rid) FROM {_NEW} UNION ALL SELECT 'repeated_text', count(*) - count(DISTINCT {S.norm('text_no_url')}) FROM {_NEW}
+UNION ALL SELECT 'base_changed', 0 UNION ALL SELECT 'column_order', 0 UNION ALL SELECT 'id_collision', count(*) FROM {_NEW} WHERE rid IN (SELECT rid FROM {MAIN})""")
+def judged_version(spark, d):
+    """The incoming rows as a new version's part, judged together with the base."""
+    new = table(spark, d, "incoming_rows").select(V.COLUMNS).withColumn("part", F.lit("new"))
+    base = main(spark, d)
+    return cleaning.judge_version(base.select(V.COLUMNS).withColumn("part", F.lit("base")).unionByName(new), base, V.COLUMNS)
+
+
+def _section(name: str, key: str) -> str:
+    return f"SELECT '{name}' AS section, {key} AS key, count(*) AS n FROM {MAIN} GROUP BY ALL"
+
+
+@query(" UNION ALL ".join([
+    _section("label", "coalesce(label, 'nan')"), _section("era", S.era("date_iso")), _section("label_by_era", f"coalesce(label, 'nan') || ' | ' || {S.era('date_iso')}"), _section("source_type", "coalesce(source_type, 'nan')"),
+    _section("ptpt", f"CAST(regexp_matches(coalesce(url_review, ''), {S.text(V.PTPT_6)}, 'i') AS VARCHAR)"), _section("mentions_ai", f"CAST({S.has('text', V.AI)} AS VARCHAR)"),
+    f"(SELECT 'dataset' AS section, coalesce(dataset_name, 'nan') AS key, count(*) AS n FROM {MAIN} GROUP BY ALL ORDER BY n DESC, key LIMIT 20)",
+]))
+def audit_report(spark, d):
+    return cleaning.audit(main(spark, d))
+
+
 # ------------------------------------------------------------- windows and sets
 
 
@@ -215,8 +246,13 @@ def era_quota(spark, d):
     return sampling.era_quota(main(spark, d).select("rid", "date_iso", "dataset_name"), 0.5).select("rid", "era")
 
 
+def _strata(rows: str, least: int) -> str:
+    return f"""s0 AS (SELECT rid, CASE WHEN count(*) OVER (PARTITION BY dataset_name, label) < {least} THEN coalesce(label, '') ELSE coalesce(dataset_name, '') || '|' || coalesce(label, '') END AS stratum FROM {rows}),
+s1 AS (SELECT stratum, count(*) AS k FROM s0 GROUP BY stratum), s AS (SELECT rid, CASE WHEN k < {least} THEN (SELECT stratum FROM s1 ORDER BY k DESC, stratum LIMIT 1) ELSE stratum END AS stratum FROM s0 JOIN s1 USING (stratum))"""
+
+
 @query(f"""
-WITH s AS (SELECT rid, CASE WHEN count(*) OVER (PARTITION BY dataset_name, label) < 10 THEN coalesce(label, '') ELSE coalesce(dataset_name, '') || '|' || coalesce(label, '') END AS stratum FROM {MAIN}),
+WITH {_strata(MAIN, 10)},
 r AS (SELECT rid, (row_number() OVER (PARTITION BY stratum ORDER BY md5(concat(CAST(rid AS VARCHAR), '-42'))) - 1) / count(*) OVER (PARTITION BY stratum) AS place FROM s)
 SELECT rid, CASE WHEN place < 0.15 THEN 'test' WHEN place < 0.3 THEN 'val' ELSE 'train' END AS split FROM r""")
 def stratified_split(spark, d):
@@ -225,7 +261,7 @@ def stratified_split(spark, d):
 
 @query(f"""
 WITH c AS (SELECT rid, dataset_name, label, {S.channel('dataset_name')} = 'social' AS held FROM {MAIN}),
-s AS (SELECT rid, CASE WHEN count(*) OVER (PARTITION BY dataset_name, label) < 10 THEN coalesce(label, '') ELSE coalesce(dataset_name, '') || '|' || coalesce(label, '') END AS stratum FROM c WHERE NOT held),
+{_strata('(SELECT * FROM c WHERE NOT held)', 4)},
 r AS (SELECT rid, (row_number() OVER (PARTITION BY stratum ORDER BY md5(concat(CAST(rid AS VARCHAR), '-42'))) - 1) / count(*) OVER (PARTITION BY stratum) AS place FROM s)
 SELECT rid, CASE WHEN place < 0.15 THEN 'val' ELSE 'train' END AS split FROM r UNION ALL SELECT rid, 'test' FROM c WHERE held""")
 def held_out_channel(spark, d):

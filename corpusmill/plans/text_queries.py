@@ -157,7 +157,7 @@ def style_rates(spark, d):
     return main(spark, d).select("rid", rate("num_exclamations").alias("excl_rate"), rate("num_questions").alias("quest_rate"), rate("num_ellipsis").alias("ellip_rate"), F.round(F.coalesce("uppercase_word_ratio", F.lit(0.0)), 9).alias("upper_rate"), F.round(F.log1p(w), 9).alias("log_word_len"))
 
 
-_NG = "list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')))"
+_NG = "list_distinct(list_transform(range(1, greatest(len(w) - 2, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 2), ' ')))"
 _NC = "list_distinct(list_transform(range(1, greatest(length(f) - 4, 1) + 1), lambda i: substr(f, i, 5)))"
 
 

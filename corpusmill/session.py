@@ -33,9 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where none is set, as in tests."""
+    """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where none is set and all runs on one machine, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")

@@ -23,9 +23,12 @@ def ddl(types: dict[str, str]) -> str:
     return ", ".join(f"`{k}` {v}" for k, v in types.items())
 
 
-def read_csv(spark: SparkSession, path: str | list[str], types: dict[str, str] = MAIN_TYPES) -> DataFrame:
-    """Delimited files with a header, quoted line breaks and doubled quotes. Only selected columns are parsed."""
-    return spark.read.schema(ddl(types)).option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", False).csv(path)
+def read_csv(spark: SparkSession, path: str | list[str], types: dict[str, str] = MAIN_TYPES, line_breaks: bool = True) -> DataFrame:
+    """Delimited files with a header and doubled quotes. Only selected columns are parsed.
+
+    Values may hold line breaks, so a file is read by one task: write many files. Where none do, ``line_breaks=False`` splits files.
+    """
+    return spark.read.schema(ddl(types)).option("header", True).option("multiLine", line_breaks).option("escape", '"').option("enforceSchema", False).csv(path)
 
 
 def read_log(spark: SparkSession, path: str | list[str], schema: str, strict: bool = False) -> DataFrame:

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows a metrics file may have.
+MOST = 10_000
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """Delimited files with a header; quotes are doubled, arrays of addresses are written as a list's text form."""
     flat = [list_text(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "array" else F.col(f.name) for f in df.schema]
@@ -31,8 +35,11 @@ def list_text(c: Column) -> Column:
 
 
 def metrics_json(aggregates: DataFrame) -> str:
-    """The rows of a small aggregate as a JSON text."""
-    return json.dumps([r.asDict(recursive=True) for r in aggregates.limit(10_000).collect()], ensure_ascii=False, indent=1, default=str)
+    """The rows of a small aggregate as a JSON text; more than ``MOST`` rows are no metrics and an error, never cut."""
+    rows = aggregates.limit(MOST + 1).collect()
+    if len(rows) > MOST:
+        raise ValueError(f"more than {MOST} rows: write them as a table")
+    return json.dumps([r.asDict(recursive=True) for r in rows], ensure_ascii=False, indent=1, default=str)
 
 
 def markdown_table(aggregates: DataFrame, most: int = 200) -> str:

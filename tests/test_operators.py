@@ -34,7 +34,7 @@ def test_text_functions(spark):
     assert one(spark, T.shingles, None) == []
     assert one(spark, T.shingles, "abc") == ["abc"]
     assert one(spark, T.shingles, "ab cd ef") == ["abcde", "bcdef"]
-    assert len(one(spark, T.shingles, " ".join(f"w{i}" for i in range(5000)))) == 4996
+    assert len(one(spark, T.shingles, " ".join(f"w{i}" for i in range(5000)))) == 4998
     assert one(spark, T.first_sentence, "Uma frase bem comprida aqui. Outra.") == "Uma frase bem comprida aqui"
     assert one(spark, T.last_part, "abc conclusão: fim") == "conclusão: fim"
     assert one(spark, T.claim_like, "O prefeito anunciou a obra nova ontem") is True
@@ -105,11 +105,11 @@ def test_near_duplicates_keep_a_chain_whose_middle_is_dropped(spark):
     base = spark.createDataFrame([(99, "base " + " ".join(f"q{i}" for i in range(30)))], "rid bigint, text_no_url string")
     rows = [(1, "2020-01-01", " ".join(a)), (2, "2020-01-02", " ".join(b)), (3, "2020-01-03", " ".join(c)), (4, "2020-01-04", " ".join(a)), (5, None, None), (6, None, ""), (7, "2019-01-01", "Base! " + " ".join(f"q{i}" for i in range(30)))]
     new = spark.createDataFrame(rows, "rid bigint, date_iso string, text_no_url string")
-    got = {r["rid"]: r["reason"] for r in near_duplicates.deduplicate(new, base).collect()}
+    got = {r["rid"]: r["reason"] for r in near_duplicates.deduplicate(new, base, threshold=0.8).collect()}
     assert got == {1: None, 2: "dup_new_near", 3: None, 4: "dup_new_near", 5: None, 6: None, 7: "dup_base_exact"}
     assert {r["reason"] for r in near_duplicates.deduplicate(new, base, near=False).collect()} == {None, "dup_base_exact"}
     assert near_duplicates.deduplicate(new.limit(0), base).count() == 0
-    assert near_duplicates.deduplicate(new, base.limit(0)).where("reason IS NULL").count() == 5
+    assert near_duplicates.deduplicate(new, base.limit(0), threshold=0.8).where("reason IS NULL").count() == 5
 
 
 def test_nearest_against_brute_force(spark):
@@ -173,3 +173,57 @@ def test_written_tables_are_released(spark):
     session.release(spark)
     with pytest.raises(Exception):  # noqa: B017
         spark.read.parquet(session.work_dir(spark) + "/*").count()
+
+
+def test_report_sections_and_contradictions(spark):
+    rows = [(i, i % 2, (0.9 if i % 2 else 0.1) if i % 10 else 0.5, "AB"[i % 4 // 2], i % 4 < 2, ("hard", "false_pure", "other")[i % 3], i % 5 == 0, "fake" if i % 2 else "true") for i in range(400)]
+    df = spark.createDataFrame(rows, "rid bigint, y int, p double, g string, is_balanced_group boolean, rating_class string, is_ptpt boolean, label string")
+    got = {r["section"]: r for r in evaluation.report(df, "g").collect()}
+    assert set(got) == {"global", "balanced", "hard", "pure", "ptpt", "rest", "worst_group", "worst_group_balanced"}
+    for k, keep in {"global": lambda r: True, "balanced": lambda r: r[4], "hard": lambda r: r[5] == "hard", "ptpt": lambda r: r[6]}.items():
+        part = [r for r in rows if keep(r)]
+        assert got[k]["n"] == len(part) and abs(got[k]["acc"] - sum((r[2] >= 0.5) == (r[1] == 1) for r in part) / len(part)) < 1e-9
+    assert "ptpt" not in {r["section"] for r in evaluation.report(df.where("NOT is_ptpt OR rid < 50"), "g").collect()}
+    assert {r["rid"] for r in evaluation.contradictions(df).collect()} == {r[0] for r in rows if r[5] == "false_pure" and r[7] == "true"}
+
+
+def test_conflicts_list_every_row_and_versions_are_judged(spark):
+    rows = [(1, "t", "fake", "A"), (2, "t", "true", "A"), (3, "t", "true", None), (4, "u", "fake", "B"), (5, None, "fake", "B"), (6, None, "true", "B")]
+    got = cleaning.conflict_audit(spark.createDataFrame(rows, "rid bigint, text_clean string, label string, dataset_name string")).collect()
+    assert {r["rid"] for r in got} == {1, 2, 3} and [tuple(x) for x in got[0]["labels_involved"]] == [("fake", 1), ("true", 2)]
+    assert [tuple(x) for x in got[0]["subsets_involved"]] == [("A", 2)] and got[0]["row_count"] == 3
+    from corpusmill.functions import vocabulary as V
+    from corpusmill.sources.readers import MAIN_TYPES
+
+    frame = lambda ids, part: cleaning.with_contract_columns(spark.createDataFrame([(i, f"texto {i} aqui", "fake", 3, 0, 0, 0) for i in ids], "rid bigint, text string, label string, word_len int, is_duplicated int, is_null int, too_short int").withColumn("text_no_url", F.col("text")), MAIN_TYPES).withColumn("part", F.lit(part))
+    base = frame([1, 2], "base")
+    good = base.unionByName(frame([3], "new"))
+    judged = lambda t: {r["rule"]: r["violations"] for r in cleaning.judge_version(t, base.drop("part"), V.COLUMNS).collect()}
+    assert not any(judged(good).values())
+    bad = judged(base.where("rid = 1").unionByName(frame([2, 3], "new")).select("part", *reversed(V.COLUMNS)))
+    assert bad["base_changed"] == 1 and bad["column_order"] == 1 and bad["id_collision"] == 1
+
+
+def test_rare_strata_join_the_largest(spark):
+    rows = [(i, "A", "x") for i in range(20)] + [(100 + i, "B", "x") for i in range(3)] + [(200, "C", "y")]
+    got = {r["rid"]: r["stratum"] for r in sampling.strata(spark.createDataFrame(rows, "rid bigint, g string, l string"), "g", "l", 4).collect()}
+    assert got[0] == "A|x" and got[100] == "A|x" and got[200] == "A|x"
+    got = {r["rid"]: r["stratum"] for r in sampling.strata(spark.createDataFrame(rows + [(300, "D", "x")], "rid bigint, g string, l string"), "g", "l", 4).collect()}
+    assert got[100] == "x" and got[300] == "x" and got[200] == "A|x"
+
+
+def test_a_long_chain_of_near_duplicates_ends(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[2 * i : 2 * i + 60]), "2020-01-01") for i in range(90)]
+    new = spark.createDataFrame(rows, "rid bigint, text_no_url string, date_iso string")
+    base = spark.createDataFrame([], "rid bigint, text_no_url string")
+    got = {r["rid"]: r["reason"] for r in near_duplicates.deduplicate(new, base).collect()}
+    kept = []
+    for i, t, _ in rows:
+        w = t.split()
+        s = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+        if all(len(s & o) < near_duplicates.THRESHOLD * len(s | o) for o in kept):
+            kept.append(s)
+            assert got[i] is None
+        else:
+            assert got[i] == "dup_new_near"

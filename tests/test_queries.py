@@ -38,8 +38,9 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(core.QUERIES) - set(core.SQL)))
-def test_query_runs(spark, name):
-    assert core.QUERIES[name](spark, str(DATA)).count() >= 0
+def test_query_without_sql_gives_rows(spark, name):
+    got = core.QUERIES[name](spark, str(DATA))
+    assert len(got.columns) > 1 and not got.isEmpty()
 
 
 def test_every_sql_has_its_query():

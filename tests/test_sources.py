@@ -140,8 +140,18 @@ def test_answers_are_parsed(spark):
     raw = ['{"verdict": "FAKE", "confidence": 87, "motivo": "m"}', '```json\n{"verdict": "true", "confidence": 0.91234}\n```', 'Well: {"verdict": "maybe"} ok', "nothing", None]
     got = [tuple(r["a"]) for r in spark.createDataFrame([(i, x) for i, x in enumerate(raw)], "i int, x string").orderBy("i").select(prompts.parsed_answer(F.col("x")).alias("a")).collect()]
     assert got == [("fake", 0.87, "m"), ("true", 0.912, ""), ("unknown", 0.0, ""), ("unknown", 0.0, ""), ("unknown", 0.0, "")]
-    r = spark.createDataFrame([("t", [("x" * 200, "2020-01-01 00:00:00 UTC")])], "t string, items array<struct<title:string,pub:string>>").select(prompts.request(F.col("t"), F.col("items"), F.lit(1)).alias("r")).first()["r"]
-    assert len(r["custom_id"]) == 24 and "[1] (2020-01-01 00:00) " + "x" * 160 in r["body"] and "x" * 161 not in r["body"]
+    rows = [("t", [("x" * 200, "a.example", "2020-01-01 00:00:00 UTC", "lupa"), ("y", None, None, None)] * 5), (None, None), ("u", [])]
+    df = spark.createDataFrame(rows, "t string, items array<struct<title:string,domain:string,pub:string,checker:string>>")
+    asked = df.select(prompts.request("verify_headline", F.lit("s"), F.lit("u"), F.col("t"), prompts.prompt(F.col("t"), F.lit("2020-01-02"), F.col("items"))).alias("r")).select("r.*").collect()
+    lines = asked[0]["body"].split("\n")
+    assert lines[:4] == ["MANCHETE: t", "DATA: 2020-01-02", "", "EVIDENCIAS (Google News):"] and len(lines) == 12
+    assert lines[4] == "[0] a.example (2020-01-01 00:00) [CHECADOR:lupa]: " + "x" * 160 and lines[5] == "[1]  (): y"
+    assert all(r["body"].endswith("(nenhuma)") for r in asked[1:])
+    import hashlib
+
+    assert {r["custom_id"] for r in asked} == {hashlib.sha1(b"verify_headline|s|u").hexdigest()[:24]} and asked[0]["tokens"] == len(asked[0]["body"]) // 4 + 500
+    article = df.select(prompts.request("correction", F.lit("s"), F.lit("u"), F.lit("z" * 13_000)).alias("r")).first()["r"]
+    assert article["body"].count("z") == 12_000 and article["schema"] == "correction" and article["max_tokens"] == 400
 
 
 def test_models_learn_a_separable_table(spark):
