@@ -308,14 +308,17 @@ def _range(depth: int) -> Column:
     return F.shiftright("key", LABEL_BITS * (DEPTH - depth))
 
 
-def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
+def repeats(history: DataFrame, incoming: DataFrame, one_by_one: bool = False) -> DataFrame:
     """``(rid)`` of each incoming row that repeats a row of ``history``, of an earlier batch, or an earlier one of its batch.
 
-    Both have ``rid, text``; ``incoming`` has ``batch_no``. The history is accepted as one run, then batch after batch as they arrive.
+    Both have ``rid, text``; ``incoming`` has ``batch_no``. The history is accepted as one run. Waiting batches are accepted as one run, too: a row
+    only counts what is earlier by batch and id, so this gives what accepting batch after batch does (``one_by_one``).
     """
     forest = HashForest(history.sparkSession)
     forest.append(history.select("rid", F.lit(-1).alias("batch_no"), "text"), -1)
     rows = incoming.select("rid", F.coalesce(F.col("batch_no").cast("int"), F.lit(LAST)).alias("batch_no"), "text")
+    if not one_by_one:
+        return forest.accept(rows)
     out = [forest.accept(rows.where(F.col("batch_no") == b), b) for (b,) in sorted(map(tuple, rows.select("batch_no").distinct().collect()))]
     return functools.reduce(DataFrame.unionByName, out).distinct() if out else rows.select("rid").limit(0)
 

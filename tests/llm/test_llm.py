@@ -240,6 +240,8 @@ def test_repeats_against_brute_force(spark):
                 want.add(rid)
             seen.append(x)
     assert len(want - got) <= 0.01 * len(want) and got <= want
+    each = {r["rid"] for r in forest.repeats(spark.createDataFrame(old, "rid bigint, text string"), spark.createDataFrame(new, "rid bigint, batch_no int, text string"), one_by_one=True).collect()}
+    assert len(each ^ got) <= 0.01 * len(want)
 
 
 def test_batches_one_by_one_equal_one_pass(spark, tmp_path):
