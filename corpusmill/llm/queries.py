@@ -185,13 +185,13 @@ _MAPPED = rf"""
 WITH nm AS (SELECT rating_id, unnest(list_concat([rating_name], coalesce(aliases, []))) AS name FROM rating_reference), nk AS (SELECT k AS nk, min(rating_id) AS r FROM (SELECT rating_id, {_rating_key_sql('c')} AS k FROM (SELECT rating_id, {_rating_clean_sql('name')} AS c FROM nm WHERE NOT ({_BLANK.format('name')}))) WHERE k <> '' GROUP BY k),
 n AS (SELECT *, {_TOKS.format('nk')} AS nt FROM nk),
 v AS (SELECT factcheck_rating AS value, count(*) AS rows FROM fakenewsbr_v6_public WHERE factcheck_rating IS NOT NULL AND NOT ({_BLANK.format('factcheck_rating')}) GROUP BY 1),
-p AS (SELECT value, unnest([0, 1]) AS part, unnest(regexp_split_to_array({_rating_clean_sql('value')}, '\s*(?:[:|(;→\n]|\s[-–—]+\s|\.\s|->|=>)\s*')[1:2]) AS text FROM v),
+p AS (SELECT value, unnest(regexp_split_to_array({_rating_clean_sql('value')}, '\s*(?:[:|(;→\n]|\s[-–—]+\s|\.\s|->|=>)\s*')) AS text, generate_subscripts(regexp_split_to_array({_rating_clean_sql('value')}, '\s*(?:[:|(;→\n]|\s[-–—]+\s|\.\s|->|=>)\s*'), 1) - 1 AS part FROM v),
 w AS (SELECT value, part, text, list_filter(regexp_split_to_array(text, '\s+'), lambda y: y <> '') AS w FROM p WHERE text IS NOT NULL),
-t AS (SELECT value, part * 2 AS part, text AS try FROM w UNION ALL SELECT value, part * 2 + 1, unnest([array_to_string(w[2:], ' '), array_to_string(w[1:1], ' '), array_to_string(w[1:2], ' '), array_to_string(w[1:3], ' '), array_to_string(w[1:4], ' ')]) FROM w),
-k AS (SELECT value, k, min(part) AS part FROM (SELECT value, part, {_rating_key_sql('try')} AS k FROM t) WHERE k <> '' AND length(k) <= 64 GROUP BY value, k), d AS (SELECT k, {_TOKS.format('k')} AS kt FROM (SELECT DISTINCT k FROM k)),
+t AS (SELECT value, part * 2 AS part, text AS try FROM w UNION ALL SELECT value, part * 2 + 1, unnest(list_concat([array_to_string(w[2:], ' ')], list_transform(range(1, (SELECT max(len(regexp_split_to_array(trim(name), '\s+'))) FROM nm) + 1), lambda k: array_to_string(w[1:k], ' ')))) FROM w),
+k AS (SELECT value, k, min(part) AS part FROM (SELECT value, part, {_rating_key_sql('try')} AS k FROM t) WHERE k <> '' GROUP BY value, k), d AS (SELECT k, {_TOKS.format('k')} AS kt FROM (SELECT DISTINCT k FROM k)),
 s AS (SELECT d.k, n.r, n.nk, len(list_intersect(kt, nt)) / len(list_distinct(list_concat(kt, nt))) AS j, levenshtein(d.k, nk) AS e FROM d, n),
 x AS (SELECT k, r, nk, j, CASE WHEN e = 2 AND list_sort(string_split(k, '')) = list_sort(string_split(nk, '')) THEN 1 ELSE e END AS e FROM s WHERE j >= 0.28),
-b AS (SELECT value, r FROM k JOIN x USING (k) WHERE e <= CASE WHEN length(nk) <= 6 THEN 1 WHEN length(nk) <= 8 THEN 2 ELSE floor(length(nk) * 0.3) END QUALIFY row_number() OVER (PARTITION BY value ORDER BY part, e, j DESC, length(nk) DESC, r, nk) = 1),
+b AS (SELECT value, r FROM k JOIN x USING (k) WHERE e <= CASE WHEN length(nk) <= 6 THEN 1 WHEN length(nk) <= 8 THEN 2 ELSE floor(length(nk) * 0.3) END QUALIFY row_number() OVER (PARTITION BY value ORDER BY part, j DESC, e, length(nk) DESC, r, nk) = 1),
 m AS (SELECT value, coalesce(r, 0) AS entry, rows FROM v LEFT JOIN b USING (value))"""
 SQL["p4_found"] = _MAPPED + " SELECT p.rid, CAST(m.entry AS INT) AS rating_id FROM fakenewsbr_v6_public p JOIN m ON m.value = p.factcheck_rating WHERE p.factcheck_rating NOT IN (SELECT rating_name FROM rating_reference)"
 SQL["p4_unmatched"] = _MAPPED + " SELECT value, rows FROM m WHERE entry = 0"

@@ -3,15 +3,17 @@
 A prefix-filter set-similarity join. A value and every name or alias become sets of character tokens (letters, pairs at
 distance one and two, first and last letter). Tokens are ordered by global rarity; two sets of a Jaccard similarity of
 ``threshold`` share a token among the first ``n - ceil(threshold * n) + 1`` of each, so only those prefixes are joined.
-Length and positional filters follow, then the exact Jaccard similarity, then an exact edit-distance check that keeps
-short unrelated words apart, and the best entry is kept. Only distinct values take part.
+Length and positional filters follow, then the exact Jaccard similarity; the most similar entry is kept, if an exact
+edit-distance check finds no unrelated word in it. Only distinct values take part.
+
+A value is tried by its parts, one after the other, and of each part its first words, up to as many as the longest name has.
 
 Defined results
 ---------------
 * null and blank values are no values: they have no entry and are not reported
 * a value without any letter or digit, or with none close enough, belongs to entry 0
 * if more words follow the verdict, the verdict counts; a label before it (``Selo: ...``) is passed over
-* of several near entries: the earlier part of the value, the fewer edits, the more similar, the longer name, the smaller id
+* of several near entries: the earlier part of the value, the more similar, the fewer edits, the longer name, the smaller id
 * an empty reference gives entry 0 for every value
 """
 
@@ -28,10 +30,8 @@ from corpusmill.session import written
 LOOKALIKES = ("аеорсухіѕјһԁԛѡкмтвнαοερικνυχ", "aeopcyxisjhdqwkmtbhaoepiknux")
 TYPED_FOR = ("0134578@$", "oieastbas")
 _PART = r"\s*(?:[:|(;→\n]|\s[-–—]+\s|\.\s|->|=>)\s*"
-#: Parts of a value that may hold the verdict: the first, or the second after a label.
-PARTS = 2
-#: Leading words of a part tried on their own, for values where nothing parts the verdict from what follows.
-WORDS = 4
+#: Copies of the table of values in the join that gives rows their entry, so that the rows of one common value meet in many tasks.
+SALTS = 16
 
 
 def _keyed(df: DataFrame, source: Column) -> DataFrame:
@@ -75,22 +75,24 @@ def map_values(values: DataFrame, value: str, reference: DataFrame, threshold: f
     of all values by the alphabet, so the table of rarities has a few thousand rows at any size.
     """
     names = reference.select("rating_id", F.explode(F.concat(F.array("rating_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name"))
+    spoken = names.where(~blank(F.col("name")))
     names = _keyed(names.where(~blank(F.col("name"))), _clean(F.col("name"))).withColumnRenamed("k", "nk").where("nk <> ''").groupBy("nk").agg(F.min("rating_id").alias("rating_id"))
     # Written once, so that each of the following plans stays small.
-    names = written(names.select("rating_id", "nk", _tokens(F.col("nk")).alias("toks")).coalesce(1), "p4-names")
+    names = written(names.select("rating_id", "nk", _tokens(F.col("nk")).alias("toks")), "p4-names")
+    longest = spoken.agg(F.max(F.size(F.split(F.trim("name"), r"\s+")))).first()[0] or 1
 
     distinct = values.where(~blank(F.col(value))).groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    parts = staged(distinct, {"clean": _clean(F.col("value"))}).select("value", F.posexplode(F.slice(F.split("clean", _PART), 1, PARTS)).alias("part", "text"))
+    parts = staged(distinct, {"clean": _clean(F.col("value"))}).select("value", F.posexplode(F.split("clean", _PART)).alias("part", "text"))
     parts = staged(parts, {"w": F.filter(F.split("text", r"\s+"), lambda x: x != "")})
-    heads = [F.array_join(F.slice("w", 1, k), " ") for k in range(1, WORDS + 1)]
-    tails = F.array_join(F.slice("w", 2, 100), " ")  # after an article or a generic noun
+    heads = [F.array_join(F.slice("w", 1, k), " ") for k in range(1, longest + 1)]
+    tails = F.array_join(F.filter("w", lambda x, i: i > 0), " ")  # after an article or a generic noun
     tries = F.array_distinct(F.array(F.col("text"), tails, *heads))
     tries = parts.select("value", "part", F.posexplode(tries).alias("cut", "try"))
     # The whole part comes before what is left of it without leading or trailing words.
     tries = tries.withColumn("part", F.col("part") * 2 + F.when(F.col("cut") > 0, 1).otherwise(0))
     tries = written(_keyed(tries, F.col("try")).where("k <> ''").groupBy("value", "k").agg(F.min("part").alias("part")), "p4-tries")
     # Keys repeat over many values (tails, above all): each is compared once.
-    keys = tries.select("k").distinct().where(F.length("k") <= 64)
+    keys = tries.select("k").distinct()
     # The bytes are few and the work per key is not: AQE must not fold the partitions into one.
     tasks = max(8, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keys = written(staged(keys.repartition(tasks, "k"), {"toks": _tokens(F.col("k"))}), "p4-keys")
@@ -113,7 +115,7 @@ def map_values(values: DataFrame, value: str, reference: DataFrame, threshold: f
     size = F.length("nk")
     most = F.when(size <= 6, 1).when(size <= 8, 2).otherwise(F.floor(size * 0.3))
     scored = scored.withColumn("edits", edits).where(F.col("edits") <= most)
-    best = tries.join(scored, "k").groupBy("value").agg(F.min(F.struct("part", "edits", (-F.col("similarity")).alias("s"), (-size).alias("l"), "r", "nk")).alias("b"))
+    best = tries.join(scored, "k").groupBy("value").agg(F.min(F.struct("part", (-F.col("similarity")).alias("s"), "edits", (-size).alias("l"), "r", "nk")).alias("b"))
     return distinct.join(written(best, "p4-best"), "value", "left").select("value", F.coalesce("b.r", F.lit(0)).cast("int").alias("entry"), F.col("b.nk").alias("name"), (-F.col("b.s")).alias("similarity"), "rows")
 
 
@@ -121,8 +123,9 @@ def found(main: DataFrame, reference: DataFrame) -> DataFrame:
     """``(rid, rating_id)`` of each row whose rating is neither null nor blank nor, character by character, a name of the list."""
     rows = main.select("rid", F.col("factcheck_rating").alias("value")).where(~blank(F.col("value")))
     rows = rows.join(reference.select(F.col("rating_name").alias("value")).distinct(), "value", "left_anti")
-    mapped = map_values(rows, "value", reference).select("value", F.col("entry").alias("rating_id"))
-    return rows.join(mapped, "value").select("rid", "rating_id")
+    mapped = map_values(rows, "value", reference).select("value", F.col("entry").alias("rating_id"), F.explode(F.array(*[F.lit(k) for k in range(SALTS)])).alias("salt"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int"))
+    return salted.join(mapped, ["value", "salt"]).select("rid", "rating_id")
 
 
 def unmatched(main: DataFrame, reference: DataFrame) -> DataFrame:

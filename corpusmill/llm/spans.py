@@ -143,7 +143,7 @@ def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out.append((np.full(len(h), rep), pos.astype(np.int32), h.view(np.int64), prev.view(np.int64), linked))
         if out:
             rep, pos, h, prev, has = (np.concatenate(c) for c in zip(*out, strict=True))
-            yield pd.DataFrame({"rep": rep, "pos": pos, "h": h, "prev": pd.Series(prev).where(has).astype("Int64")})
+            yield pd.DataFrame({"rep": rep, "pos": pos, "h": h, "prev": pd.arrays.IntegerArray(prev, ~has)})
 
 
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,7 +164,7 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out.append((np.full(len(h), rep), begin.astype(np.int32), h, np.concatenate([[0], h[:-1]]), np.diff(begin, prepend=-2) == 1))
         if out:
             rep, begin, h, prev, has = (np.concatenate(c) for c in zip(*out, strict=True))
-            yield pd.DataFrame({"rep": rep, "from": begin, "h": h, "prev": pd.Series(prev).where(has).astype("Int64")})
+            yield pd.DataFrame({"rep": rep, "from": begin, "h": h, "prev": pd.arrays.IntegerArray(prev, ~has)})
 
 
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -507,13 +507,21 @@ def test_personal_found(spark):
 
 
 def test_mix_reaches_shares_within_repeats(spark):
-    docs = [(i, "palavra " * (5 + i % 7), ("big", "mid", "tiny", None, "unlisted")[0 if i % 10 < 6 else 1 if i % 10 < 8 else 2 if i % 100 == 8 else 3 if i % 10 == 9 else 4]) for i in range(3000)] + [(9000, None, "big"), (9001, "", "mid")]
+    sources = ("big", "mid", "tiny", None, "unlisted")
+    docs = [(i, "palavra " * (5 + i % 7), sources[0 if i % 10 < 6 else 1 if i % 10 < 8 else 2 if i % 100 == 8 else 3 if i % 10 == 9 else 4]) for i in range(3000)] + [(9000, None, "big"), (9001, "", "mid")]
+    # A source of three documents, an id that comes twice with its text, and one whose texts differ.
+    docs += [(9100 + i, "palavra " * 12, "few") for i in range(3)] + [docs[0], docs[0], (1, "outra coisa", docs[1][2])]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
-    goals = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.4, 3), ("tiny", 0.1, 5), ("absent", 0.0, 2)], "source string, target_share double, max_repeats int")
+    goals = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.39, 3), ("tiny", 0.1, 5), ("few", 0.01, 9), ("absent", 0.0, 2)], "source string, target_share double, max_repeats int")
     mixed = mixing.mix(df, goals).cache()
-    assert {r["source"] for r in mixed.select("source").distinct().collect()} == {"big", "mid", "tiny"}
+    assert {r["source"] for r in mixed.select("source").distinct().collect()} == {"big", "mid", "tiny", "few"}
+    assert mixed.count() == mixed.select("doc_id", "source").distinct().count()
     got = {r["source"]: r for r in mixing.shares(mixed, goals).collect()}
-    assert abs(got["big"]["share"] - 0.5) < 0.06 and abs(got["mid"]["share"] - 0.4) < 0.06 and got["absent"]["tokens"] == 0
+    for k in ("big", "mid", "tiny"):
+        assert abs(got[k]["share"] / got[k]["target_share"] - 1) < 0.05, (k, got[k])
+    # One use more or less of a document is the least step of a source.
+    total = sum(r["tokens"] for r in got.values())
+    assert abs(got["few"]["tokens"] - 0.01 * total) <= 24 and got["absent"]["tokens"] == 0
     assert all(r["most_repeats"] <= r["max_repeats"] for r in got.values())
     order = [r["place"] for r in mixing.sequence(mixed).collect()]
     assert len(order) == mixed.agg(F.sum("repeats")).first()[0]
