@@ -11,7 +11,7 @@ and digests lie in, of ``PER_PART`` rows each, and no others: what a batch costs
 ``merge_runs`` merges sorted runs into one. Signatures of accepted texts are never computed again.
 
 A new text looks for one similar earlier text, from the longest prefix on: at each length it meets the earliest entry of its
-range (one for each size of set), and what is found similar is settled and leaves. What is left widens its prefix by ``WIDEN`` labels,
+range, and what is found similar is settled and leaves. What is left widens its prefix by ``WIDEN`` labels,
 until ``d`` is short enough that two texts of the threshold's similarity meet in some tree with probability ``RECALL``; there it
 meets all entries of its ranges. A crowd of near-copies is so settled by its earliest entries, at the longest prefixes.
 
@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import functools
 import json
-import math
 import uuid
 from collections.abc import Iterator
 
@@ -118,6 +117,8 @@ def entries(rows: DataFrame, batch: int | None = None) -> DataFrame:
     return e.select(F.col("o.r").alias("entry"), F.col("o.b").alias("ord"), "words")
 
 
+#: Sorted files of a run that may be written without a shuffle.
+FILES = 1024
 #: Rows of one part of a run, about: the least that a search reads for a range.
 PER_PART = 1_000_000
 _BITS = LABEL_BITS * DEPTH
@@ -168,10 +169,17 @@ class HashForest:
         return entries(rows, batch).mapInPandas(_signatures, "entry bigint, ord int, n int, keys array<bigint>, set array<int>")
 
     def _cut(self, df: DataFrame, to: str, rows: int, place, order: list[str]) -> dict:
-        """Writes a table in parts by ``place(parts)``, sorted by ``order`` within each. Ranges are drawn by size, so a crowded part is spread over tasks."""
+        """Writes a table in parts by ``place(parts)``, sorted by ``order`` within each file.
+
+        While tasks and parts are few, each task writes a sorted file of its own to each part, without a shuffle. Beyond ``FILES`` files, rows are
+        first drawn together by ranges of equal size, so a crowded part is spread over tasks.
+        """
         parts = -(-rows // self.per_part) or 1
         placed = df.withColumn("part", place(parts))
-        placed = placed.repartitionByRange(parts, "part", *order) if parts > 1 else placed.coalesce(1)
+        if parts == 1:
+            placed = placed.coalesce(1)
+        elif parts * df.rdd.getNumPartitions() > FILES:
+            placed = placed.repartitionByRange(parts, "part", *order)
         placed.sortWithinPartitions("part", *order).write.partitionBy("part").parquet(to)
         root, fs = self._at(to)
         return {"parts": parts, "some": sorted(int(s.getPath().getName()[5:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("part="))}
@@ -253,24 +261,30 @@ class HashForest:
         # Written, as the runs read here may be merged before the result is used.
         return written(equal.unionByName(_later(worded, _firsts(worded))).unionByName(near).distinct(), "p1-repeats")
 
-    def touched(self, run: str) -> DataFrame:
-        """``(tree, key, entry, ord, n)``: the leaves of all runs in the widest ranges of a run's own leaves, read from the parts that hold them."""
-        own = self._read("leaves", _LEAVES, runs=[run])
-        ranges = written(own.select("tree", _range(self.depth).alias("range")).distinct(), "p1-ranges")
+    def touched(self, run: str) -> tuple[DataFrame, DataFrame]:
+        """``(tree, key, entry, ord, n)`` of a run's own leaves that share a widest range with another leaf, and of all leaves in those ranges.
+
+        Leaves of other runs are read from the parts that hold the ranges.
+        """
+        at = _range(self.depth).alias("range")
+        own = self._read("leaves", _LEAVES, runs=[run]).withColumn("range", at)
+        ranges = written(own.groupBy("tree", "range").agg(F.count(F.lit(1)).alias("k")), "p1-ranges")
         shift = LABEL_BITS * (DEPTH - self.depth)
         low = F.shiftleft("range", shift)
         ends = ranges.select(F.col("tree").alias("t"), F.explode(F.array(low, low + (1 << shift) - 1)).alias("k"))
-        found = self._read("leaves", _LEAVES, lambda n: ends.select(_place(F.col("t"), F.col("k"), n)))
-        return found.withColumn("range", _range(self.depth)).join(ranges, ["tree", "range"], "left_semi").drop("range")
+        older = self._read("leaves", _LEAVES, lambda n: ends.select(_place(F.col("t"), F.col("k"), n)), [r for r in self.runs if r != run])
+        older = written(older.withColumn("range", at).join(ranges.select("tree", "range"), ["tree", "range"], "left_semi"), "p1-older")
+        shared = older.select("tree", "range").unionByName(ranges.where("k > 1").select("tree", "range")).distinct()
+        own = written(own.join(shared, ["tree", "range"], "left_semi"), "p1-own").drop("range")
+        return own, older.drop("range").unionByName(own)
 
     def similar(self, run: str) -> DataFrame:
         """Entries of ``run`` that are similar to an earlier entry of any run: ``(entry)``. Entries of the run itself count as earlier by their id."""
-        leaves = written(self.touched(run), "p1-touched")
-        new = self._read("leaves", _LEAVES, runs=[run]).select("tree", "key", F.col("entry").alias("a"), F.col("ord").alias("ao"), F.col("n").alias("an"))
+        own, leaves = self.touched(run)
+        new = own.select("tree", "key", F.col("entry").alias("a"), F.col("ord").alias("ao"), F.col("n").alias("an"))
         old = leaves.withColumnsRenamed({"entry": "b", "ord": "bo", "n": "bn"})
         earlier = (F.col("bo") < F.col("ao")) | ((F.col("bo") == F.col("ao")) & (F.col("b") < F.col("a")))
         near = (F.col("bn") >= THRESHOLD * F.col("an")) & (F.col("an") >= THRESHOLD * F.col("bn"))
-        band = lambda n: F.floor(F.log(n) * (2 / -math.log(THRESHOLD)))  # noqa: E731  # sizes of similar sets differ by at most two bands
 
         def verified(pairs: DataFrame) -> DataFrame:
             pairs = written(pairs, "p1-pairs")
@@ -287,10 +301,9 @@ class HashForest:
             at = _range(depth)
             probe, there = probe.withColumn("range", at), old.withColumn("range", at)
             if not all_of_them:
-                # The earliest entry of each range and size; a probe meets those of its size and of the sizes beside it.
-                there = there.groupBy("tree", "range", band(F.col("bn")).alias("band")).agg(F.min(F.struct("bo", "b", "bn")).alias("f")).select("tree", "range", "band", "f.*")
-                probe = probe.withColumn("band", F.explode(F.array(*[band(F.col("an")) + d for d in (-2, -1, 0, 1, 2)])))
-            pairs = probe.join(there, ["tree", "range"] if all_of_them else ["tree", "range", "band"]).where(earlier & near).select("a", "b").distinct()
+                # The earliest entry of each range.
+                there = there.groupBy("tree", "range").agg(F.min(F.struct("bo", "b", "bn")).alias("f")).select("tree", "range", "f.*")
+            pairs = probe.join(there, ["tree", "range"]).where(earlier & near).select("a", "b").distinct()
             more = written(verified(pairs), "p1-settled")
             settled = more if settled is None else settled.unionByName(more)
         return settled.select(F.col("a").alias("entry"))
