@@ -179,8 +179,9 @@ class HashForest:
         if parts == 1:
             placed = placed.coalesce(1)
         elif parts * df.rdd.getNumPartitions() > FILES:
-            placed = placed.repartitionByRange(parts, "part", *order)
-        placed.sortWithinPartitions("part", *order).write.partitionBy("part").parquet(to)
+            placed = placed.repartitionByRange(parts, "part", *order, "entry") if "entry" in df.columns else placed.repartitionByRange(parts, "part", *order)
+        # Sorted keys compress well, and a history is read more often than written.
+        placed.sortWithinPartitions("part", *order).write.option("compression", "zstd").partitionBy("part").parquet(to)
         root, fs = self._at(to)
         return {"parts": parts, "some": sorted(int(s.getPath().getName()[5:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("part="))}
 
@@ -206,10 +207,10 @@ class HashForest:
 
     def _tables(self, to: str, signed: DataFrame, n: int, keys: DataFrame, k: int) -> dict:
         leaves = signed.select(F.posexplode("keys").alias("tree", "key"), "entry", "ord", "n")
-        meta = {"leaves": self._cut(leaves, f"{to}/leaves", n * TREES, lambda p: _place(F.col("tree"), F.col("key"), p), ["tree", "key", "entry"])}
+        meta = {"leaves": self._cut(leaves, f"{to}/leaves", n * TREES, lambda p: _place(F.col("tree"), F.col("key"), p), ["tree", "key"])}
         meta["keys"] = self._cut(keys, f"{to}/keys", k, lambda p: _hashed(F.col("k"), p), ["k"])
         # Sets are no longer than their texts: parts of a tenth of the rows.
-        meta["sets"] = self._cut(signed.select("entry", "set"), f"{to}/sets", 10 * n, lambda p: _hashed(F.col("entry"), p), ["entry"])
+        meta["sets"] = self._cut(signed.select("entry", "set"), f"{to}/sets", 10 * n, lambda p: _hashed(F.col("entry"), p), [])
         return meta
 
     def _read(self, name: str, schema: str, touched=None, runs: list[str] | None = None) -> DataFrame:
@@ -236,9 +237,9 @@ class HashForest:
             leaves, sets = self._read("leaves", _LEAVES), self._read("sets", _SETS)
             keys = self._read("keys", _KEYS).groupBy("k").agg(F.min("first").alias("first"), F.max("final").alias("final"))
             n, k = leaves.count(), keys.count()
-            meta = {"replaces": [run.rsplit("/", 1)[1] for run in old], "leaves": self._cut(leaves, f"{to}/leaves", n, lambda p: _place(F.col("tree"), F.col("key"), p), ["tree", "key", "entry"])}
+            meta = {"replaces": [run.rsplit("/", 1)[1] for run in old], "leaves": self._cut(leaves, f"{to}/leaves", n, lambda p: _place(F.col("tree"), F.col("key"), p), ["tree", "key"])}
             meta["keys"] = self._cut(keys, f"{to}/keys", k, lambda p: _hashed(F.col("k"), p), ["k"])
-            meta["sets"] = self._cut(sets, f"{to}/sets", 10 * (n // TREES), lambda p: _hashed(F.col("entry"), p), ["entry"])
+            meta["sets"] = self._cut(sets, f"{to}/sets", 10 * (n // TREES), lambda p: _hashed(F.col("entry"), p), [])
             self._seal(to, meta)
             # Sealed, the merged run stands for the old ones, whether or not they are gone.
             for run in old:

@@ -19,6 +19,7 @@ Defined results
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,9 @@ NAMES = {
     "fr": ["fr", "fra", "fre", "frances", "french", "francais", "francese"],
     "it": ["it", "ita", "italiano", "italian", "italien"],
 }
-SAMPLE, ROUNDS, SWITCH, LONGEST, WHOLE = 500, 3, 9.0, 32, 6
+SAMPLE, ROUNDS, SWITCH = 500, 3, 9.0
+#: Words are scored together with words of like length: up to SHORT letters, twice that, and so on. Words of the fit are at most FITTED letters long.
+SHORT, FITTED = 32, 128
 #: Where a sentence may end. Numbers and abbreviations that part wrongly do no harm: the chain puts the parts together again.
 _ENDS = re.compile(r"[.!?…;:|\n]+(?=[\s\"'”»)*_\]~]|$)|\n|\s[/—–•-]+\s|[“”«»()\[\]]")
 _WORD = re.compile(r"[a-z]+")
@@ -62,7 +65,7 @@ def load_pieces(path: str) -> dict[str, int]:
     pieces: dict[str, int] = {}
     for i in range(sp.get_piece_size()):
         p = sp.id_to_piece(i)
-        if re.fullmatch("▁?[a-z]+", p) and len(p) <= 17:
+        if re.fullmatch("▁?[a-z]+", p):
             pieces.setdefault(p.replace("▁", "_"), len(pieces))
     for c in "abcdefghijklmnopqrstuvwxyz":
         pieces.setdefault(c, len(pieces))
@@ -75,35 +78,58 @@ class Lattice:
 
     def __init__(self, words: list[str], pieces: dict[str, int]):
         at, lo, hi, piece = [], [], [], []
+        self.reach = max(map(len, pieces), default=1)
         for w, word in enumerate(words):
-            marked = "_" + word[:LONGEST]
+            marked = "_" + word
             n = len(marked)
-            for j in range(1, n + 1):
-                for i in range(max(0, j - 17), j):
+            for j in range(2, n + 1):
+                for i in range(max(0, j - self.reach), j):
                     if i == 1:
                         continue  # the mark alone is no piece
                     k = pieces.get(marked[i:j])
-                    if k is not None and j > 1:
+                    if k is not None:
                         at.append(w), lo.append(i), hi.append(j), piece.append(k)
         self.n, self.at, self.lo, self.hi, self.piece = len(words), np.array(at, int), np.array(lo, int), np.array(hi, int), np.array(piece, int)
-        self.size = np.array([min(len(w), LONGEST) + 1 for w in words], int)
+        self.size = np.array([len(w) + 1 for w in words], int)
+        self.longest = int(self.size.max()) if len(words) else 1
         order = np.argsort(self.hi, kind="stable")
         self.at, self.lo, self.hi, self.piece = self.at[order], self.lo[order], self.hi[order], self.piece[order]
-        self.cut = np.searchsorted(self.hi, np.arange(LONGEST + 3))
+        self.cut = np.searchsorted(self.hi, np.arange(self.longest + 3))
 
     def forward(self, prob: np.ndarray) -> np.ndarray:
         """Forward sums ``[word, position, language]``; position 0 is 1."""
-        a = np.zeros((self.n, LONGEST + 2, prob.shape[1]))
+        a = np.zeros((self.n, self.longest + 1, prob.shape[1]))
         a[:, 0] = 1
-        for j in range(1, LONGEST + 2):
+        for j in range(1, self.longest + 1):
             s = slice(self.cut[j], self.cut[j + 1])
             if s.start < s.stop:
                 np.add.at(a[:, j], self.at[s], a[self.at[s], self.lo[s]] * prob[self.piece[s]])
         return a
 
     def score(self, prob: np.ndarray) -> np.ndarray:
-        """Log probability of each word in each language."""
-        return np.log(self.forward(prob)[np.arange(self.n), self.size] + 1e-290)
+        """Log probability of each word in each language. Sums of long words are scaled as they go, so that they don't vanish."""
+        rows = np.arange(self.n)
+        if self.longest <= FITTED:
+            return np.log(self.forward(prob)[rows, self.size] + 1e-290)
+        # Only the last ``reach`` positions are looked back at: they are kept in a ring and scaled together.
+        ring = np.zeros((self.n, self.reach + 1, prob.shape[1]))
+        ring[:, 0] = 1
+        scale, out = np.zeros((self.n, prob.shape[1])), np.full((self.n, prob.shape[1]), np.log(1e-290))
+        for j in range(1, self.longest + 1):
+            here = j % (self.reach + 1)
+            ring[:, here] = 0
+            s = slice(self.cut[j], self.cut[j + 1])
+            if s.start < s.stop:
+                np.add.at(ring[:, here], self.at[s], ring[self.at[s], self.lo[s] % (self.reach + 1)] * prob[self.piece[s]])
+            done = self.size == j
+            if done.any():
+                out[done] = np.log(ring[done, here] + 1e-290) + scale[done]
+            if j % 8 == 0:
+                top = ring.max(1)
+                top[top <= 0] = 1
+                ring /= top[:, None, :]
+                scale += np.log(top)
+        return out
 
     def counts(self, prob: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected number of each piece, words weighted by ``weight[word, language]``."""
@@ -111,7 +137,7 @@ class Lattice:
         total = a[np.arange(self.n), self.size]
         b = np.zeros_like(a)
         b[np.arange(self.n), self.size] = 1
-        for j in range(LONGEST + 1, 0, -1):
+        for j in range(self.longest, 0, -1):
             s = slice(self.cut[j], self.cut[j + 1])
             if s.start < s.stop:
                 np.add.at(b, (self.at[s], self.lo[s]), b[self.at[s], j] * prob[self.piece[s]])
@@ -121,9 +147,22 @@ class Lattice:
         return out
 
 
+def score_words(words: list[str], pieces: dict[str, int], prob: np.ndarray) -> np.ndarray:
+    """Log probability of each distinct word in each language, words of like length together, so that one long word doesn't widen all."""
+    out = np.zeros((len(words), prob.shape[1]))
+    group = np.array([max(0, (len(w) - 1) // SHORT).bit_length() for w in words], int)
+    for g in np.unique(group):
+        which = np.flatnonzero(group == g)
+        step = max(1, 20_000_000 // (SHORT << int(g)) // prob.shape[1])
+        for k in range(0, len(which), step):
+            part = which[k : k + step]
+            out[part] = Lattice([words[i] for i in part], pieces).score(prob)
+    return out
+
+
 def fit(texts: list[str], labels: list[str], pieces: dict[str, int], rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities ``[piece, language]`` from texts without accents in lower case."""
-    lists = [_WORD.findall(t) for t in texts]
+    lists = [[w for w in _WORD.findall(t) if len(w) <= FITTED] for t in texts]
     vocab = sorted({w for x in lists for w in x})
     index = {w: i for i, w in enumerate(vocab)}
     doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
@@ -154,6 +193,23 @@ def sentences(text: str) -> list[list[str]]:
     return [w for w in (_WORD.findall(s) for s in _ENDS.split(text)) if w]
 
 
+def places(text: str, folded: str) -> list[tuple[int, int]]:
+    """Where each sentence's words begin and end, in code points of ``text``, of which ``folded`` is the form without accents in lower case."""
+    out, at = [], 0
+    for m in [*_ENDS.finditer(folded), None]:
+        words = list(_WORD.finditer(folded, at, m.start() if m else len(folded)))
+        if words:
+            out.append((words[0].start(), words[-1].end()))
+        at = m.end() if m else at
+    if len(text) != len(folded):
+        # Letters with marks of their own, ligatures and the like change the length: each code point is folded by itself.
+        owner = [i for i, c in enumerate(text) for x in unicodedata.normalize("NFD", c.lower()) if not unicodedata.combining(x)]
+        if len(owner) != len(folded):
+            owner = [i * len(text) // max(len(folded), 1) for i in range(len(folded))]
+        out = [(owner[a], owner[b - 1] + 1) for a, b in out]
+    return out
+
+
 def _chain(score: np.ndarray) -> np.ndarray:
     """The most probable languages of a text's sentences, one row of log probabilities each."""
     best, back = score[0], []
@@ -169,7 +225,7 @@ def _chain(score: np.ndarray) -> np.ndarray:
 
 
 def segmenter(prob: np.ndarray, pieces: dict[str, int]):
-    """The function that turns ``(id, text)`` batches into segments."""
+    """The function that turns ``(id, text)`` batches, texts in folded form, into segments; where ``source``, the text as it is, is given, with their places."""
     cache: dict[str, np.ndarray] = {}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,7 +247,7 @@ def segmenter(prob: np.ndarray, pieces: dict[str, int]):
                 if len(cache) > 400_000:
                     cache.clear()
                     new = list(uniques)
-                cache.update(zip(new, Lattice(new, pieces).score(prob), strict=True))
+                cache.update(zip(new, score_words(new, pieces, prob), strict=True))
             table = np.array([cache[w] for w in uniques])
             sizes, counts = np.array(sizes), np.array(counts)
             score = np.add.reduceat(table[code], np.concatenate([[0], np.cumsum(sizes)[:-1]]))
@@ -208,9 +264,14 @@ def segmenter(prob: np.ndarray, pieces: dict[str, int]):
             p = np.exp(total - total.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             l = lang[starts]
-            yield pd.DataFrame({
+            extra = {}
+            if "source" in b:
+                spans = [x for t, f in zip(b["source"], b["text"], strict=True) if f and sentences(f) for x in places(t, f)]
+                ends = np.concatenate([starts[1:], [len(lang)]]) - 1
+                extra = {"from": np.array([spans[i][0] for i in starts]), "to": np.array([spans[i][1] for i in ends])}
+            yield pd.DataFrame(extra | {
                 "id": np.array(ids)[owner[starts]], "segment": starts - first[owner[starts]], "lang": np.array(LANGS)[l], "confidence": p[np.arange(len(l)), l],
-                "words": np.add.reduceat(sizes, starts), "sentences": np.diff(np.concatenate([starts, [len(lang)]])),
+                "words": np.add.reduceat(sizes, starts), "sentences": np.diff(np.concatenate([starts, [len(lang)]])), "gain": total[np.arange(len(l)), l] - np.where(np.arange(len(LANGS)) == l[:, None], -np.inf, total).max(1),
             })
 
     return run
@@ -223,31 +284,40 @@ def train(main: DataFrame, provenance: DataFrame, sample: int = SAMPLE, vocabula
     for lang in LANGS:
         one = labelled.where(F.col("label") == lang).orderBy(F.xxhash64("rid"), "rid").limit(sample)
         picked = one if picked is None else picked.unionByName(one)
-    # At most ``sample`` rows of each language: a bound known beforehand.
-    rows = main.select("rid", "text").join(F.broadcast(picked.dropDuplicates(["rid"])), "rid").select("rid", folded_lower(F.col("text")).alias("text"), "label").where("text IS NOT NULL").collect()
+    # At most ``sample`` rows of each language: a bound known beforehand. Of several labels of a row the first by name counts.
+    rows = main.select("rid", "text").join(F.broadcast(picked.groupBy("rid").agg(F.min("label").alias("label"))), "rid").select("rid", folded_lower(F.col("text")).alias("text"), "label").where("text IS NOT NULL").collect()
     rows.sort(key=lambda r: r["rid"])
     pieces = load_pieces(vocabulary)
     prob = fit([r["text"] for r in rows], [r["label"] for r in rows], pieces)
     return segmenter(prob, pieces)
 
 
-def segments(main: DataFrame, provenance: DataFrame) -> DataFrame:
-    """``(id, segment, lang, confidence, words, sentences)``: the segments of each text, numbered by their first sentence."""
+def segments(main: DataFrame, provenance: DataFrame, with_places: bool = True) -> DataFrame:
+    """``(id, segment, lang, confidence, words, sentences, gain)`` and ``from, to``: the segments of each text, numbered by their first sentence.
+
+    ``gain`` is by how many nats the segment's language exceeds all others; the segment's words stand between ``from`` and ``to``, in code
+    points of the text, the first being 0.
+    """
     ship(main.sparkSession)
     run = train(main, provenance)
-    return main.select(F.col("rid").alias("id"), folded_lower(F.col("text")).alias("text")).mapInPandas(run, "id bigint, segment int, lang string, confidence double, words int, sentences int")
+    told = "id bigint, segment int, lang string, confidence double, words int, sentences int, gain double"
+    rows = main.select(F.col("rid").alias("id"), folded_lower(F.col("text")).alias("text"), *([F.col("text").alias("source")] if with_places else []))
+    return rows.mapInPandas(run, "from int, to int, " + told if with_places else told)
 
 
 def found(main: DataFrame, provenance: DataFrame) -> DataFrame:
     """``(rid, lang)``: the languages of each text whose label is missing or wrong, or that has several.
 
-    A language counts beside another only with a segment of at least ``WHOLE`` words.
+    A text's main language is that of the most words. Another counts beside it with a segment that gains at least ``APART`` over all others.
     """
-    seg = segments(main, provenance).groupBy("id", "lang").agg(F.max("words").alias("words"))
+    seg = segments(main, provenance, with_places=False).groupBy("id", "lang").agg(F.sum("words").alias("words"), F.max("gain").alias("gain"))
     label = provenance.select("rid", label_language(F.col("lang_variant")).alias("l")).groupBy("rid").agg(F.min("l").alias("l1"), F.max("l").alias("l2"), F.bool_or(F.col("l").isNull()).alias("none"))
-    per = seg.groupBy(F.col("id").alias("rid")).agg(F.collect_list(F.struct("words", "lang")).alias("ls"))  # at most one for each language
-    per = per.withColumn("whole", F.filter("ls", lambda x: x["words"] >= WHOLE))
-    per = per.withColumn("ls", F.when(F.size("whole") > 0, F.col("whole")).otherwise(F.slice(F.sort_array("ls", False), 1, 1)))
+    per = seg.groupBy(F.col("id").alias("rid")).agg(F.sort_array(F.collect_list(F.struct("words", "lang", "gain")), False).alias("ls"))  # at most one for each language
     lang = F.col("ls")[0]["lang"]
-    case = (F.size("ls") > 1) | F.coalesce(F.col("none"), F.lit(True)) | (F.col("l1") != lang) | (F.col("l2") != lang)
+    per = per.withColumn("main", lang).withColumn("ls", F.filter("ls", lambda x: (x["lang"] == lang) | (x["gain"] >= APART)))
+    case = (F.size("ls") > 1) | F.coalesce(F.col("none"), F.lit(True)) | (F.col("l1") != F.col("main")) | (F.col("l2") != F.col("main"))
     return per.join(label, "rid", "left").where(case).select("rid", F.explode("ls").alias("x")).select("rid", "x.lang")
+
+
+#: Nats by which a segment's language must exceed all others to count as a second language of its text: names and borrowed words don't gain as much.
+APART = 12.0

@@ -431,10 +431,45 @@ def test_languages_of_mixed_texts(spark):
     assert got == [(500, "fr"), (500, "pt"), (501, "it"), (502, "es"), (503, "en")]
     seg = {(r["id"], r["segment"]): (r["lang"], r["confidence"]) for r in languages.segments(main, prov).where("id = 500").collect()}
     assert [v[0] for k, v in sorted(seg.items())] == ["pt", "fr"] and all(v[1] > 0.9 for v in seg.values())
+    cut = {r["segment"]: (r["from"], r["to"]) for r in languages.segments(main, prov).where("id = 500").collect()}
+    text = SENTENCES["pt"].upper() + " / " + SENTENCES["fr"]
+    (a, b), (c, e) = [cut[k] for k in sorted(cut)]
+    assert text[a:b] in SENTENCES["pt"].upper() and b - a > 0.9 * len(SENTENCES["pt"]) - 3 and text[c:e] in SENTENCES["fr"] and e - c > 0.9 * len(SENTENCES["fr"]) - 3
     assert languages.found(main.limit(0), prov).count() == 0
     assert list(SENTENCES) == languages.LANGS
 
 
+def test_places_are_of_the_text_as_it_is():
+    for text in ("Um dois. Três quatro!", "ﬁm de tarde. Straße İstanbul? é assim", "İİ abc. x́y z"):
+        folded = "".join(c for c in unicodedata.normalize("NFD", text.lower()) if not unicodedata.combining(c))
+        got = [text[a:b] for a, b in languages.places(text, folded)]
+        assert len(got) == len(languages.sentences(folded))
+        for span, words in zip(got, languages.sentences(folded), strict=True):
+            assert span[:1].isalpha() and words[0][:1] == unicodedata.normalize("NFD", span.lower())[0]
+
+
+def test_long_words_are_scored_whole():
+    import numpy as np
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    pieces = {p: i for i, p in enumerate([*letters, *("_" + c for c in letters), "ab", "_ab", "cab"])}
+    prob = np.random.default_rng(2).random((len(pieces), 5)) * 0.01
+    words = ["ab", "cab" * 9, "abc" * 30, "abcab" * 200, "a" * 5000]
+    got = languages.score_words(words, pieces, prob)
+
+    def plain(word: str) -> np.ndarray:
+        marked, a = "_" + word, [np.zeros(5)] + [np.full(5, -np.inf)] * (len(word) + 1)
+        for j in range(2, len(marked) + 1):
+            for i in range(max(0, j - 3), j):
+                k = pieces.get(marked[i:j])
+                if i != 1 and k is not None:
+                    a[j] = np.logaddexp(a[j], a[i] + np.log(prob[k]))
+        return a[-1]
+
+    for w, x in zip(words, got, strict=True):
+        assert np.allclose(x, plain(w)), w[:10]
+
+
 def test_forward_sum_is_the_sum_over_all_segmentations():
     import itertools
 
