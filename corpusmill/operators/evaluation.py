@@ -27,15 +27,32 @@ def confusion(rows: DataFrame, groups: list[str], threshold: float = 0.5) -> Dat
     )
 
 
+#: Ranges of scores that are summed up apart.
+RUNS = 64
+
+
 def ranking(rows: DataFrame, groups: list[str]) -> DataFrame:
     """Exact ROC area (ties count half) and average precision (a step for each distinct score) per group.
 
-    Equal scores collapse to one row before the window, so it runs over distinct scores.
+    Equal scores collapse to one row first. Running sums go over ``RUNS`` ranges of scores of like size: within each by a window, and over the
+    ranges' totals by another, so no task orders all scores of a group.
     """
     at = rows.groupBy(*groups, "p").agg(F.sum("y").cast("bigint").alias("pos"), (F.count(F.lit(1)) - F.sum("y")).cast("bigint").alias("neg"))
-    below = Window.partitionBy(*groups).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    above = Window.partitionBy(*groups).orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
-    w = at.withColumn("under", F.coalesce(F.sum("neg").over(below), F.lit(0))).withColumn("tp", F.sum("pos").over(above)).withColumn("all", F.sum(F.col("pos") + F.col("neg")).over(above))
+    cuts = [c for c in at.approxQuantile("p", [i / RUNS for i in range(1, RUNS)], 0.25 / RUNS) if c is not None]
+    run = F.aggregate(F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>"), F.lit(0), lambda k, c: k + (F.col("p") >= c).cast("int"))
+    at = at.withColumn("run", run)
+    runs = at.groupBy(*groups, "run").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
+    up, down = Window.partitionBy(*groups).orderBy("run").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*groups).orderBy(F.desc("run")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = {"n_below": F.sum("rn").over(up), "p_above": F.sum("rp").over(down), "n_above": F.sum("rn").over(down)}
+    runs = runs.select(*[F.col(g).alias("__" + g) for g in groups], F.col("run").alias("__run"), *[F.coalesce(c, F.lit(0)).alias(k) for k, c in sums.items()])
+    same = F.col("run") == F.col("__run")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col("__" + g))
+    at = at.join(runs, same).drop("__run", *["__" + g for g in groups])
+    below = Window.partitionBy(*groups, "run").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy(*groups, "run").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
+    w = at.withColumn("under", F.col("n_below") + F.coalesce(F.sum("neg").over(below), F.lit(0))).withColumn("tp", F.col("p_above") + F.sum("pos").over(above))
+    w = w.withColumn("all", F.col("p_above") + F.col("n_above") + F.sum(F.col("pos") + F.col("neg")).over(above))
     g = w.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.sum(F.col("pos") * (F.col("under") + F.col("neg") / 2)).alias("u"), F.sum(F.col("pos") * F.col("tp") / F.col("all")).alias("s"))
     both = (F.col("P") > 0) & (F.col("N") > 0)
     return g.select(*groups, F.when(both, F.try_divide(F.col("u"), F.col("P") * F.col("N"))).alias("roc_auc"), F.when(both, F.try_divide(F.col("s"), F.col("P"))).alias("avg_precision"))

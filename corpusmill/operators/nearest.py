@@ -11,8 +11,21 @@ from pyspark.sql import functions as F
 
 from corpusmill.session import ship, written
 
-#: Query vectors a task holds at once.
-BLOCK = 4096
+#: Query vectors, and rows, that a task holds at once.
+BLOCK, CHUNK = 4096, 65_536
+
+
+def chunks(batches: Iterator[pd.DataFrame], size: int = CHUNK) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of at least ``size`` rows, but for the last."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        if len(b):
+            held.append(b)
+        if sum(map(len, held)) >= size:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def nearest(queries: DataFrame, rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -34,9 +47,8 @@ def nearest(queries: DataFrame, rows: DataFrame, key: str, vector: str) -> DataF
         import pyarrow.dataset as ds
 
         best: dict[int, tuple[float, int]] = {}
-        for b in batches:
-            if not len(b):
-                continue
+        # A task's rows come together first: the queries are read once for each group of CHUNK rows, not for each batch.
+        for b in chunks(batches):
             ids = b["id"].to_numpy()
             order = np.argsort(ids, kind="stable")
             ids, m = ids[order], unit(np.stack(b["v"].to_numpy()[order]).astype(np.float64))

@@ -7,10 +7,13 @@ the parts before.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PARTS = 256
+#: Rows of a part of a group, about.
+PER_PART = 200_000
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -29,13 +32,13 @@ def hashed(key: Column, seed: int = 42) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f"-{seed}")).cast("binary"))
 
 
-def numbered(df: DataFrame, groups: list[str], order: Column, parts: int = PARTS) -> DataFrame:
+def numbered(df: DataFrame, groups: list[str], order: Column, per_part: int = PER_PART) -> DataFrame:
     """Adds ``rank`` (from 1) and ``size`` of each row's group, by a hexadecimal ``order``; null groups are one group.
 
-    A part holds the rows whose order starts alike, so parts follow each other in the order and each is a fraction
-    ``1 / parts`` of its group. Only the parts' counts meet in one window.
+    A part holds the rows whose order starts alike, so parts follow each other in the order. Their number comes from the number of all rows, so
+    that a part has at most about ``per_part`` rows even if one group holds all. Only the parts' counts meet in one window.
     """
-    width = len(f"{parts - 1:x}")
+    width = max(1, math.ceil(math.log(max(df.count() / per_part, 1), 16)))
     df = df.withColumn("__o", order).withColumn("__p", F.substring("__o", 1, width))
     counts = df.groupBy(*groups, "__p").agg(F.count(F.lit(1)).alias("__c"))
     g = Window.partitionBy(*groups)
