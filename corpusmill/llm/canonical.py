@@ -19,13 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import bound, folded_lower
+from corpusmill.session import written
 
 # The field names of a card, without accents, in lower case.
 CARD_FIELDS = ["alegacao", "local", "data", "canal", "alcance"]
 _FIELD = r"(?:^|[|;\r\n])[^\p{L}\p{N}|;\r\n]*(" + "|".join(CARD_FIELDS) + r")[^\p{L}\p{N}:|;\r\n]*:"
 _NOISE = r"[^\p{L}\p{N}]+"
-#: Copies of the small side of the membership join, so that no key of the large side meets in one task.
-SALTS = 8
+#: A raw text of more than one in HOT rows is hot: there are fewer than HOT of them, whatever the number of rows.
+HOT = 1000
+#: Copies of the small side where rows meet keys by a salted join (``forest``).
+SALTS = 16
 
 
 def canonical(text: Column) -> Column:
@@ -58,15 +61,21 @@ def membership(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(rid_first, rid, copies)`` of every row whose text has at least two copies, the first row included.
 
     Rows meet their group through 128-bit digests: of the raw text, then of the canonical one. Texts themselves are
-    shuffled in the two groupings only.
+    shuffled in the two groupings only. A hot text's rows, a third of all say, are not shuffled at all.
     """
     s = survivors(rows, id_col, text_col)
     groups = s.groupBy("canon").agg(F.min("first").alias("rid_first"), F.sum("n").alias("copies")).where("copies > 1")
     groups = groups.select(F.md5("canon").alias("ck"), "rid_first", "copies")
-    of_raw = s.select("raw", F.md5("canon").alias("ck")).join(groups, "ck").select("raw", "rid_first", "copies")
-    salted = of_raw.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
-    keyed = rows.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("rid"), F.md5(F.encode(text_col, "UTF-8")).alias("raw"), F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int").alias("salt"))
-    return keyed.join(salted, ["raw", "salt"]).select("rid_first", "rid", "copies")
+    of_raw = written(s.select("raw", "n", F.md5("canon").alias("ck")).join(groups, "ck").select("raw", "n", "rid_first", "copies"), "p7-groups")
+    keyed = rows.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("rid"), F.md5(F.encode(text_col, "UTF-8")).alias("raw"))
+    # Rows of hot texts meet their group by a broadcast of fewer than HOT rows; the others have no hot key left.
+    limit = rows.count() / HOT
+    hot = of_raw.where(F.col("n") > limit).drop("n")
+    if hot.isEmpty():
+        return keyed.join(of_raw.drop("n"), "raw").select("rid_first", "rid", "copies")
+    few = keyed.join(F.broadcast(hot), "raw").select("rid_first", "rid", "copies")
+    many = keyed.join(F.broadcast(hot.select("raw")), "raw", "left_anti").join(of_raw.where(F.col("n") <= limit).drop("n"), "raw")
+    return few.unionByName(many.select("rid_first", "rid", "copies"))
 
 
 def found(rows: DataFrame) -> DataFrame:

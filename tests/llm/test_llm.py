@@ -31,6 +31,17 @@ def test_canonical_groups(spark):
     assert copies[3] == (3, 3) and copies[40] == (3, 2) and copies[7] == (1, 1)
 
 
+def test_hot_texts_meet_their_group_like_others(spark):
+    rows = [(i, "quente" if i % 3 else f"Frio {i // 6}") for i in range(9000)] + [(10_000, "QUENTE!")]
+    got = {(r["rid_first"], r["rid_copy"]) for r in canonical.found(spark.createDataFrame(rows, "rid bigint, text_no_url string")).collect()}
+    first, want = {}, set()
+    for i, t in rows:
+        k = re.sub("[^a-z0-9]", "", t.lower())
+        want |= {(first[k], i)} if k in first else set()
+        first.setdefault(k, i)
+    assert got == want
+
+
 # ------------------------------------------------------------- 4
 
 REFERENCE = [(1, "Falso", ["fake", "mentira", "boato"]), (4, "Fora de contexto", ["sem contexto"]), (10, "Verdadeiro", ["certo"]), (11, "Verdadeiro, mas", []), (12, "Comprovado", None), (13, "Meia verdade", [])]
