@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
+from corpusmill.session import written
 
 
 def char_grams(text: Column, sizes: tuple[int, ...] = (4, 5)) -> Column:
@@ -44,6 +45,59 @@ def most_similar(queries: DataFrame, rows: DataFrame, key: str, text: str) -> Da
     return pairs.groupBy("query_id").agg(F.max(F.struct(F.round("sim", 9).alias("sim"), (-F.col(key)).alias("n"))).alias("b")).select("query_id", (-F.col("b.n")).alias("nearest_id"), "b.sim")
 
 
+def similar_above(queries: DataFrame, rows: DataFrame, key: str, text: str, threshold: float = 0.9, fitted: DataFrame | None = None) -> DataFrame:
+    """``(query_id, key, sim)``: every pair of a query and a row of at least ``threshold`` TF-IDF cosine, grams weighed as in ``rows``.
+
+    Grams are ordered by rarity. The rarest gram two texts share has all others they share behind it, so the cosine is at most the length of what
+    is left of either text from there on: only the grams of a text whose rest is at least ``threshold`` long are joined. Pairs that meet are
+    summed up exactly. Common grams, the hot keys of a plain join, stand behind and take no part.
+    """
+    r, fitted = tfidf(rows, key, char_grams(F.col(text)), fitted=fitted)
+    q, _ = tfidf(queries, key, char_grams(F.col(text)), fitted=fitted)
+    r, q = written(r, "similar-rows"), written(q.select(F.col(key).alias("query_id"), "gram", F.col("w").alias("x")), "similar-queries")
+
+    def prefix(v: DataFrame, of: str, weight: str) -> DataFrame:
+        # A text's grams are bounded by its length. idf falls as a gram grows common.
+        rest = Window.partitionBy(of).orderBy(F.desc("idf"), "gram").rowsBetween(0, Window.unboundedFollowing)
+        return v.join(fitted, "gram").withColumn("rest", F.sqrt(F.sum(F.col(weight) * F.col(weight)).over(rest))).where(F.col("rest") >= threshold - 1e-9).select(of, "gram")
+
+    met = prefix(q, "query_id", "x").join(prefix(r, key, "w"), "gram").where(F.col("query_id") != F.col(key)).select("query_id", key).distinct()
+    sims = met.join(q, "query_id").join(r, [key, "gram"]).groupBy("query_id", key).agg(F.sum(F.col("x") * F.col("w")).alias("sim"))
+    return sims.where(F.col("sim") >= threshold - 1e-9)
+
+
+def leakage(split: DataFrame, key: str, text: str, group: str, threshold: float = 0.9) -> DataFrame:
+    """``(group, n, near, share)``: how many ``test`` rows of each group have a row of ``train`` of at least ``threshold`` cosine."""
+    test = split.where("split = 'test'")
+    near = similar_above(test, split.where("split = 'train'"), key, text, threshold).select(F.col("query_id").alias(key)).distinct().withColumn("near", F.lit(1))
+    g = test.select(key, group).join(near, key, "left").groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.count("near").alias("near"))
+    return g.withColumn("share", F.col("near") / F.col("n"))
+
+
+def head_variants(train: DataFrame, val: DataFrame, test: DataFrame, features: list[str], group: str, strengths: tuple[float, ...] = (0.003, 0.01, 0.03, 0.1, 0.3, 1.0), vector: str | None = None) -> DataFrame:
+    """``(variant, strength, selected_by, score, acc, macro_f1)`` of two heads over six strengths, judged on ``test``.
+
+    ``erm`` is fitted on all rows and chosen by macro F1; ``dfr`` on the rows of balanced groups, every cell of group and class weighing the same,
+    and chosen by the worst group's macro F1. Rows have ``y``, ``is_balanced_group`` and the group.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from corpusmill.operators import evaluation, sampling
+
+    balanced = sampling.cell_weights(train.where("is_balanced_group"), group, "y")
+    fits = {"erm": (train, val, None, None), "dfr": (balanced, val.where("is_balanced_group"), "weight", group)}
+    out = []
+    for name, (rows, judged, weight, by) in fits.items():
+        if rows.isEmpty() or judged.isEmpty():
+            continue
+        model, strength, score = fit_head(rows, judged, features, strengths, weight=weight, vector=vector, group=by)
+        ready = test.withColumn("__v", array_to_vector(F.transform(vector, lambda x: x.cast("double")))) if vector else test
+        p = model.transform(ready).select("y", vector_to_array("probability")[1].alias("p"))
+        m = evaluation.confusion(p, []).first()
+        out.append((name, strength, "worst_group" if by else "macro_f1", float(score), m["acc"], m["macro_f1"]))
+    return train.sparkSession.createDataFrame(out, "variant string, strength double, selected_by string, score double, acc double, macro_f1 double")
+
+
 def fit_head(train: DataFrame, val: DataFrame, features: list[str], strengths: tuple[float, ...] = (0.01, 0.1, 1.0, 10.0), weight: str | None = None, vector: str | None = None, group: str | None = None):
     """A logistic head on standardised features, chosen by macro F1 (or the worst group's) on ``val``: ``(model, strength, score)``.
 

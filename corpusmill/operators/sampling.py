@@ -53,6 +53,19 @@ def held_out_split(df: DataFrame, channel: Column, held_out: str, group: str, la
     return rest.unionByName(df.where("__held").withColumn("split", F.lit("test"))).drop("__held")
 
 
+def length_batches(df: DataFrame, key: str, length: str, size: int, mega: int = 50, seed: int = 42) -> DataFrame:
+    """Adds ``batch``: rows in random order are cut into mega-batches of ``size * mega``, and each of these, longest rows first, into batches of ``size``.
+
+    Batches so hold rows of like length and still change with the seed. ``place`` is a row's place in its batch, from 1; ordering by batch and place and
+    dropping both gives the rows back unchanged.
+    """
+    ranked = numbered(df.withColumn("__all", F.lit(0)), ["__all"], hashed(F.col(key), seed)).withColumn("__m", F.floor((F.col("rank") - 1) / (size * mega)))
+    w = Window.partitionBy("__m").orderBy(F.desc(length), key)
+    ranked = ranked.withColumn("__n", F.row_number().over(w) - 1)
+    out = ranked.withColumn("batch", (F.col("__m") * mega + F.floor(F.col("__n") / size)).cast("bigint")).withColumn("place", (F.col("__n") % size + 1).cast("int"))
+    return out.drop("__all", "rank", "size", "__m", "__n")
+
+
 def cell_weights(df: DataFrame, group: str, target: str) -> DataFrame:
     """Adds ``weight``, by which every cell (group and target) weighs the same and the mean weight is 1."""
     n = df.groupBy(group, target).agg(F.count(F.lit(1)).alias("__c"))

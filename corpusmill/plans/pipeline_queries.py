@@ -147,6 +147,22 @@ def logistic_head(spark, d):
     return spark.createDataFrame([(strength, float(score))], "strength double, macro_f1 double")
 
 
+@query()
+def leaked_rows(spark, d):
+    """How many test rows of each group have a near copy among the training rows of the same split."""
+    rows = table(spark, d, MAIN).where("text IS NOT NULL AND label IN ('fake', 'true')").select("rid", "dataset_name", "label", "text")
+    split = written(sampling.stratified_split(rows, "dataset_name", "label", "rid"), "leak-split")
+    return models.leakage(split, "rid", "text", "dataset_name")
+
+
+@query()
+def head_variants(spark, d):
+    """A head on style rates fitted on all rows, and one on balanced groups with equal cells."""
+    m = modelling_table(spark, d).withColumn("y", F.col("target"))
+    s = written(sampling.stratified_split(m, "group", "label", "rid"), "head-split")
+    return models.head_variants(*(s.where(F.col("split") == k) for k in ("train", "val", "test")), ["excl_rate", "quest_rate", "ellip_rate", "upper_rate", "log_word_len"], "group")
+
+
 @query()
 def merged_version(spark, d):
     """The incoming rows merged into the main table; fails if the base changed or an id repeats."""

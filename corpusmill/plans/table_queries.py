@@ -277,6 +277,15 @@ def equal_cells(spark, d):
     return sampling.equal_cells(main(spark, d).select("rid", "dataset_name", "label"), "dataset_name", "label", "rid").select("rid", "copy")
 
 
+@query(f"""
+WITH r AS (SELECT rid, coalesce(word_len, 0) AS n, (row_number() OVER (ORDER BY md5(concat(CAST(rid AS VARCHAR), '-42')), rid) - 1) // 400 AS m FROM {MAIN}), s AS (SELECT *, row_number() OVER (PARTITION BY m ORDER BY n DESC, rid) - 1 AS k FROM r)
+SELECT rid, CAST(m * 50 + k // 8 AS BIGINT) AS batch, CAST(k % 8 + 1 AS INT) AS place FROM s""")
+def length_batches(spark, d):
+    """Batches of eight rows of like length, for models that pad."""
+    rows = main(spark, d).select("rid", F.coalesce("word_len", F.lit(0)).alias("n"))
+    return sampling.length_batches(rows, "rid", "n", 8).select("rid", "batch", "place")
+
+
 _GOALS = ", ".join(f"('{k}', {v})" for k, v in V.ERA_GOALS.items())
 
 

@@ -36,6 +36,39 @@ def read_log(spark: SparkSession, path: str | list[str], schema: str, strict: bo
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
 
 
+def line_counts(spark: SparkSession, folder: str, glob: str = "*.jsonl") -> DataFrame:
+    """``(file, lines)`` of each file of a folder that has any line."""
+    return spark.read.option("pathGlobFilter", glob).text(folder).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def read_matrix(spark: SparkSession, path: str, ids: DataFrame | None = None, key: str = "rid") -> DataFrame:
+    """``(file, row, vector)`` of the ``.npy`` matrices at a path, one task a file; with ``ids`` ``(file, row, key)`` the rows by id.
+
+    Fails if an id has no row or a row has no id: a matrix that doesn't fit its ids must not be used.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").load(path).select(F.col("_metadata.file_name").alias("file"), "content")
+
+    def rows(batches):
+        import io
+
+        import numpy as np
+        import pandas as pd
+
+        for b in batches:
+            for name, content in zip(b["file"], b["content"], strict=True):
+                m = np.load(io.BytesIO(content), allow_pickle=False)
+                yield pd.DataFrame({"file": name, "row": np.arange(len(m)), "vector": list(m.astype(np.float32))})
+
+    vectors = files.mapInPandas(rows, "file string, row bigint, vector array<float>")
+    if ids is None:
+        return vectors
+    both = vectors.join(ids.select("file", "row", key), ["file", "row"], "full")
+    bad = both.agg(F.count_if(F.col("vector").isNull()).alias("a"), F.count_if(F.col(key).isNull()).alias("b")).first()
+    if bad["a"] or bad["b"]:
+        raise ValueError(f"{bad['a']} ids without a row, {bad['b']} rows without an id")
+    return both.select(key, "vector")
+
+
 def read_log_folder(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """All ``*.jsonl`` of a folder, with ``source_key``, the file's name without its ending."""
     rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").option("pathGlobFilter", "*.jsonl").json(folder)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import measures as M
 from corpusmill.functions import text as T
-from corpusmill.operators import cleaning, evaluation, linkage, near_duplicates, nearest, ordering, sampling
+from corpusmill.operators import cleaning, evaluation, linkage, models, near_duplicates, nearest, ordering, sampling
 
 
 def one(spark, f, value):
@@ -227,3 +227,45 @@ def test_a_long_chain_of_near_duplicates_ends(spark):
             assert got[i] is None
         else:
             assert got[i] == "dup_new_near"
+
+
+def test_pairs_above_a_cosine_against_all_pairs(spark):
+    r = random.Random(6)
+    words = ["golpe", "vacina", "banco", "senha", "prefeitura", "chuva", "ponte", "escola", "urna", "voto"]
+    texts = [" ".join(r.choice(words) for _ in range(12)) for _ in range(40)]
+    texts += [t.replace("banco", "bancos", 1) for t in texts[:15]] + [texts[0], texts[1]]
+    df = spark.createDataFrame(list(enumerate(texts)), "rid bigint, text string")
+    rows, queries = df.where("rid < 40"), df.where("rid >= 40")
+    got = {(x["query_id"], x["rid"]) for x in models.similar_above(queries, rows, "rid", "text").collect()}
+    v, fitted = models.tfidf(rows, "rid", models.char_grams(F.col("text")))
+    q, _ = models.tfidf(queries, "rid", models.char_grams(F.col("text")), fitted=fitted)
+    vec = lambda d: {k: {x["gram"]: x["w"] for x in g} for k, g in __import__("itertools").groupby(sorted(d.collect(), key=lambda x: x["rid"]), key=lambda x: x["rid"])}
+    a, b = vec(q), vec(v)
+    want = {(i, j) for i, x in a.items() for j, y in b.items() if sum(w * y.get(g, 0) for g, w in x.items()) >= 0.9}
+    assert got == want and len(want) >= 17
+    split = df.withColumn("split", F.when(F.col("rid") < 40, "train").otherwise("test")).withColumn("g", F.lit("a"))
+    leak = models.leakage(split, "rid", "text", "g").first()
+    assert leak["n"] == 17 and leak["near"] == len({i for i, _ in want})
+    assert models.similar_above(queries.limit(0), rows, "rid", "text").count() == 0
+
+
+def test_two_heads_and_their_choice(spark):
+    rows = [(i, i % 2, float(i % 2) + 0.3 * (i % 7), "AB"[i % 3 % 2], i % 4 > 0) for i in range(240)]
+    df = spark.createDataFrame(rows, "rid bigint, y int, x double, g string, is_balanced_group boolean")
+    got = {r["variant"]: r for r in models.head_variants(df, df, df, ["x"], "g", strengths=(0.1, 1.0)).collect()}
+    assert set(got) == {"erm", "dfr"} and got["erm"]["selected_by"] == "macro_f1" and got["dfr"]["selected_by"] == "worst_group"
+    assert all(0 <= r["acc"] <= 1 and r["strength"] in (0.1, 1.0) for r in got.values())
+    assert models.head_variants(df.limit(0), df, df, ["x"], "g").count() == 0
+
+
+def test_batches_of_like_length_give_all_rows_back(spark):
+    df = spark.createDataFrame([(i, i * 7 % 101) for i in range(1000)], "rid bigint, n int")
+    got = sampling.length_batches(df, "rid", "n", 8, mega=5).collect()
+    assert sorted(r["rid"] for r in got) == list(range(1000))
+    by: dict = {}
+    for r in got:
+        by.setdefault(r["batch"], []).append(r)
+    assert sum(len(b) < 8 for b in by.values()) <= 1 and all(sorted(x["place"] for x in b) == list(range(1, len(b) + 1)) for b in by.values())
+    spread = sum(max(x["n"] for x in b) - min(x["n"] for x in b) for b in by.values()) / len(by)
+    assert spread < 30
+    assert sampling.length_batches(df.limit(0), "rid", "n", 8).count() == 0

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.functions import vocabulary as V
@@ -194,3 +195,25 @@ def test_reports(spark):
     df = spark.createDataFrame([("a|b", 1234, 0.5)], "k string, n int, s double")
     assert "| a\\|b | 1,234 | 0.5000 |" in writers.markdown_table(df)
     assert json.loads(writers.metrics_json(df)) == [{"k": "a|b", "n": 1234, "s": 0.5}]
+
+
+def test_matrices_by_id_and_lines_by_file(spark, tmp_path):
+    import numpy as np
+
+    for k in range(2):
+        (tmp_path / "m").mkdir(exist_ok=True)
+        np.save(tmp_path / "m" / f"part{k}.npy", np.arange(6, dtype=np.float32).reshape(3, 2) + 10 * k)
+    ids = spark.createDataFrame([(f"part{k}.npy", i, 100 * k + i) for k in range(2) for i in range(3)], "file string, row bigint, rid bigint")
+    got = {r["rid"]: list(r["vector"]) for r in readers.read_matrix(spark, str(tmp_path / "m"), ids).collect()}
+    assert got[101] == [12.0, 13.0] and len(got) == 6
+    with pytest.raises(ValueError):
+        readers.read_matrix(spark, str(tmp_path / "m"), ids.where("rid <> 2"))
+    put(tmp_path / "l" / "a.jsonl", "{}\n{}\n")
+    put(tmp_path / "l" / "b.jsonl", "{}\n")
+    assert sorted(map(tuple, readers.line_counts(spark, str(tmp_path / "l")).collect())) == [("a.jsonl", 2), ("b.jsonl", 1)]
+
+
+def test_metrics_are_never_cut(spark):
+    with pytest.raises(ValueError):
+        writers.metrics_json(spark.range(writers.MOST + 1))
+    assert writers.metrics_json(spark.range(2)).count("id") == 2
