@@ -19,7 +19,7 @@ def near_in_time(date_iso: Column, pub: Column, days: int = NEAR_DAYS) -> Column
     return F.coalesce(F.abs(F.floor((F.unix_seconds(a) - F.unix_seconds(b)) / 86400)) <= days, F.lit(True))
 
 
-def classify(rows: DataFrame, checkers: list[tuple[str, str]], reputable: list[str], least_sites: int = 3, similar_checker: float = 0.8, similar_site: float = 0.75) -> DataFrame:
+def classify(rows: DataFrame, checkers: list[tuple[str, str]], reputable: list[str] | None, least_sites: int = 3, similar_checker: float = 0.8, similar_site: float = 0.75) -> DataFrame:
     """``(rid, auto_label, confidence, method, evidence, sim)``, one row per row.
 
     ``rows`` is ``(rid, text, own_domain, date_iso, items)``, ``items`` an array of ``(title, link, source, domain, pub)`` and
@@ -30,10 +30,10 @@ def classify(rows: DataFrame, checkers: list[tuple[str, str]], reputable: list[s
     return vote(rows, items, checkers, reputable, least_sites, similar_checker, similar_site)
 
 
-def vote(rows: DataFrame, items: DataFrame, checkers: list[tuple[str, str]], reputable: list[str], least_sites: int = 3, similar_checker: float = 0.8, similar_site: float = 0.75) -> DataFrame:
+def vote(rows: DataFrame, items: DataFrame, checkers: list[tuple[str, str]], reputable: list[str] | None, least_sites: int = 3, similar_checker: float = 0.8, similar_site: float = 0.75) -> DataFrame:
     """``classify`` for any number of items: ``items`` is ``(rid, pos, it)``, a row each, ``pos`` of any type that orders them.
 
-    No row's items come together: the first checker's item and the distinct sites pre-aggregate.
+    ``reputable`` are the sites that count, all that have a name if None. No row's items come together: the first checker's item and the distinct sites pre-aggregate.
     """
     item = [f.name for f in items.schema["it"].dataType.fields]
     e = rows.select("rid", "text", "own_domain", "date_iso").join(items, "rid")
@@ -49,7 +49,8 @@ def vote(rows: DataFrame, items: DataFrame, checkers: list[tuple[str, str]], rep
         checker = F.when(F.contains(blob, F.lit(name)), key).otherwise(checker)
     e = e.withColumns({"checker": checker, "verdict": T.title_verdict(F.col("it.title")), "sim": F.coalesce(cosine, "lex"), "ok_c": alike(similar_checker) & agree, "ok_s": alike(similar_site) & agree})
     first = e.where("checker IS NOT NULL AND verdict IS NOT NULL AND ok_c").groupBy("rid").agg(F.min_by(F.struct("verdict", "checker", F.col("it.link").alias("link"), "sim"), "pos").alias("c"))
-    site = F.col("it.domain").isin(reputable) & ~F.col("it.domain").eqNullSafe(F.col("own_domain")) & near_in_time(F.col("date_iso"), F.col("it.pub"))
+    known = F.col("it.domain").isin(reputable) if reputable is not None else F.coalesce(F.col("it.domain"), F.lit("")).isin("", "sem_url") == F.lit(False)
+    site = known & ~F.col("it.domain").eqNullSafe(F.col("own_domain")) & near_in_time(F.col("date_iso"), F.col("it.pub"))
     sites = e.where(F.col("ok_s") & site).groupBy("rid").agg(F.array_sort(F.collect_set("it.domain")).alias("sites")).where(F.size("sites") >= least_sites)
     out = rows.select("rid").join(first, "rid", "left").join(sites, "rid", "left")
     voted = F.col("sites").isNotNull()

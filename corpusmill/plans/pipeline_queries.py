@@ -92,8 +92,7 @@ def evidence_votes(spark, d):
     items = items.join(titles, "title").select("title_id", "claim_id", F.struct("title", "link", "source", "domain", "pub").alias("it"))
     got = link.select(F.col("rid").alias("tid"), F.col("claim_id").alias("title_id"), "score").join(items, "title_id").select("tid", F.struct((-F.col("score")).alias("s"), "claim_id").alias("pos"), "it")
     got = texts.select("rid", "text").join(said, "text").select("rid", "tid").join(got, "tid").select("rid", "pos", "it")
-    sites = [r[0] for r in m.where("domain <> 'sem_url'").groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(20).collect()]  # a report of fixed size
-    return evidence.vote(texts, got, [("confere", "confere"), ("apura", "apura")], sites)
+    return evidence.vote(texts, got, [("confere", "confere"), ("apura", "apura")], None)
 
 
 @query(f"""

@@ -351,11 +351,12 @@ def centroid_similarity(spark, d):
 SELECT a.doc_id, round(CASE WHEN len(ta) = 0 AND len(tb) = 0 THEN 1.0 ELSE len(list_intersect(ta, tb)) / greatest(len(list_distinct(list_concat(ta, tb))), 1) END, 6) AS jaccard,
   round(coalesce(len(list_intersect(ta, tb)) / nullif(least(len(ta), len(tb)), 0), 0.0), 6) AS overlap, (len(na) = 0 OR list_has_any(na, nb)) AS same_numbers
 FROM (SELECT doc_id, TOKA AS ta, TOKB AS tb, list_distinct(regexp_extract_all(NORMA, '\\b\\d+\\b')) AS na, list_distinct(regexp_extract_all(NORMB, '\\b\\d+\\b')) AS nb FROM documents) a"""
-    .replace("TOKA", S.tokens("text", V.MATCH_STOP)).replace("TOKB", S.tokens("reverse_half", V.MATCH_STOP)).replace("NORMA", S.norm("text")).replace("NORMB", S.norm("reverse_half"))
-    .replace("FROM documents", "FROM (SELECT doc_id, text, substr(text, 1, 200) AS reverse_half FROM documents)"))
+    .replace("TOKA", S.tokens("text", V.MATCH_STOP)).replace("TOKB", S.tokens("other", V.MATCH_STOP)).replace("NORMA", S.norm("text")).replace("NORMB", S.norm("other"))
+    .replace("FROM documents", "FROM (SELECT a.doc_id, a.text, b.text AS other FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1)"))
 def set_measures(spark, d):
-    """Jaccard, overlap and shared digits of each document with its own first 200 characters."""
-    t = table(spark, d, "documents").select("doc_id", "text", F.left("text", F.lit(200)).alias("half"))
+    """Jaccard, overlap and shared digits of each document with the next one, whole texts."""
+    t = table(spark, d, "documents").select("doc_id", "text")
+    t = t.join(t.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("half")), "doc_id")
     t = t.select("doc_id", T.content_tokens(F.col("text"), V.MATCH_STOP).alias("a"), T.content_tokens(F.col("half"), V.MATCH_STOP).alias("b"), *[F.array_distinct(F.regexp_extract_all(T.normalize_text(F.col(c)), F.lit(r"\b\d+\b"), F.lit(0))).alias(n) for c, n in (("text", "na"), ("half", "nb"))])
     return t.select("doc_id", r6(M.jaccard(F.col("a"), F.col("b")), "jaccard"), r6(M.overlap(F.col("a"), F.col("b")), "overlap"), ((F.size("na") == 0) | F.arrays_overlap("na", "nb")).alias("same_numbers"))
 
