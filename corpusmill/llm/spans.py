@@ -236,20 +236,30 @@ def found(docs: DataFrame) -> DataFrame:
     return both.select(F.least("da", "db").alias("doc_a"), F.greatest("da", "db").alias("doc_b")).where("doc_a < doc_b").distinct()
 
 
+def _windows_in(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Where the windows of ``RUN`` code points of ``x`` begin that also stand in ``y``: found by their hashes, confirmed by their code points."""
+    at = np.arange(len(x) - RUN + 1)
+    hx, hy = (_stretches(_prefix(v), np.arange(len(v) - RUN + 1), np.arange(len(v) - RUN + 1) + RUN) for v in (x, y))
+    order = np.argsort(hy, kind="stable")
+    place = np.minimum(np.searchsorted(hy[order], hx), len(hy) - 1)
+    at = at[hy[order][place] == hx]
+    there = order[place[at]]
+    wx, wy = np.lib.stride_tricks.sliding_window_view(x, RUN), np.lib.stride_tricks.sliding_window_view(y, RUN)
+    same = [(wx[at[k : k + 20_000]] == wy[there[k : k + 20_000]]).all(1) for k in range(0, len(at), 20_000)]
+    return at[np.concatenate(same)] if same else at
+
+
 def _covered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The stretches of each pair's first text that also stand in its second."""
     for b in batches:
         out = []
         for rep, one, two in zip(b["a"], b["ta"], b["tb"], strict=True):
-            known = {two[i : i + RUN] for i in range(len(two) - RUN + 1)}
-            last = None
-            for i in range(len(one) - RUN + 1):
-                if one[i : i + RUN] in known:
-                    if last and i <= last[2]:
-                        last[2] = i + RUN
-                    else:
-                        out.append(last := [rep, i, i + RUN])
-        yield pd.DataFrame(out, columns=["rep", "lo", "hi"])
+            at = _windows_in(_code_points(one), _code_points(two))
+            if len(at):
+                cut = np.flatnonzero(np.diff(at) > RUN)
+                lo, hi = at[np.concatenate([[0], cut + 1])], at[np.concatenate([cut, [len(at) - 1]])] + RUN
+                out.append(pd.DataFrame({"rep": rep, "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)}))
+        yield pd.concat(out) if out else pd.DataFrame({"rep": [], "lo": [], "hi": []})
 
 
 def shared_length(docs: DataFrame) -> DataFrame:
