@@ -117,6 +117,8 @@ def entries(rows: DataFrame, batch: int | None = None) -> DataFrame:
     return e.select(F.col("o.r").alias("entry"), F.col("o.b").alias("ord"), "words")
 
 
+#: Ids that are broadcast at most: some 8 MB.
+BROADCAST = 500_000
 #: Sorted files of a run that may be written without a shuffle.
 FILES = 1024
 #: Rows of one part of a run, about: the least that a search reads for a range.
@@ -289,9 +291,10 @@ class HashForest:
 
         def verified(pairs: DataFrame) -> DataFrame:
             pairs = written(pairs, "p1-pairs")
-            some = pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct()
-            # The sets of candidates alone go into the joins below.
-            sets = written(self._read("sets", _SETS, lambda n: some.select(_hashed(F.col("entry"), n))).join(some, "entry", "left_semi"), "p1-sets")
+            some = written(pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct(), "p1-some")
+            # The sets of candidates alone go into the joins below. They are picked by a broadcast of ids while these are few, else by a shuffle.
+            few = F.broadcast(some) if some.count() <= BROADCAST else some
+            sets = written(self._read("sets", _SETS, lambda n: some.select(_hashed(F.col("entry"), n))).join(few, "entry", "left_semi"), "p1-sets")
             p = pairs.join(sets.select(F.col("entry").alias("b"), F.col("set").alias("sb")), "b").join(sets.select(F.col("entry").alias("a"), F.col("set").alias("sa")), "a")
             shared = F.size(F.array_intersect("sa", "sb"))
             return p.where(shared >= THRESHOLD * (F.size("sa") + F.size("sb") - shared)).select("a").distinct()
