@@ -42,7 +42,7 @@ from corpusmill.llm import canonical
 from corpusmill.session import ship, work_dir, written
 
 THRESHOLD, RECALL = 0.6, 0.99
-TREES, DEPTH, LABEL_BITS = 36, 6, 10
+TREES, DEPTH, LABEL_BITS = 34, 6, 10
 _LABELS = np.random.default_rng(20_240_601).integers(1, 1 << 32, TREES * DEPTH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
@@ -271,15 +271,21 @@ class HashForest:
         """
         at = _range(self.depth).alias("range")
         own = self._read("leaves", _LEAVES, runs=[run]).withColumn("range", at)
-        ranges = written(own.groupBy("tree", "range").agg(F.count(F.lit(1)).alias("k")), "p1-ranges")
+        ranges = written(own.groupBy("range", "tree").agg(F.count(F.lit(1)).alias("k")), "p1-ranges")
         shift = LABEL_BITS * (DEPTH - self.depth)
         low = F.shiftleft("range", shift)
         ends = ranges.select(F.col("tree").alias("t"), F.explode(F.array(low, low + (1 << shift) - 1)).alias("k"))
         older = self._read("leaves", _LEAVES, lambda n: ends.select(_place(F.col("t"), F.col("k"), n)), [r for r in self.runs if r != run])
-        older = written(older.withColumn("range", at).join(ranges.select("tree", "range"), ["tree", "range"], "left_semi"), "p1-older")
-        shared = older.select("tree", "range").unionByName(ranges.where("k > 1").select("tree", "range")).distinct()
-        own = written(own.join(shared, ["tree", "range"], "left_semi"), "p1-own").drop("range")
-        return own, older.drop("range").unionByName(own)
+
+        def within(leaves: DataFrame, some: DataFrame) -> DataFrame:
+            # The range, which tells leaves apart at once, comes before the tree: sorts go by the first key. It is worked out, not carried along.
+            some = some.select(F.col("range").alias("__r"), F.col("tree").alias("__t"))
+            return leaves.join(some, (_range(self.depth) == F.col("__r")) & (F.col("tree") == F.col("__t")), "left_semi")
+
+        older = written(within(older, ranges), "p1-older")
+        shared = older.select(at, "tree").unionByName(ranges.where("k > 1").select("range", "tree")).distinct()
+        own = written(within(own.drop("range"), shared), "p1-own")
+        return own, older.unionByName(own)
 
     def similar(self, run: str) -> DataFrame:
         """Entries of ``run`` that are similar to an earlier entry of any run: ``(entry)``. Entries of the run itself count as earlier by their id."""
@@ -306,8 +312,8 @@ class HashForest:
             probe, there = probe.withColumn("range", at), old.withColumn("range", at)
             if not all_of_them:
                 # The earliest entry of each range.
-                there = there.groupBy("tree", "range").agg(F.min(F.struct("bo", "b", "bn")).alias("f")).select("tree", "range", "f.*")
-            pairs = probe.join(there, ["tree", "range"]).where(earlier & near).select("a", "b").distinct()
+                there = there.groupBy("range", "tree").agg(F.min(F.struct("bo", "b", "bn")).alias("f")).select("range", "tree", "f.*")
+            pairs = probe.join(there, ["range", "tree"]).where(earlier & near).select("a", "b").distinct()
             more = written(verified(pairs), "p1-settled")
             settled = more if settled is None else settled.unionByName(more)
         return settled.select(F.col("a").alias("entry"))
