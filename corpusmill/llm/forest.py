@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import folded_lower
 from corpusmill.llm import canonical
-from corpusmill.session import ship, work_dir, written
+from corpusmill.session import ship, shuffles_dropped, work_dir
 
 THRESHOLD, RECALL = 0.6, 0.99
 TREES, DEPTH, LABEL_BITS = 36, 6, 10
@@ -124,6 +124,8 @@ FILES = 1024
 #: Rows of one part of a run, about: the least that a search reads for a range.
 PER_PART = 1_000_000
 _BITS = LABEL_BITS * DEPTH
+#: Trees whose leaves are shuffled at a time: no range lies in two trees, and the files of one shuffle are gone before the next.
+AT_ONCE = 12
 
 
 def _place(tree: Column, key: Column, parts: int) -> Column:
@@ -150,6 +152,8 @@ class HashForest:
         self.depth = search_depth()
         #: What has been read: table, parts read, parts there.
         self.read: list[tuple[str, int, int]] = []
+        #: Folders of tables written for a step, by name.
+        self._written: dict[str, list[str]] = {}
 
     def _at(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -166,6 +170,21 @@ class HashForest:
         finally:
             stream.close()
 
+    def _write(self, name: str, *parts: DataFrame) -> DataFrame:
+        """Writes tables of one schema one after the other and returns them as one written table."""
+        path = f"{work_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        with shuffles_dropped(self.spark):
+            for i, df in enumerate(parts):
+                df.write.parquet(f"{path}/{i}")
+        self._written.setdefault(name, []).append(path)
+        return self.spark.read.schema(parts[0].schema).parquet(*[f"{path}/{i}" for i in range(len(parts))])
+
+    def _drop(self, *names: str) -> None:
+        """Deletes what ``_write`` wrote under these names."""
+        for path in [x for name in names for x in self._written.pop(name, [])]:
+            p, fs = self._at(path)
+            fs.delete(p, True)
+
     def signed(self, rows: DataFrame, batch: int | None = None) -> DataFrame:
         """Signatures of ``(rid, batch_no, text)`` rows: ``(entry, ord, n, keys, set)``."""
         return entries(rows, batch).mapInPandas(_signatures, "entry bigint, ord int, n int, keys array<bigint>, set array<int>")
@@ -183,7 +202,8 @@ class HashForest:
         elif parts * df.rdd.getNumPartitions() > FILES:
             placed = placed.repartitionByRange(parts, "part", *order, "entry") if "entry" in df.columns else placed.repartitionByRange(parts, "part", *order)
         # Sorted keys compress well, and a history is read more often than written.
-        placed.sortWithinPartitions("part", *order).write.option("compression", "zstd").partitionBy("part").parquet(to)
+        with shuffles_dropped(self.spark):
+            placed.sortWithinPartitions("part", *order).write.option("compression", "zstd").partitionBy("part").parquet(to)
         root, fs = self._at(to)
         return {"parts": parts, "some": sorted(int(s.getPath().getName()[5:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("part="))}
 
@@ -198,11 +218,13 @@ class HashForest:
         """Accepts rows as one run and returns the run. Entries keep their signatures; nothing older is read."""
         to = f"{self.path}/run-{len(self.runs):05d}-{uuid.uuid4().hex[:8]}"
         rows = _ordered(rows, batch)
-        self.signed(rows, batch).write.parquet(f"{to}/signed")
+        with shuffles_dropped(self.spark):
+            self.signed(rows, batch).write.parquet(f"{to}/signed")
         signed = self.spark.read.parquet(f"{to}/signed")
         n = signed.count()
-        keys = written(_firsts(_keyed(rows, canonical.canonical(F.col("text")))), "p1-keys")
+        keys = self._write("p1-keys", _firsts(_keyed(rows, canonical.canonical(F.col("text")))))
         self._seal(to, {"replaces": [], **self._tables(to, signed, n, keys, keys.count())})
+        self._drop("p1-keys")
         p, fs = self._at(f"{to}/signed")
         fs.delete(p, True)
         return to
@@ -262,29 +284,37 @@ class HashForest:
         worded = _keyed(rows, F.when(F.size(F.split(words(F.col("text")), " ")) >= 3, words(F.col("text"))))
         near = self.similar(run).select(F.col("entry").alias("rid"))
         # Written, as the runs read here may be merged before the result is used.
-        return written(equal.unionByName(_later(worded, _firsts(worded))).unionByName(near).distinct(), "p1-repeats")
+        return self._write("p1-repeats", equal.unionByName(_later(worded, _firsts(worded))).unionByName(near).distinct())
 
     def touched(self, run: str) -> tuple[DataFrame, DataFrame]:
         """``(tree, key, entry, ord, n)`` of a run's own leaves that share a widest range with another leaf, and of all leaves in those ranges.
 
-        Leaves of other runs are read from the parts that hold the ranges.
+        Leaves of other runs are read from the parts that hold the ranges, and shuffled ``AT_ONCE`` trees at a time.
         """
         at = _range(self.depth).alias("range")
         own = self._read("leaves", _LEAVES, runs=[run]).withColumn("range", at)
-        ranges = written(own.groupBy("range", "tree").agg(F.count(F.lit(1)).alias("k")), "p1-ranges")
+        ranges = self._write("p1-ranges", own.groupBy("range", "tree").agg(F.count(F.lit(1)).alias("k")))
         shift = LABEL_BITS * (DEPTH - self.depth)
         low = F.shiftleft("range", shift)
         ends = ranges.select(F.col("tree").alias("t"), F.explode(F.array(low, low + (1 << shift) - 1)).alias("k"))
-        older = self._read("leaves", _LEAVES, lambda n: ends.select(_place(F.col("t"), F.col("k"), n)), [r for r in self.runs if r != run])
+        others = [r for r in self.runs if r != run]
 
         def within(leaves: DataFrame, some: DataFrame) -> DataFrame:
             # The range, which tells leaves apart at once, comes before the tree: sorts go by the first key. It is worked out, not carried along.
             some = some.select(F.col("range").alias("__r"), F.col("tree").alias("__t"))
             return leaves.join(some, (_range(self.depth) == F.col("__r")) & (F.col("tree") == F.col("__t")), "left_semi")
 
-        older = written(within(older, ranges), "p1-older")
+        def among(tree: str, first: int) -> Column:
+            return F.col(tree).between(first, first + AT_ONCE - 1)
+
+        def found(first: int) -> DataFrame:
+            some = ends.where(among("t", first))
+            return within(self._read("leaves", _LEAVES, lambda n: some.select(_place(F.col("t"), F.col("k"), n)), others).where(among("tree", first)), ranges.where(among("tree", first)))
+
+        older = self._write("p1-older", *(found(t) for t in range(0, TREES, AT_ONCE)))
         shared = older.select(at, "tree").unionByName(ranges.where("k > 1").select("range", "tree")).distinct()
-        own = written(within(own.drop("range"), shared), "p1-own")
+        own = self._write("p1-own", within(own.drop("range"), shared))
+        self._drop("p1-ranges")
         return own, older.unionByName(own)
 
     def similar(self, run: str) -> DataFrame:
@@ -296,11 +326,11 @@ class HashForest:
         near = (F.col("bn") >= THRESHOLD * F.col("an")) & (F.col("an") >= THRESHOLD * F.col("bn"))
 
         def verified(pairs: DataFrame) -> DataFrame:
-            pairs = written(pairs, "p1-pairs")
-            some = written(pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct(), "p1-some")
+            pairs = self._write("p1-pairs", pairs)
+            some = self._write("p1-some", pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct())
             # The sets of candidates alone go into the joins below. They are picked by a broadcast of ids while these are few, else by a shuffle.
             few = F.broadcast(some) if some.count() <= BROADCAST else some
-            sets = written(self._read("sets", _SETS, lambda n: some.select(_hashed(F.col("entry"), n))).join(few, "entry", "left_semi"), "p1-sets")
+            sets = self._write("p1-sets", self._read("sets", _SETS, lambda n: some.select(_hashed(F.col("entry"), n))).join(few, "entry", "left_semi"))
             p = pairs.join(sets.select(F.col("entry").alias("b"), F.col("set").alias("sb")), "b").join(sets.select(F.col("entry").alias("a"), F.col("set").alias("sa")), "a")
             shared = F.size(F.array_intersect("sa", "sb"))
             return p.where(shared >= THRESHOLD * (F.size("sa") + F.size("sb") - shared)).select("a").distinct()
@@ -314,8 +344,10 @@ class HashForest:
                 # The earliest entry of each range.
                 there = there.groupBy("range", "tree").agg(F.min(F.struct("bo", "b", "bn")).alias("f")).select("range", "tree", "f.*")
             pairs = probe.join(there, ["range", "tree"]).where(earlier & near).select("a", "b").distinct()
-            more = written(verified(pairs), "p1-settled")
+            more = self._write("p1-settled", verified(pairs))
+            self._drop("p1-pairs", "p1-some", "p1-sets")
             settled = more if settled is None else settled.unionByName(more)
+        self._drop("p1-older", "p1-own")
         return settled.select(F.col("a").alias("entry"))
 
 

@@ -2,12 +2,15 @@ import hashlib
 import os
 import random
 import re
+import time
 import unicodedata
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.llm import bpe, canonical, forest, fusion, languages, mixing, personal, personal_words, ratings, spans
+from corpusmill.session import shuffles_dropped, work_dir
 
 
 def folded(s):
@@ -343,6 +346,51 @@ def test_crowded_ranges_are_settled_exactly(spark):
     assert got == {r for r, *_ in new[:30]}
 
 
+def test_a_search_leaves_nothing_but_its_result_on_disk(spark):
+    t, root = _texts(300, 5), Path(work_dir(spark).removeprefix("file://"))
+    rows = lambda batch, texts: spark.createDataFrame([(1000 * (batch + 1) + i, batch, x) for i, x in enumerate(texts)], "rid bigint, batch_no int, text string")
+    before = set(root.glob("p1-*"))
+    f = forest.HashForest(spark)
+    f.append(rows(-1, t[:200]), -1)
+    found = f.accept(rows(0, t[200:]), 0)
+    assert {x.name.rsplit("-", 1)[0] for x in set(root.glob("p1-*")) - before} == {"p1-repeats", "p1-settled"}
+    assert found.count() > 0
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n.split("_")[1] for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+    before, key = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    with shuffles_dropped(spark):
+        spark.range(10_000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / "t"))
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.conf.get(key) == was
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 7
+
+
+def test_leaves_are_searched_some_trees_at_a_time(spark, monkeypatch):
+    t, got = _texts(300, 6), []
+    rows = lambda batch, texts: spark.createDataFrame([(1000 * (batch + 1) + i, batch, x) for i, x in enumerate(texts)], "rid bigint, batch_no int, text string")
+    f = forest.HashForest(spark, per_part=500)
+    f.append(rows(-1, t[:200]), -1)
+    run = f.append(rows(0, t[200:]), 0)
+    for at_once in (forest.TREES, 12, 5):
+        monkeypatch.setattr(forest, "AT_ONCE", at_once)
+        f.read.clear()
+        got.append(tuple(sorted(map(tuple, x.collect())) for x in f.touched(run)))
+        # The run's own leaves, and those of the one older run for some trees after others.
+        assert len(f.read) == 1 + -(-forest.TREES // at_once)
+    assert got[0] == got[1] == got[2] and {x[0] for x in got[0][0]} == set(range(forest.TREES))
+    # Each leaf is there once, whichever trees were searched with its own.
+    assert len(set(got[0][1])) == len(got[0][1]) > len(got[0][0])
+
+
 def test_forest_of_nothing(spark):
     old = spark.createDataFrame([], "rid bigint, text string")
     new = spark.createDataFrame([(1, 1, "a b c d"), (2, 1, "a b c d")], "rid bigint, batch_no int, text string")
