@@ -99,6 +99,28 @@ def test_link_all_gives_every_link(spark):
     assert got == {(1, 10, 1.0), (1, 11, 1.0), (1, 12, 0.6), (2, 14, 1.0), (2, 15, 1.0)}
 
 
+def test_overlapping_sets_against_brute_force(spark, monkeypatch):
+    r = random.Random(5)
+    common, rare = [f"comum{i}" for i in range(12)], [f"raro{i}" for i in range(300)]
+    one = lambda: (set(r.sample(common, r.randint(0, 12)) + r.sample(rare, r.randint(0, 6))), set(r.sample("abcdef", r.randint(0, 4))), set(r.sample(range(9), r.randint(0, 2))))
+    texts, claims = [(i, *one()) for i in range(150)], [(i, *one()) for i in range(200)]
+    frame = lambda rows, key: spark.createDataFrame([(k, *map(list, s)) for k, *s in rows], f"{key} bigint, t array<string>, w array<string>, nums array<bigint>").select(key, linkage.hashed_set(F.col("t")).alias("toks"), linkage.hashed_set(F.col("w")).alias("wide"), "nums")
+    q, c = frame(texts, "rid"), frame(claims, "claim_id")
+    monkeypatch.setattr(linkage, "CELLS", 500)
+    monkeypatch.setattr(linkage, "BLOCK", 40)
+    monkeypatch.setattr(linkage, "CHUNK", 30)
+    monkeypatch.setattr(linkage, "RARE", 2)
+    share = lambda a, b: len(a & b) / max(1, min(len(a), len(b)))
+    near = {(i, j): round(share(a, b), 9) for i, a, *_ in texts for j, b, *_ in claims if len(a & b) >= 3 and share(a, b) >= 0.6}
+    df = linkage.overlapping(q.select("rid", "toks"), c.select("claim_id", "toks"), 0.6, 3)
+    assert {(x["rid"], x["claim_id"]): round(x["score"], 9) for x in df.collect()} == near and len(near) > 1000
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan  # candidates are shuffled nowhere
+    both = {(i, j): round(share(w, x), 9) for i, a, w, n in texts for j, b, x, m in claims if (i, j) in near and len(w & x) >= 2 and share(w, x) >= 0.6 and (not n or n & m)}
+    assert {(x["rid"], x["claim_id"]): round(x["wide"], 9) for x in linkage.overlapping(q, c, 0.6, 3).collect()} == both and both
+    assert linkage.overlapping(q.limit(0), c, 0.6).count() == 0 and linkage.overlapping(q, c.limit(0), 0.6).count() == 0
+
+
 def test_near_duplicates_keep_a_chain_whose_middle_is_dropped(spark):
     w = [f"w{i}" for i in range(60)]
     a, b, c = w[:50], w[3:53], w[6:56]
