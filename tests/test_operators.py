@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import measures as M
 from corpusmill.functions import text as T
-from corpusmill.operators import cleaning, evaluation, linkage, models, near_duplicates, nearest, ordering, sampling
+from corpusmill.operators import cleaning, evaluation, grams, linkage, models, near_duplicates, nearest, ordering, sampling
 
 
 def one(spark, f, value):
@@ -271,6 +271,41 @@ def test_pairs_above_a_cosine_against_all_pairs(spark):
     assert models.similar_above(queries.limit(0), rows, "rid", "text").count() == 0
 
 
+def _cosines(spark, queries, rows):
+    """Of all pairs, by the grams as a column."""
+    v, fitted = models.tfidf(rows, "rid", models.char_grams(F.col("text")))
+    q, _ = models.tfidf(queries, "rid", models.char_grams(F.col("text")), fitted=fitted)
+    pairs = q.select(F.col("rid").alias("q"), "gram", F.col("w").alias("x")).join(v, "gram").where("q <> rid").groupBy("q", "rid").agg(F.sum(F.col("x") * F.col("w")).alias("sim"))
+    return {(r["q"], r["rid"]): r["sim"] for r in pairs.collect()}
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_gram_similarity_is_exact_and_shuffles_no_grams(spark, monkeypatch, small):
+    r = random.Random(8)
+    words = ["golpe", "vacina", "banco", "é", "ao", "sim", "чума", "prefeitura", "病気です", "x1", "😀😀a", "urna"]
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(1, 9))) for _ in range(70)] + ["a", "ao é", "", None, "Único!", "https://x.example/a"]
+    texts += [t + " sim" for t in texts[:9]] + texts[:3]
+    df = spark.createDataFrame([(7 * i % 101, t) for i, t in enumerate(texts)] + [(5, "golpe"), (5, "vacina"), (None, "banco"), (None, "urna")], "rid bigint, text string").repartition(3)
+    queries = df.where("rid % 3 = 0 OR rid = 5")
+    if small:  # all that is held at once is little, and few grams are common
+        for name, x in (("LETTERS", 60), ("ENTRIES", 300), ("BLOCK", 4), ("CELLS", 20), ("COLUMNS", 3), ("COMMON", 0.3)):
+            monkeypatch.setattr(grams, name, x)
+    want = _cosines(spark, queries, df)
+    near = {k: round(v, 9) for k, v in want.items() if v >= 0.6 - 1e-9}
+    above = models.similar_above(queries, df, "rid", "text", 0.6)
+    got = above.collect()
+    assert {(x["query_id"], x["rid"]): round(x["sim"], 9) for x in got} == near and len(got) == len(near) > 30
+    top = {q: min((-round(v, 9), k) for (p, k), v in want.items() if p == q) for q, _ in want}
+    most = models.most_similar(queries, df, "rid", "text")
+    assert {x["query_id"]: (-x["sim"], x["nearest_id"]) for x in most.collect()} == top
+    for x in (most,):
+        plan = x._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "explode" not in plan
+    _, fitted = models.tfidf(df, "rid", models.char_grams(F.col("text")))
+    assert {(x["query_id"], x["rid"]) for x in models.similar_above(queries, df, "rid", "text", 0.6, fitted=fitted).collect()} == set(near)
+    assert models.most_similar(queries, df.limit(0), "rid", "text").count() == 0
+
+
 def test_two_heads_and_their_choice(spark):
     rows = [(i, i % 2, float(i % 2) + 0.3 * (i % 7), "AB"[i % 3 % 2], i % 4 > 0) for i in range(240)]
     df = spark.createDataFrame(rows, "rid bigint, y int, x double, g string, is_balanced_group boolean")
