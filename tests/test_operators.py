@@ -298,7 +298,7 @@ def test_gram_similarity_is_exact_and_shuffles_no_grams(spark, monkeypatch, smal
     top = {q: min((-round(v, 9), k) for (p, k), v in want.items() if p == q) for q, _ in want}
     most = models.most_similar(queries, df, "rid", "text")
     assert {x["query_id"]: (-x["sim"], x["nearest_id"]) for x in most.collect()} == top
-    for x in (most,):
+    for x in (above, most):
         plan = x._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "explode" not in plan
     _, fitted = models.tfidf(df, "rid", models.char_grams(F.col("text")))
